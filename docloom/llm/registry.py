@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from docloom.llm import simhash
+from docloom.llm import licenses, pqdedup, quality, secrets, simhash
 
-QUERIES = {"op9_simhash_near_dedup": simhash.op9_simhash_near_dedup}
+QUERIES = {
+    "op2_secret_scan": secrets.op2_secret_scan,
+    "op4_quality_rules": quality.op4_quality_rules,
+    "op5_license_scan": licenses.op5_license_scan,
+    "op6_embedding_near_dedup": pqdedup.op6_embedding_near_dedup,
+    "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_secret_scan": secrets.ORACLE, "op4_quality_rules": quality.ORACLE}

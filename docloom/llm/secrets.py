@@ -1,0 +1,141 @@
+"""Operator 2: secret scans with corpus-wide ownership frequency. DataFrame functions only.
+
+A text is scanned for the kinds below. The value of each candidate is hashed
+and the hashes are aggregated by distinct repositories (documents) and owners
+(sources): a value that ``example_owners`` or more owners hold is a widely
+copied example; any other is specific to its owners and looks live. A value
+found all over the corpus is reduced before it is shuffled and its frequency is
+one row, so it is no skew; texts are never shuffled, only candidates.
+
+Spans are code points, end exclusive. Positions come from splitting the text at
+the matches of one kind; texts without a match of a kind skip that.
+
+Defined results: a null text is empty; a row without candidates has empty spans
+and zero counts; a null source counts as no owner, a null doc_id as one
+repository; repeated rows get a row each and count once in the frequencies.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docloom.llm.common import load, row_key
+
+_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+#: kind -> (Java pattern, group that holds the value, fewest characters of the value); fixed values: the first three are the contract's
+KINDS: dict[str, tuple[str, int, int]] = {
+    "assign": (_ASSIGN, 2, 8),
+    "access": (r"AKIA[A-Z0-9]+", 0, 16),
+    "hex": (r"[0-9a-f]{32,}", 0, 32),
+    # spans the method adds
+    "forge": (r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 36),
+    "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
+    "pem": (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20),
+}
+BASE = ("assign", "access", "hex")
+EXAMPLE_OWNERS = 3
+MARK = "[SECRET]"
+
+
+def _quoted(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
+    """``keep``, row key and array ``found`` of (start, rank, kind, end, value, from) for every row."""
+    d = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__t"), row_key(*keep, text_col).alias("__key"))
+    none = "cast(array() as array<struct<start:int,rank:int,kind:string,end:int,value:string,from:int>>)"
+    for k, (kind, (pattern, group, least)) in enumerate(KINDS.items()):
+        p = _quoted(pattern)
+        cols = ["__key", "__t", *keep, *[f"__{x}" for x in list(KINDS)[:k]]]
+        d = d.select(*cols, F.expr(f"if(__t rlike '{p}', split(__t, '{p}', -1), null)").alias("__gaps"),
+                     F.expr(f"if(__t rlike '{p}', regexp_extract_all(__t, '{p}', 0), null)").alias("__hits"),
+                     F.expr(f"if(__t rlike '{p}', regexp_extract_all(__t, '{p}', {group}), null)").alias("__values"))
+        d = d.withColumn("__acc", F.expr(
+            "if(__hits is null, null, aggregate(sequence(0, size(__hits) - 1),"
+            " struct(0 as at, cast(array() as array<int>) as starts),"
+            " (a, i) -> struct(a.at + length(__gaps[i]) + length(__hits[i]) as at, array_append(a.starts, a.at + length(__gaps[i])) as starts)).starts)"))
+        d = d.select(*cols, F.expr(
+            f"if(__hits is null, {none}, filter(transform(__hits, (h, i) -> struct(__acc[i] as start, {k} as rank, '{kind}' as kind,"
+            f" __acc[i] + length(h) as end, __values[i] as value, __acc[i] + length(h) - length(__values[i]) as from)), x -> length(x.value) >= {least}))").alias(f"__{kind}"))
+    return d.select(*keep, "__key", F.array_sort(F.concat(*[f"__{k}" for k in KINDS])).alias("found"))
+
+
+def ownership(found: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+    """value_hash, n_repos, n_owners, is_example over the whole corpus."""
+    each = found.select(F.col(repo).alias("r"), F.col(owner).alias("o"), F.explode("found").alias("x")).select(
+        F.coalesce(F.col("r").cast("string"), F.lit("\x00")).alias("r"), "o", F.sha2("x.value", 256).alias("value_hash"))
+    pairs = each.groupBy("value_hash", "o", "r").agg(F.lit(1).alias("one"))  # copies meet here, map side first
+    return pairs.groupBy("value_hash").agg(
+        F.count_distinct("r").alias("n_repos"), F.count_distinct("o").alias("n_owners")
+    ).withColumn("is_example", F.col("n_owners") >= example_owners)
+
+
+def classified(docs: DataFrame, **how) -> DataFrame:
+    """The scan with ``verdicts``: a map from value hash to true where it is a widely copied example."""
+    found = scan(docs)
+    some = found.where(F.size("found") > 0)
+    seen = some.select("__key", F.explode("found").alias("x")).select("__key", F.sha2("x.value", 256).alias("value_hash")).distinct()
+    by_row = seen.join(ownership(some, **how), "value_hash").groupBy("__key").agg(
+        F.map_from_entries(F.collect_list(F.struct("value_hash", "is_example"))).alias("verdicts"))
+    return found.join(by_row, "__key", "left")
+
+
+def redact(docs: DataFrame, mark: str = MARK, **how) -> DataFrame:
+    """The documents with every live-looking value replaced by ``mark``; widely copied examples stay, as do all rows."""
+    c = classified(docs.select("doc_id", "source", "text"), **how).where(F.size("found") > 0)
+    c = c.select("__key", F.expr("filter(found, x -> not verdicts[sha2(x.value, 256)])").alias("__live")).dropDuplicates(["__key"])
+    d = docs.withColumn("__key", row_key("doc_id", "source", "text")).join(c, "__key", "left")
+    clean = F.expr(
+        f"if(size(__live) > 0, aggregate(array_sort(transform(__live, x -> struct(x.from as f, x.end as e))), struct(0 as at, '' as out),"
+        f" (a, x) -> if(x.f >= a.at, struct(x.e as at, concat(a.out, substr(text, a.at + 1, x.f - a.at), '{mark}') as out),"
+        f" struct(greatest(a.at, x.e) as at, a.out as out)), a -> concat(a.out, substr(text, a.at + 1))), text)")
+    d = d.withColumn("text", clean)
+    if "n_chars" in docs.columns:
+        d = d.withColumn("n_chars", F.when(F.size("__live") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return d.select(*docs.columns)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document of the whole table."""
+    c = classified(load(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    names = "', '".join(BASE)
+    span = "x -> concat(x.kind, ':', x.start, ':', x.end)"
+    count = lambda k: F.expr(f"cast(size(filter(found, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}")
+    judged = lambda v: F.expr(f"cast(size(filter(found, x -> {v} verdicts[sha2(x.value, 256)])) as bigint)")
+    return c.select(
+        "doc_id", *[count(k) for k in BASE],
+        F.sha2(F.expr(f"array_join(transform(filter(found, x -> x.kind in ('{names}')), {span}), ',')"), 256).alias("base_sha256"),
+        F.expr(f"array_join(transform(found, {span}), ',')").alias("spans"),
+        F.when(F.col("verdicts").isNull(), 0).otherwise(judged("not")).cast("long").alias("n_live"),
+        F.when(F.col("verdicts").isNull(), 0).otherwise(judged("")).cast("long").alias("n_example"),
+    )
+
+
+def _oracle() -> str:
+    """DuckDB SQL: spans by splitting at the matches, frequencies by distinct counts."""
+    parts = []
+    for k, (kind, (pattern, group, least)) in enumerate(KINDS.items()):
+        p = pattern.replace("'", "''")
+        parts.append(
+            f"SELECT r, doc_id, source, {k} AS rank, '{kind}' AS kind, unnest(regexp_extract_all(t, '{p}', 0)) AS hit,"
+            f" unnest(regexp_extract_all(t, '{p}', {group})) AS value, unnest(regexp_split_to_array(t, '{p}')[:-2]) AS gap,"
+            f" unnest(range(len(regexp_extract_all(t, '{p}', 0)))) AS i, {least} AS least FROM t WHERE regexp_matches(t, '{p}')")
+    union = " UNION ALL ".join(parts)
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+m AS ({union}),
+s AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY r, kind ORDER BY i) - length(hit) AS start FROM m),
+f AS (SELECT r, doc_id, source, rank, kind, value, start::BIGINT AS s, (start + length(hit))::BIGINT AS e FROM s WHERE length(value) >= least),
+o AS (SELECT value, count(DISTINCT source) >= {EXAMPLE_OWNERS} AS ex FROM f GROUP BY value),
+a AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3), '') AS base,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans,
+  count(*) FILTER (NOT ex) AS n_live, count(*) FILTER (ex) AS n_example FROM f JOIN o USING (value) GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example
+FROM t LEFT JOIN a USING (r)"""
+
+
+ORACLE = _oracle()
