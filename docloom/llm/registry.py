@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from docloom.llm import licenses, pqdedup, quality, secrets, simhash
+from docloom.llm import chat, licenses, mixing, packing, pqdedup, quality, secretscan, simhash
 
 QUERIES = {
-    "op2_secret_scan": secrets.op2_secret_scan,
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_secret_scan": secretscan.op2_secret_scan,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_license_scan": licenses.op5_license_scan,
     "op6_embedding_near_dedup": pqdedup.op6_embedding_near_dedup,
+    "op8_mix_sources": mixing.op8_mix_sources,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
+    "op10_chat_format": chat.op10_chat_format,
 }
 
-ORACLES: dict[str, str] = {"op2_secret_scan": secrets.ORACLE, "op4_quality_rules": quality.ORACLE}
+ORACLES: dict[str, str] = {"op2_secret_scan": secretscan.ORACLE, "op4_quality_rules": quality.ORACLE, "op8_mix_sources": mixing.ORACLE}
