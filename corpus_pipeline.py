@@ -1,34 +1,66 @@
-"""Corpus pipeline: documents through the stages of subpackage llm."""
+"""Corpus pipeline: documents through five operators of subpackage llm.
+
+language ID (texts without a language go), SimHash near-dedup (one document of
+each group stays), secret scans (live-looking credentials are replaced, every
+document stays), mixing (documents are repeated to equal source weights),
+best-fit packing (every piece gets a place in a training sequence).
+"""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import simhash
+from docloom.llm import langid, mixing, packing, secretscan, simhash
 from docloom.llm.common import load
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language stay; lang becomes the prediction."""
+    return langid.accept(spark, docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays."""
     return simhash.keep_one(spark, docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; owner-specific credentials in their texts are replaced."""
+    return secretscan.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated, or left out, so that sources weigh the same; shuffled globally."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", pack),
+]
 
-#: SimHash components, suffix automata and packing are not expressible in SQL; the stages are tested against brute force.
+#: Suffix automata, SimHash components and best-fit packing are not expressible in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents, each written as Parquet in the shared folder and read again."""
     docs = load(spark, sf_dir, "documents")
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-pipeline-")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1 and base:
+        if k < len(STAGES) - 1:
             path = f"{base.rstrip('/')}/pipeline-{uuid.uuid4().hex}/{k}-{name}"
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
