@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from docloom.plans import quality
+from docloom.plans import quality, records, views
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-for _module in (quality,):
+for _module in (quality, views, records):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
