@@ -22,6 +22,7 @@ nothing; other columns are not touched.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -40,16 +41,15 @@ LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "\x02"
 LONG = 48  # words longer than this are parsed without being remembered
 REMEMBERED = 200_000
-STEP = 1 << 21  # code points fit below
 
 
 class SuffixAutomaton:
-    """The transitions of the suffix automaton of one text, as one dictionary from state * STEP + letter to state."""
+    """The suffix automaton of one text, as arrays of transitions: from, letter, to."""
 
     def __init__(self, text: str):
         link, length, nxt = [-1], [0], [{}]
         last = 0
-        for c in map(ord, text):
+        for c in text:
             cur = len(nxt)
             length.append(length[last] + 1)
             link.append(0)
@@ -72,70 +72,76 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        self.keys = np.array([s * STEP + c for s, out in enumerate(nxt) for c in out], dtype=np.int64)
-        self.states = np.array([t for out in nxt for t in out.values()], dtype=np.int32)
+        self.size = len(nxt)
+        self.source = np.array([s for s, out in enumerate(nxt) for _ in out], dtype=np.int32)
+        self.letter = "".join(c for out in nxt for c in out)
+        self.target = np.array([t for out in nxt for t in out.values()], dtype=np.int32)
 
-    def table(self) -> dict[int, int]:
-        return dict(zip(self.keys.tolist(), self.states.tolist()))
+    def root(self) -> dict:
+        """The start state; a state is a dictionary from letter to state."""
+        states = [{} for _ in range(self.size)]
+        for s, c, t in zip(self.source.tolist(), self.letter, self.target.tolist()):
+            states[s][c] = states[t]
+        return states[0]
 
 
-def phrases(step: dict[int, int], word: str) -> int:
+def phrases(root: dict, word: str) -> int:
     """The phrases of a greedy parse of one marked word."""
-    count = state = 0
-    for c in map(ord, word):
-        after = step.get(state * STEP + c)
+    count, state = 0, root
+    for c in word:
+        after = state.get(c)
         if after is None:
-            count += state > 0
-            after = step.get(c)
+            if state is not root:
+                count += 1
+            after = root.get(c)
             if after is None:
                 count += 1
-                after = 0
+                after = root
         state = after
-    return count + (state > 0)
+    return count + (state is not root)
+
+
+class _Counts(dict):
+    """Word -> phrase counts of all languages, packed in 40 bits each; computed when missing."""
+
+    def __init__(self, roots: list[dict]):
+        self.roots = roots
+
+    def __missing__(self, word: str) -> int:
+        marked, packed = MARK + word + MARK, 0
+        for root in reversed(self.roots):
+            packed = packed << 40 | phrases(root, marked)
+        if len(word) <= LONG:
+            self[word] = packed
+        return packed
 
 
 class Model:
-    """Languages and their automata; tables are built on first use in a worker."""
+    """Languages and their automata; states are built on first use in a worker."""
 
     def __init__(self, words: dict[str, list[str]]):
         self.langs = sorted(words)
         self.automata = [SuffixAutomaton(MARK + MARK.join(words[x]) + MARK) for x in self.langs]
-        self.tables = None
+        self.counts = None
 
     def __getstate__(self):
-        return {"langs": self.langs, "automata": self.automata, "tables": None}
+        return {"langs": self.langs, "automata": self.automata, "counts": None}
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        if self.tables is None:
-            self.tables = [a.table() for a in self.automata]
-            self.seen: dict[str, int] = {}
-        n, tables, seen = len(self.langs), self.tables, self.seen
-        mask = (1 << 40) - 1
-
-        def count(word: str) -> int:
-            marked, packed = MARK + word + MARK, 0
-            for k, t in enumerate(tables):
-                packed |= phrases(t, marked) << (40 * k)
-            return packed
-
-        names, scores = [], []
+        if self.counts is None:
+            self.counts = _Counts([a.root() for a in self.automata])
+            gc.freeze()  # many small dictionaries that stay: not to be visited by every collection
+        n, counts = len(self.langs), self.counts
+        names, scores, mask = [], [], (1 << 40) - 1
         for text in texts:
-            total, letters, some = 0, 0, False
-            for word in LETTERS.findall(text.lower()) if text else ():
-                some = True
-                letters += len(word)
-                packed = seen.get(word)
-                if packed is None:
-                    packed = count(word)
-                    if len(word) <= LONG:
-                        if len(seen) >= REMEMBERED:
-                            seen.clear()
-                        seen[word] = packed
-                total += packed
-            if not some or not n:
+            words = LETTERS.findall(text.lower()) if text else ()
+            if not words or not n:
                 names.append("und")
                 scores.append(0.0)
                 continue
+            total, letters = sum(map(counts.__getitem__, words)), sum(map(len, words))
+            if len(counts) > REMEMBERED:
+                counts.clear()
             rates = sorted(((total >> (40 * k) & mask) / letters, lang) for k, lang in enumerate(self.langs))
             names.append(rates[0][1])
             scores.append(1.0 if n == 1 else 1.0 - rates[0][0] / rates[1][0])

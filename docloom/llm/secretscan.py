@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import load, row_key
+from docloom.llm.common import cut, load, row_key
 
 _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: kind -> (Java pattern, group that holds the value, fewest characters of the value); fixed values: the first three are the contract's
@@ -74,7 +74,7 @@ def ownership(found: DataFrame, repo: str = "doc_id", owner: str = "source", exa
 
 def classified(docs: DataFrame, **how) -> DataFrame:
     """The scan with ``verdicts``: a map from value hash to true where it is a widely copied example."""
-    found = scan(docs)
+    found = cut(scan(docs))  # texts are scanned once; what is cut holds candidates only
     some = found.where(F.size("found") > 0)
     seen = some.select("__key", F.explode("found").alias("x")).select("__key", F.sha2("x.value", 256).alias("value_hash")).distinct()
     by_row = seen.join(ownership(some, **how), "value_hash").groupBy("__key").agg(
