@@ -36,20 +36,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def forest(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Union the links (u, v) over nodes 0..n-1; label[i] is the smallest node joined to i.
-
-    Returns the labels and the indices of links that did not join two nodes of
-    one label at the start: the links worth keeping, at most all of them.
-    """
+def forest(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
+    """Union the links (u, v) over nodes 0..n-1 that ``label`` may join already: label[i] becomes the smallest node joined to i."""
     label = np.arange(n) if label is None else label
-    new = np.flatnonzero(label[u] != label[v])
     while True:
         a, b = label[u], label[v]
-        if (a == b).all():
-            return label, new
-        lo, hi = np.minimum(a, b), np.maximum(a, b)
-        np.minimum.at(label, hi, lo)
+        apart = a != b
+        if not apart.any():
+            return label
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
         while True:
             nxt = label[label]
             if (nxt == label).all():
@@ -57,6 +53,12 @@ def forest(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None = None
             label = nxt
 
 
+def spanning(label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One link for each node that is not the smallest of its group: fewer links than nodes."""
+    i = np.flatnonzero(label != np.arange(len(label)))
+    return label[i], i
+
+
 def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import components, cut, forest, load
+from docloom.llm.common import components, cut, forest, load, spanning
 
 COSINE = 0.98
 SAMPLE = 20_000
@@ -162,7 +162,7 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, cosine: float = COSINE
         ids, inv = np.unique(np.concatenate((qid, sid)), return_inverse=True)
         qi, si = inv[: len(qid)], inv[len(qid) :]
         bound = ((radius + s["err"].to_numpy() + SLACK) ** 2).astype(np.float32) + SLACK
-        counts, label, keep_u, keep_v = np.zeros(len(q), np.int64), np.arange(len(ids)), [], []
+        counts, label = np.zeros(len(q), np.int64), np.arange(len(ids))
         step = max(1, (1 << 19) // len(s))
         for k in range(0, len(q), step):
             r = codec.pad(x[k : k + step].astype(np.float32) - codec.coarse[at])
@@ -176,10 +176,8 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, cosine: float = COSINE
             hit = np.concatenate([np.einsum("ij,ij->i", x[i[p : p + 65536]], y[j[p : p + 65536]]) for p in range(0, len(i), 65536)] or [np.empty(0)]) >= cosine
             i, j = i[hit], j[hit]
             np.add.at(counts, i, mult[j])
-            label, new = forest(len(ids), qi[i], si[j], label)
-            keep_u.append(ids[qi[i[new]]])
-            keep_v.append(ids[si[j[new]]])
-        u, v = np.concatenate(keep_u), np.concatenate(keep_v)
+            label = forest(len(ids), qi[i], si[j], label)
+        u, v = (ids[x] for x in spanning(label))
         some = counts > 0
         return pd.concat([
             pd.DataFrame({"a": qid[some], "b": qid[some], "n": counts[some]}),

@@ -10,8 +10,8 @@ a pair is dropped once its differing bits exceed the budget.
 The top ``depth`` levels are walked by Spark: a fingerprint goes to every pair
 of top nodes within the budget. A node with more than ``leaf`` fingerprints is
 dealt over several tasks by hash, so no task grows with the data. Each task
-walks its pair of subtrees in numpy and returns only links that join something
-new; components of those links are found with DataFrame joins.
+walks its pair of subtrees in numpy and returns links that span what it has
+joined; components of those links are found with DataFrame joins.
 
 Defined results: a null or wordless text has fingerprint zero and links like
 any other; repeated rows keep their own rows; a null doc_id takes part by its
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import components, cut, forest, load
+from docloom.llm.common import components, cut, forest, load, spanning
 
 BUDGET = 4
 SHINGLE = 4
@@ -77,15 +77,15 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int) ->
     """Indices (i, j) of links between sorted distinct keys a and b (b None: within a).
 
     Node pairs start at ``depth``, where all of a share one prefix and all of b
-    another. The first 32 levels admit budget // 2 errors. Only links that join
-    nodes not yet joined are returned.
+    another. The first 32 levels admit budget // 2 errors. What is returned
+    spans the groups that the links join: fewer pairs than keys.
     """
     own, b = b is None, a if b is None else b
     if not len(a) or not len(b):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     shift = 0 if own else len(a)
     err0 = 0 if own else int(np.bitwise_count((a[0] ^ b[0]) >> np.uint64(64 - depth))) if depth else 0
-    label, out_u, out_v = np.arange(shift + len(b)), [], []
+    label = np.arange(shift + len(b))
 
     def take(al, ah, bl, bh):
         """Compare all keys of small node pairs, in blocks."""
@@ -107,9 +107,7 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int) ->
             if own:
                 ok &= i < j
             i, j = i[ok], j[ok] + shift
-            label, new = forest(len(label), i, j, label)
-            out_u.append(i[new])
-            out_v.append(j[new])
+            label = forest(len(label), i, j, label)
 
     stack = [(depth, np.array([0]), np.array([len(a)]), np.array([0]), np.array([len(b)]), np.array([err0]))]
     while stack:
@@ -136,8 +134,7 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int) ->
         nxt = [np.concatenate(x) for x in zip(*nxt)]
         for k in range(0, len(nxt[0]), PAIRS):  # depth first by blocks: the frontier stays bounded
             stack.append((level + 1, *[x[k : k + PAIRS] for x in nxt]))
-    empty = np.empty(0, np.int64)
-    return (np.concatenate(out_u), np.concatenate(out_v)) if out_u else (empty, empty)
+    return spanning(label)
 
 
 def links(spark: SparkSession, fps: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
