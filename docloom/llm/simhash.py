@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import components, cut, forest, load, spanning
+from docloom.llm.common import components, cut, forest, load, row_key, spanning
 
 BUDGET = 4
 SHINGLE = 4
@@ -54,15 +54,15 @@ def fingerprint_of(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * total > n).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id_col, fp long) for every row."""
+def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """``keep`` and fp (long) for every row."""
 
     @F.pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
             yield pd.Series([fingerprint_of(t, shingle) for t in s], dtype="int64")
 
-    return docs.select(F.col(id_col), fp(F.col(text_col).cast("binary")).alias("fp"))
+    return docs.select(*keep, fp(F.col(text_col).cast("binary")).alias("fp"))
 
 
 def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64) -> np.ndarray:
@@ -182,27 +182,32 @@ def links(spark: SparkSession, fps: DataFrame, budget: int = BUDGET, leaf: int =
     return routed.groupBy("trie", "p", "q", "pp", "qp").applyInPandas(walk, "u long, v long")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGLE, leaf: int = LEAF) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs(doc_id, text)``."""
-    fp = cut(fingerprints(docs, shingle=shingle))
+def grouped(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), budget: int = BUDGET, shingle: int = SHINGLE, leaf: int = LEAF) -> DataFrame:
+    """``keep``, fp, root (the smallest fingerprint of the component) and component_id for every row."""
+    fp = cut(fingerprints(docs, keep, shingle=shingle))
     classes = cut(fp.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     stars = cut(components(links(spark, classes.select("fp"), budget, leaf), "u", "v"))
     rooted = classes.join(stars, classes["fp"] == stars["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return fp.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fp.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs(doc_id, text)``."""
+    return grouped(spark, docs, **how).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents that stay: of each component the one with the smallest doc_id, with all its columns.
+def keep_one(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
+    """One document of each component, with all its columns: that with the smallest doc_id.
 
-    A component none of whose rows has a doc_id keeps one of them; repeated
-    rows of one doc_id count as one document.
+    A component none of whose rows has a doc_id keeps one of them; rows of one
+    doc_id and text count as one document.
     """
-    found = near_duplicates(spark, docs)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
-    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL").dropDuplicates(["text"]))
+    keyed = docs.withColumn("__key", row_key("doc_id", "text"))
+    found = grouped(spark, keyed, ("doc_id", "__key"), **how)
+    first = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__key").alias("key"))
+    stay = found.groupBy("root").agg(F.min(first).alias("x")).select(F.col("x.key").alias("__key"))
+    return keyed.join(stay, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
