@@ -5,7 +5,7 @@ from __future__ import annotations
 from docloom.plans.dialect import Dialect, registry
 
 #: own vocabulary that free tags are mapped onto, in order of preference
-VOCABULARY = ("small metal parts", "large metal parts", "medium plated goods", "promo brass goods", "economy steel goods", "standard tin goods")
+VOCABULARY = ("small ring", "red widgets and bolts", "blue steel bolt", "large hot gear", "green nut", "tiny pin")
 
 
 def _vocabulary(d: Dialect) -> str:
@@ -27,13 +27,13 @@ def all_tags(d: Dialect) -> str:
 
 def tag_inventory(d: Dialect) -> str:
     """Every word of the type column with its count, and whether it is an entry's word."""
-    return f"""WITH v AS (SELECT DISTINCT {d.each("split(entry, ' ')")} AS w FROM ({_vocabulary(d)}) x), t AS (SELECT {d.each("split(lower(p_type), ' ')")} AS w FROM {d.t('part')})
+    return f"""WITH v AS (SELECT DISTINCT {d.each("split(entry, ' ')")} AS w FROM ({_vocabulary(d)}) x), t AS (SELECT {d.each("split(lower(p_name), ' ')")} AS w FROM {d.t('part')})
 SELECT t.w AS tag, count(*) AS n, max(CASE WHEN v.w IS NOT NULL THEN 1 ELSE 0 END) = 1 AS authorised FROM t LEFT JOIN v ON t.w = v.w GROUP BY t.w"""
 
 
 def _matches(d: Dialect, threshold: float) -> str:
     return f"""
-t AS (SELECT DISTINCT lower(p_type) AS tag FROM {d.t('part')}),
+t AS (SELECT DISTINCT lower(p_name) AS tag FROM {d.t('part')}),
 w AS (SELECT tag, {d.words('tag')} AS w FROM t), v AS (SELECT pos, entry, {d.words('entry')} AS vw FROM ({_vocabulary(d)}) x),
 m AS (SELECT tag, pos, entry, {d.jaccard('w', 'vw')} AS similarity FROM w CROSS JOIN v),
 best AS (SELECT tag, entry, similarity FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY similarity DESC, pos) AS rn FROM m WHERE similarity >= {threshold}) r WHERE rn = 1)"""
@@ -50,7 +50,7 @@ def tag_mapping_cascade(d: Dialect) -> str:
 p AS (SELECT tag, entry FROM (SELECT t.tag, v.entry, row_number() OVER (PARTITION BY t.tag ORDER BY v.pos) AS rn FROM t JOIN v ON split(t.tag, ' ')[{d('0', '1')}] = split(v.entry, ' ')[{d('0', '1')}]) r WHERE rn = 1),
 c AS (SELECT t.tag, coalesce(v.entry, p.entry, best.entry, 'other') AS mapped, CASE WHEN v.entry IS NOT NULL THEN 'exact' WHEN p.entry IS NOT NULL THEN 'prefix' WHEN best.entry IS NOT NULL THEN 'similarity' ELSE 'fallback' END AS method
   FROM t LEFT JOIN v ON t.tag = v.entry LEFT JOIN p ON t.tag = p.tag LEFT JOIN best ON t.tag = best.tag)
-SELECT p_partkey, mapped, method FROM {d.t('part')} JOIN c ON lower(p_type) = c.tag"""
+SELECT p_partkey, mapped, method FROM {d.t('part')} JOIN c ON lower(p_name) = c.tag"""
 
 
 def mapping_report(d: Dialect) -> str:
@@ -60,7 +60,7 @@ def mapping_report(d: Dialect) -> str:
 
 def mapping_changed_rows(d: Dialect) -> str:
     """Rows that a mapping changes, with collisions against stored names."""
-    return f"""WITH n AS (SELECT p_partkey, p_name, lower({d.swap('p_name', '[^A-Za-z0-9]+', ' ')}) AS renamed FROM {d.t('part')})
+    return f"""WITH n AS (SELECT p_partkey, p_name, lower({d.swap('p_name', '^small ', 'tiny ')}) AS renamed FROM {d.t('part')})
 SELECT n.p_partkey, n.renamed, EXISTS (SELECT 1 FROM {d.t('part')} o WHERE o.p_name = n.renamed AND o.p_partkey <> n.p_partkey) AS collides FROM n WHERE n.p_name <> n.renamed"""
 
 
@@ -68,7 +68,7 @@ def tag_typos(d: Dialect) -> str:
     """Unknown words with the vocabulary word that shares most letters."""
     v = f"(SELECT DISTINCT {d.each("split(entry, ' ')")} AS word FROM ({_vocabulary(d)}) x)"
     letters = lambda x: d.distinct(f"split({x}, '')" if d.spark else f"string_split({x}, '')")
-    return f"""WITH t AS (SELECT DISTINCT {d.each("split(lower(p_type), ' ')")} AS tag FROM {d.t('part')}), v AS {v},
+    return f"""WITH t AS (SELECT DISTINCT {d.each("split(lower(p_name), ' ')")} AS tag FROM {d.t('part')}), v AS {v},
 m AS (SELECT tag, word, {d.jaccard(d.keep(letters('tag'), 'c', "c <> ''"), d.keep(letters('word'), 'c', "c <> ''"))} AS similarity FROM t CROSS JOIN v WHERE tag NOT IN (SELECT word FROM v))
 SELECT tag, word AS suggestion, similarity FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY similarity DESC, word) AS rn FROM m WHERE similarity > 0.4) r WHERE rn = 1"""
 
@@ -76,7 +76,7 @@ SELECT tag, word AS suggestion, similarity FROM (SELECT *, row_number() OVER (PA
 def prefix_match(d: Dialect) -> str:
     """The first entry that starts with a tag's first word, or whose start the tag has."""
     return f"""SELECT p_partkey, entry FROM (SELECT p_partkey, entry, row_number() OVER (PARTITION BY p_partkey ORDER BY pos) AS rn FROM {d.t('part')} JOIN ({_vocabulary(d)}) v
-ON starts_with(entry, split(lower(p_type), ' ')[{d('0', '1')}]) OR starts_with(lower(p_type), substring(entry, 1, 10))) r WHERE rn = 1""".replace("starts_with", d("startswith", "starts_with"))
+ON starts_with(entry, split(lower(p_name), ' ')[{d('0', '1')}]) OR starts_with(lower(p_name), substring(entry, 1, 10))) r WHERE rn = 1""".replace("starts_with", d("startswith", "starts_with"))
 
 
 def tag_validation_counts(d: Dialect) -> str:
