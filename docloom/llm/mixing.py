@@ -10,7 +10,9 @@ so a lost executor recomputes the same rows.
 
 The rate table has a row a source. It is broadcast only while it is known to
 have at most ``BROADCAST_ROWS`` rows; beyond that the join shuffles, and AQE
-splits the partition of a source that holds a third of all rows.
+splits the partition of a source that holds a third of all rows. Source counts
+are pre-aggregated; the driver sees their number, sum and largest rate only. A
+rare source at a high rate is drawn in pieces and its copies are made in chunks.
 
 Defined results: a null source is a source of its own; identical rows draw the
 same count; documents whose count is zero go, which is what the weights ask
@@ -20,13 +22,17 @@ names.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import load
+from docloom.llm.common import cut, load
 
 SEED = 17
 BROADCAST_ROWS = 100_000
+PIECE = 256  # the largest mean that is inverted in one go
+CHUNK = 65_536  # copies of a document that one row is exploded into
 
 
 def uniform(seed: int, *cols: Column) -> Column:
@@ -35,28 +41,29 @@ def uniform(seed: int, *cols: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, source_col: str = "source", size: float = 1.0) -> DataFrame:
-    """__src, __rate: mean repetitions for each source.
+def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, source_col: str = "source", size: float = 1.0) -> tuple[DataFrame, int, float]:
+    """A table of __src, __rate (mean repetitions of each source), the number of its rows, and the largest rate.
 
     Without ``weights`` all sources weigh the same; sources that ``weights``
     does not name get weight 0. ``size`` is the mixture's size over the corpus's.
     """
-    n = docs.groupBy(F.col(source_col).alias("__src")).agg(F.count("*").alias("__n"))
-    total = n.agg(F.sum("__n").alias("__total"), F.count("*").alias("__sources"))
+    n = cut(docs.groupBy(F.col(source_col).alias("__src")).agg(F.count("*").alias("__n")))
+    total, sources = n.agg(F.coalesce(F.sum("__n"), F.lit(0)), F.count("*")).first()
     if weights is None:
-        share = F.lit(1.0) / F.col("__sources")
+        share = F.lit(1.0 / max(1, sources))
     else:
         all_w = float(sum(weights.values()))
         share = F.lit(0.0)
         for name, w in weights.items():
             share = F.when(F.col("__src").eqNullSafe(F.lit(name)), w / all_w).otherwise(share)
-    return n.crossJoin(F.broadcast(total)).select("__src", (share * F.col("__total") * F.lit(float(size)) / F.col("__n")).alias("__rate"))  # total is one row
+    r = n.select("__src", (share * F.lit(float(total)) * F.lit(float(size)) / F.col("__n")).alias("__rate"))
+    return r, sources, r.agg(F.coalesce(F.max("__rate"), F.lit(0.0))).first()[0]
 
 
 def poisson(rate: Column, u: Column) -> Column:
-    """The smallest k whose cumulative probability exceeds u; the search ends 12 deviations past the mean."""
+    """The smallest k whose cumulative probability exceeds u; the search ends ``_reach`` past the mean."""
     return F.aggregate(
-        F.sequence(F.lit(0), F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")),
+        F.sequence(F.lit(0), F.ceil(_reach(rate, F.sqrt(rate))).cast("int")),
         F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.lit(0).alias("k")),
         lambda a, i: F.when(u < a["c"], a).otherwise(
             F.struct((a["p"] * rate / (i + 1)).alias("p"), (a["c"] + a["p"] * rate / (i + 1)).alias("c"), (a["k"] + 1).alias("k"))),
@@ -64,15 +71,34 @@ def poisson(rate: Column, u: Column) -> Column:
     )
 
 
+def _reach(rate, deviation):
+    return rate + 12 * deviation + 20
+
+
+def count_of(rate: Column, seed: int, *cols: Column) -> Column:
+    """Repetitions of a row: a sum of Poisson numbers whose means are at most ``PIECE``, so that exp(-mean) is never zero."""
+    pieces = F.greatest(F.lit(1), F.ceil(rate / F.lit(float(PIECE))).cast("int"))
+    draws = F.transform(F.sequence(F.lit(0), pieces - 1), lambda i: F.when(i == 0, uniform(seed, *cols)).otherwise(uniform(seed, *cols, i)))
+    return F.aggregate(draws, F.lit(0).cast("long"), lambda n, u: n + poisson(rate / pieces, u))
+
+
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, size: float = 1.0, seed: int = SEED,
-        id_col: str = "doc_id", source_col: str = "source", partitions: int | None = None) -> DataFrame:
+        id_col: str = "doc_id", source_col: str = "source", partitions: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """The columns of ``docs`` and copy, n_copies, mix_key, in the mixture's order."""
-    r = rates(docs, weights, source_col, size)
-    if docs.select(source_col).distinct().limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    r, sources, most = rates(docs, weights, source_col, size)
+    if sources <= BROADCAST_ROWS:
         r = F.broadcast(r)
     d = docs.join(r, docs[source_col].eqNullSafe(F.col("__src"))).drop("__src")
-    d = d.withColumn("n_copies", poisson(F.col("__rate"), uniform(seed, F.col(id_col))).cast("long")).drop("__rate").where("n_copies > 0")
-    d = d.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_copies") - 1)))
+    d = d.withColumn("n_copies", count_of(F.col("__rate"), seed, F.col(id_col))).drop("__rate").where("n_copies > 0")
+    if _reach(most, math.sqrt(most)) * 2 <= chunk:
+        d = d.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_copies") - 1)))
+    else:
+        # a rare source repeats a document very often: its copies are dealt over tasks in chunks, before they are made
+        few = d.where(F.col("n_copies") <= chunk).withColumn("__from", F.lit(0).cast("long"))
+        many = d.where(F.col("n_copies") > chunk).withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_copies") - 1, F.lit(chunk).cast("long"))))
+        many = many.repartition(F.xxhash64(id_col, "__from"))
+        last = F.least(F.col("n_copies"), F.col("__from") + chunk) - 1
+        d = few.unionByName(many).withColumn("copy", F.explode(F.sequence(F.col("__from"), last))).drop("__from")
     key = F.md5(F.concat_ws("\x1f", F.lit(f"order {seed}"), F.coalesce(F.col(id_col).cast("string"), F.lit("\x00")), F.col("copy").cast("string")))
     d = d.withColumn("mix_key", F.substring(key, 1, 16))
     return d.repartitionByRange(*([partitions] if partitions else []), "mix_key").sortWithinPartitions("mix_key")

@@ -207,6 +207,15 @@ def test_mixing(spark, none):
     assert {r.source for r in mixing.mix(d, {"small": 1.0}).collect()} == {"small"}
 
 
+def test_mixing_repeats_a_rare_source_at_a_high_rate(spark):
+    rows = [(i, "t", None, "rare" if i == 7 else "big", 1, None, None, None, None) for i in range(3000)]
+    d = spark.createDataFrame(rows, DOCS)
+    got = [(r.doc_id, r.copy, r.n_copies) for r in mixing.mix(d, chunk=100).collect()]
+    rare = sorted(c for i, c, _ in got if i == 7)
+    assert abs(len(rare) - 1500) < 200 and rare == list(range(len(rare)))
+    assert sorted(got) == sorted((r.doc_id, r.copy, r.n_copies) for r in mixing.mix(d).collect())
+
+
 def test_html(spark):
     div = "<div>Welcome to our site please read all of this</div><p>unique number{0} here</p><div>call us now or write to us soon</div>"
     rows = [(i, f"http://h.org/{i}", div.format(i)) for i in range(4)]
@@ -230,4 +239,6 @@ def test_chat(spark):
     assert [r.turn for r in one] == [0, 1, 3, 4, 2]
     assert [(r.reply_to, r.thread, r.content) for r in one[2:4]] == [(1, 1, "Thanks!"), (3, 1, "Welcome.")]
     assert next(r for r in got if r.conv_id is None).content == "hi"
+    deep = spark.createDataFrame([(1, 0, "user", ">" * 50_000 + " x\n> >y\nz")], "conv_id long, turn long, role string, text string")
+    assert [(r.max_depth, r.content) for r in chat.conversations(deep).collect()] == [(50_000, "z")]
     assert chat.conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
