@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import cut, load
 
-QUOTE = r"^\\s{0,3}((?:>\\s?)+)"
+QUOTE = r"^\\s{0,3}(>[>\\s]*)"  # one class under the star: matched in a loop, however many levels a line has
 ATTRIBUTION = r"(?i)^(?:on .{1,200} wrote|le .{1,200} a écrit|am .{1,200} schrieb|el .{1,200} escribió)\\s*:\\s*$"
 
 
