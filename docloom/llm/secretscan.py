@@ -85,8 +85,11 @@ def classified(docs: DataFrame, **how) -> DataFrame:
 def redact(docs: DataFrame, mark: str = MARK, **how) -> DataFrame:
     """The documents with every live-looking value replaced by ``mark``; widely copied examples stay, as do all rows."""
     c = classified(docs.select("doc_id", "source", "text"), **how).where(F.size("found") > 0)
-    c = c.select("__key", F.expr("filter(found, x -> not verdicts[sha2(x.value, 256)])").alias("__live")).dropDuplicates(["__key"])
-    d = docs.withColumn("__key", row_key("doc_id", "source", "text")).join(c, "__key", "left")
+    c = c.select(F.col("__key").alias("__at"), F.col("doc_id").alias("__id"), F.expr("filter(found, x -> not verdicts[sha2(x.value, 256)])").alias("__live"))
+    c = c.dropDuplicates(["__at", "__id"])
+    # ids are compared too: two documents whose keys collide keep their own spans
+    same = (F.col("__key") == F.col("__at")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    d = docs.withColumn("__key", row_key("doc_id", "source", "text")).join(c, same, "left")
     clean = F.expr(
         f"if(size(__live) > 0, aggregate(array_sort(transform(__live, x -> struct(x.from as f, x.end as e))), struct(0 as at, '' as out),"
         f" (a, x) -> if(x.f >= a.at, struct(x.e as at, concat(a.out, substr(text, a.at + 1, x.f - a.at), '{mark}') as out),"
