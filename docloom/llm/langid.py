@@ -187,7 +187,8 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, text_col: str =
             names, scores = model.predict([t if isinstance(t, str) else None for t in s])
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    out = docs.withColumn("__p", predict(F.col(text_col)))
+    # declared so that a filter on the prediction isn't pushed below it, which would parse every text twice
+    out = docs.withColumn("__p", predict.asNondeterministic()(F.col(text_col)))
     return out.select(*docs.columns, "__p.lang_pred", "__p.score")
 
 
