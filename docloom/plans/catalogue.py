@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from docloom.plans import checks, metrics, quality, records, tags, views
+from docloom.plans import checks, fixes, metrics, quality, records, tags, views
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-for _module in (quality, views, records, checks, tags, metrics):
+for _module in (quality, views, records, checks, tags, fixes, metrics):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)

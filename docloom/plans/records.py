@@ -186,18 +186,39 @@ o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, 1 + o_orderkey % 7 AS
 SELECT o_orderkey, era, {d.day('day')} AS order_date FROM o JOIN era ON o.era = era.id WHERE {d.days('day', 'start_date')} < -30 OR {d.days('day', 'end_date')} > 30"""
 
 
+def _title_classes(d: Dialect) -> str:
+    """Titles of one day with the same words are a class: c(rep, day, w, n)."""
+    ordered = d("transform(array_sort(transform(w, x -> struct(-length(x) AS l, x AS x))), y -> y.x)", "list_sort(w)")
+    return f"""p AS (SELECT doc_id, doc_id % 365 AS day, trim(substring(coalesce(text, ''), 1, 60)) AS title FROM {d.t('documents')}),
+w AS (SELECT doc_id, day, {d.words('title')} AS w FROM p WHERE length(title) >= 10),
+o AS (SELECT doc_id, day, {ordered} AS w FROM w),
+c AS (SELECT min(doc_id) AS rep, day, w, count(*) AS n FROM o GROUP BY day, w)"""
+
+
 def near_duplicate_titles(d: Dialect) -> str:
-    """Title pairs within 30 days with word similarity over 0.85, each once: day buckets, then the exact test."""
-    words = d.words("title")
-    return f"""
-WITH p AS (SELECT doc_id, doc_id % 365 AS day, trim(substring(coalesce(text, ''), 1, 60)) AS title FROM {d.t('documents')}),
-w AS (SELECT doc_id, day, {words} AS w FROM p WHERE length(title) >= 10),
-t AS (SELECT doc_id, day, w, floor(day / 30) AS bucket, md5({d.join(d.sort('w'), ' ')}) AS k FROM w),
-a AS (SELECT *, {d.each(d.array('bucket', 'bucket + 1'))} AS b FROM t),
-e AS (SELECT DISTINCT a.doc_id AS id_a, c.doc_id AS id_b, a.w AS wa, c.w AS wb, a.day AS da, c.day AS db
-  FROM (SELECT *, {d.each('w')} AS word FROM a) a JOIN (SELECT *, {d.each('w')} AS word FROM a) c ON a.b = c.b AND a.word = c.word AND a.doc_id < c.doc_id AND {d.size('a.w')} * 100 > 85 * {d.size('c.w')} AND {d.size('c.w')} * 100 > 85 * {d.size('a.w')} AND abs(a.day - c.day) <= 30
-  WHERE length(a.word) >= 6)
-SELECT id_a, id_b, {d.jaccard('wa', 'wb')} AS similarity FROM e WHERE {d.jaccard('wa', 'wb')} > 0.85"""
+    """Title pairs within 30 days with word similarity over 0.85, as pairs of classes with the number of title pairs each stands for.
+
+    Words are ordered by length, then spelling. Two sets of that similarity share
+    over 0.85 of either, so they share a word among the first
+    ``n - floor(0.85 n)`` of each: joining on those words, in day buckets, loses no
+    pair, and long words come first as they are the rarer ones.
+    """
+    inner = "SELECT rep AS id_a, rep AS id_b, n * (n - 1) DIV 2 AS n_pairs, CAST(1 AS DOUBLE) AS similarity FROM c WHERE n > 1"
+    if not d.spark:
+        return f"""WITH {_title_classes(d)}
+SELECT a.rep AS id_a, b.rep AS id_b, a.n * b.n AS n_pairs, {d.jaccard('a.w', 'b.w')} AS similarity FROM c a JOIN c b ON a.rep < b.rep AND abs(a.day - b.day) <= 30 AND {d.jaccard('a.w', 'b.w')} > 0.85
+UNION ALL {inner.replace(' DIV ', ' // ')}"""
+    return f"""WITH {_title_classes(d)},
+f AS (SELECT *, floor(day / 30) AS bucket, explode(slice(w, 1, size(w) - (85 * size(w)) DIV 100)) AS word FROM c),
+g AS (SELECT rep, day, w, n, word, explode(array(bucket - 1, bucket, bucket + 1)) AS bucket FROM f),
+j AS (SELECT DISTINCT a.rep AS id_a, b.rep AS id_b, a.n * b.n AS n_pairs, {d.jaccard('a.w', 'b.w')} AS similarity FROM g a JOIN f b
+  ON a.word = b.word AND a.bucket = b.bucket AND a.rep < b.rep AND abs(a.day - b.day) <= 30 AND size(a.w) * 100 > 85 * size(b.w) AND size(b.w) * 100 > 85 * size(a.w))
+SELECT id_a, id_b, n_pairs, similarity FROM j WHERE similarity > 0.85 UNION ALL {inner}"""
+
+
+def near_duplicate_members(d: Dialect) -> str:
+    """The class of each title in ``near_duplicate_titles``."""
+    return f"WITH {_title_classes(d)} SELECT o.doc_id, c.rep AS class_id FROM o JOIN c ON o.day = c.day AND o.w = c.w"
 
 
 def last_events(d: Dialect) -> str:
@@ -208,4 +229,4 @@ def last_events(d: Dialect) -> str:
 QUERIES, ORACLES = registry(
     filtered_scan, latest_row, point_lookup, stratified_sample, high_water_mark, duplicate_groups, duplicate_conflicts, keep_newest, dedup_backup, audit_rollup,
     key_normalise, anti_join_ingest, set_reconciliation, set_operations, merge_update, snapshot_diff, change_log, change_report, pending_changes, check_routing,
-    resume_filter, liveness, load_projection, range_lookup, near_duplicate_titles, last_events)
+    resume_filter, liveness, load_projection, range_lookup, near_duplicate_titles, near_duplicate_members, last_events)

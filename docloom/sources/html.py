@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -43,6 +45,70 @@ def html_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(strip_tags)
 
 
+class _Elements(HTMLParser):
+    """Pieces of text, and for each element the range of pieces inside it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.pieces, self.elements, self.open, self.skip = [], [], [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.skip += tag in ("script", "style")
+        if tag not in VOID:
+            self.open.append(len(self.elements))
+            self.elements.append([tag, {k: v or "" for k, v in attrs}, len(self.pieces), None])
+
+    def handle_endtag(self, tag):
+        self.skip -= tag in ("script", "style") and self.skip > 0
+        if any(self.elements[k][0] == tag for k in self.open):
+            while True:
+                k = self.open.pop()
+                self.elements[k][3] = len(self.pieces)
+                if self.elements[k][0] == tag:
+                    return
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.pieces.append(data)
+
+
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: fixed values: containers of content in the order they are tried, as (tag, attribute, text the attribute holds)
+CONTAINERS = (("", "class", "content"), ("", "class", "decision"), ("", "class", "body"), ("", "class", "text"), ("main", "", ""), ("article", "", ""), ("", "id", "content"), ("", "role", "main"))
+BLOCKS = ("div", "p", "section", "article")
+
+
+def main_content(html: str | None, letter: str = r"[^\W\d_]", enough: int = 200, least: int = 100) -> str:
+    """The first container that holds over ``enough`` characters, else the largest block over ``least``, else all text over ``least``, else nothing.
+
+    What is chosen must hold a character that ``letter`` matches.
+    """
+    parser = _Elements()
+    parser.feed(html or "")
+    parser.close()
+    pieces, found = parser.pieces, re.compile(letter)
+    text = lambda e: "".join(pieces[e[2] : e[3]])
+    ends = list(accumulate(map(len, pieces), initial=0))
+    length = lambda e: ends[len(pieces) if e[3] is None else e[3]] - ends[e[2]]
+    for tag, name, value in CONTAINERS:
+        e = next((e for e in parser.elements if (not tag or e[0] == tag) and (not name or value in e[1].get(name, ""))), None)
+        if e and length(e) > enough and found.search(text(e)):
+            return " ".join(text(e).split())
+    for e in sorted((e for e in parser.elements if e[0] in BLOCKS and length(e) > least), key=length, reverse=True):
+        whole = text(e).strip()
+        if len(whole) > least and found.search(whole):
+            return " ".join(whole.split())
+    whole = "".join(pieces)
+    return " ".join(whole.split()) if len(whole) > least else ""
+
+
+@F.pandas_udf(T.StringType())
+def main_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The main content of a page."""
+    for s in batches:
+        yield s.map(main_content)
+
+
 def title(html: Column) -> Column:
     """The title: h1, else the title element, else the first words of the text."""
     pick = lambda tag: F.nullif(F.trim(F.regexp_replace(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1), r"<[^>]*>", "")), F.lit(""))

@@ -58,6 +58,15 @@ def test_sources(spark, tmp_path):
     assert r.t == "A B" and r.x == "T A B c"
 
 
+def test_main_content_takes_container_then_block_then_text():
+    long, short = "word " * 60, "tiny"
+    assert html.main_content(f"<div>{long}</div><div class='x-content'>{short}</div>") == long.strip()
+    assert html.main_content(f"<p>{long}{long}</p><main>{long}<script>{long}</script></main>") == long.strip()
+    assert html.main_content(f"<p>{long}</p><p>{long}{long}</p>") == (long + long).strip()
+    assert html.main_content(f"<i>{long}</i>") == long.strip()
+    assert html.main_content(short) == html.main_content(None) == html.main_content("") == ""
+
+
 def test_streams_equal_batch(spark, tmp_path):
     src = spark.range(300).select(
         F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 600 + 86400).alias("ts"), (F.col("id") % 3).alias("user_id"),
