@@ -97,3 +97,33 @@ def conversations(messages: DataFrame) -> DataFrame:
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message of the whole table in its reply-ordered conversation."""
     return conversations(load(spark, sf_dir, "conversations"))
+
+
+def _oracle() -> str:
+    """DuckDB SQL: lines by splitting, first writers by grouping, threads by recursion."""
+    space = r"[ \t\n\x0B\f\r]"
+    quote = rf"^{space}{{0,3}}(>[>\t\n\x0B\f\r ]*)"
+    attribution = ATTRIBUTION.replace("\\\\", "\\").replace(r"\s", space)
+    return rf"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS t FROM conversations),
+s AS (SELECT r, unnest(regexp_split_to_array(t, '\r?\n')) AS l, unnest(range(len(regexp_split_to_array(t, '\r?\n')))) AS i FROM t),
+d AS (SELECT r, i, length(regexp_replace(regexp_extract(l, '{quote}', 1), '[^>]', '', 'g')) AS depth, regexp_replace(l, '{quote}', '') AS line FROM s),
+n AS (SELECT *, trim(line, ' ') <> '' AS worded, lower(trim(regexp_replace(line, '{space}+', ' ', 'g'), ' ')) AS norm,
+  coalesce(lead(depth) OVER (PARTITION BY r ORDER BY i) > 0 AND regexp_matches(line, '{attribution}'), false) AS leads FROM d),
+c AS (SELECT r, trim(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (depth = 0 AND NOT leads), ''), chr(10)) AS content,
+  count(*) FILTER (worded AND depth > 0) AS n_quoted, coalesce(max(depth) FILTER (worded), 0)::BIGINT AS max_depth FROM n GROUP BY r),
+x AS (SELECT conv_id, turn, depth, norm FROM n JOIN t USING (r) WHERE worded AND turn IS NOT NULL),
+o AS (SELECT conv_id, norm, min(turn) AS origin FROM x WHERE depth = 0 GROUP BY conv_id, norm),
+k AS (SELECT x.conv_id, turn, count(*) AS n_linked, first(origin ORDER BY depth, origin DESC) AS reply_to
+  FROM x JOIN o ON x.conv_id IS NOT DISTINCT FROM o.conv_id AND x.norm = o.norm AND origin < turn WHERE depth > 0 GROUP BY x.conv_id, turn),
+f AS (SELECT conv_id, turn, reply_to AS root, 1::BIGINT AS level FROM k
+  UNION ALL SELECT f.conv_id, f.turn, k.reply_to, level + 1 FROM f JOIN k ON f.conv_id IS NOT DISTINCT FROM k.conv_id AND f.root = k.turn),
+e AS (SELECT conv_id, turn, max(level) AS level, max_by(root, level) AS root FROM f GROUP BY conv_id, turn)
+SELECT t.conv_id, t.turn, role, CASE WHEN contains(t, '>') THEN content ELSE t END AS content,
+  '<|' || role || '|>' || chr(10) || CASE WHEN contains(t, '>') THEN content ELSE t END || '<|end|>' AS formatted,
+  reply_to, coalesce(root, t.turn) AS thread, coalesce(level, 0) AS level, n_quoted, max_depth, coalesce(n_linked, 0) AS n_linked
+FROM t JOIN c USING (r) LEFT JOIN k ON t.conv_id IS NOT DISTINCT FROM k.conv_id AND t.turn = k.turn
+LEFT JOIN e ON t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.turn = e.turn"""
+
+
+ORACLE = _oracle()

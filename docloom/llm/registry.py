@@ -17,4 +17,4 @@ QUERIES = {
     "op10_chat_format": chat.op10_chat_format,
 }
 
-ORACLES: dict[str, str] = {"op2_secret_scan": secretscan.ORACLE, "op4_quality_rules": quality.ORACLE, "op8_mix_sources": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_secret_scan": secretscan.ORACLE, "op4_quality_rules": quality.ORACLE, "op8_mix_sources": mixing.ORACLE, "op10_chat_format": chat.ORACLE}

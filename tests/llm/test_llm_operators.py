@@ -222,11 +222,73 @@ def test_html(spark):
     rows += [(4, "http://h.org/x", "<nav>menu</nav><article><h1>T &amp; x</h1><p>a <b>b</b>c<br>d</p><aside>no</aside><div class='comments'>no</div></article><footer>f</footer>"), (5, None, None), (None, "u", ""), (6, "u", "<p>a < b <!-- c --> d")]
     got = {r.page_id: r for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[4].text == "T & x a bc d"
-    assert got[0].text == "unique number0 here" or got[0].text == "number0" or "number0" in got[0].text and "Welcome" not in got[0].text
+    assert got[0].text == "unique number0 here"
     assert got[5].text == "" and got[None].n_chars == 0 and got[6].text == "a < b d"
     assert htmltext.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_boilerplate_by_brute_force(spark):
+    rng, least = np.random.default_rng(9), 3
+    blocks = [" ".join(f"w{x}" for x in rng.integers(0, 12, n)) for n in rng.integers(1, 8, 30)]
+    pages = [(p, f"http://h{p % 2}.org/{p}", [blocks[k] for k in rng.integers(0, 30, 6)] + [f"own{p} a b own{p}"]) for p in range(12)]
+    rows = [(p, u, "".join(f"<div>{b}</div>" for b in bs)) for p, u, bs in pages]
+    got = {r.page_id: r for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), least).collect()}
+    for p, _, bs in pages:
+        mine, out = " ".join(bs).split(), []
+        others = [" " + " ".join(c) + " " for q, _, c in pages if q != p and q % 2 == p % 2]
+        gone = {i + k for i in range(len(mine) - least + 1) for k in range(least) if any(f" {' '.join(mine[i : i + least])} " in o for o in others)}
+        at = 0
+        for b in bs:
+            mark = [at + k in gone for k in range(len(b.split()))]
+            if not all(mark):
+                first, last = mark.index(False), len(mark) - mark[::-1].index(False)
+                mark = [m and (k >= first or first >= least) and (k < last or len(mark) - last >= least) for k, m in enumerate(mark)]
+            out += [w for w, m in zip(b.split(), mark) if not m]
+            at += len(mark)
+        assert got[p].text == " ".join(out) and got[p].n_chars == len(got[p].text)
+
+
+def test_licenses_by_brute_force(spark):
+    rng, book = np.random.default_rng(4), licenses.rules()
+    grants = ["licensed under the apache license version 2 0", "MIT license!", "SPDX-License-Identifier: GPL-3.0", "released under the terms of the mozilla public license 2.0",
+              "gnu general public license version 2 or any later version", "cc by", "all rights reserved", "license is bsd 3 clause", "www.gnu.org/licenses/gpl", "", "CC BY MIT License", "mit license mit license"]
+    texts = [" ".join(rng.choice([*grants, "some other words", "und mehr", "license"], 9)) for _ in range(40)]
+    frame = spark.createDataFrame([(i, t, *[None] * 7) for i, t in enumerate(texts)], DOCS)
+    for r in licenses.scan(frame).collect():
+        n = " " + " ".join(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", texts[r.doc_id].lower())) + " "
+        place = lambda m: (n[: m.start()].count(" "), n[: m.end()].count(" "))
+        base = sorted((place(m)[0], label) for phrase, label in licenses.BASE.items() for m in re.finditer(f" {phrase}(?= )", n))
+        assert sorted((x.s, x.label) for x in r.base) == base and r.n_words == len(n.split())
+        hits = [(*place(m), rule.priority, -i, rule.label) for i, rule in enumerate(book) if f" {rule.keyword} " in n for m in re.finditer(f" {rule.pattern}(?= )", n)]
+        better = lambda x, y: x[0] <= y[0] and x[1] >= y[1] and (x[2], x[1] - x[0], x[3]) > (y[2], y[1] - y[0], y[3])
+        assert sorted((x.s, x.e, x.label) for x in r.found) == sorted((h[0], h[1], h[4]) for h in hits if not any(better(o, h) for o in hits))
+
+
+def test_chat_equals_its_sql(spark):
+    import duckdb
+
+    rng, rows = np.random.default_rng(6), []
+    for conv in (1, 2, None):
+        said = []
+        for turn in range(14):
+            text = [f"Line {x}" for x in rng.integers(0, 30, 3)]
+            if turn and rng.random() < 0.7:
+                text = ["On Monday B wrote:", *[("> " if rng.random() < 0.5 else ">>  ") + q for q in rng.choice(said, 2)], "> never said", *text]
+            said += [x for x in text if not x.startswith((">", "On"))]
+            rows.append((conv, turn if turn < 13 else None, "user" if turn % 2 else None, "\n".join(text) if turn != 5 else None))
+    rows += rows[:3] + [(3, 0, "user", ""), (3, 1, "user", ">\n> \r\n\nx > y"), (3, 2, "user", "  > x > y\nok")]
+    conversations = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.conversations(conversations)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    cur = con.execute(chat.ORACLE)
+    names = [c[0] for c in cur.description]
+    want = [tuple(map(str, r)) for r in cur.fetchall()]
+    assert sorted(tuple(str(r[n]) for n in names) for r in got.collect()) == sorted(want)
+    assert len({r[names.index("level")] for r in want}) > 3
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "How do I sort a list?"), (1, 1, "assistant", "Use sorted(x)."), (1, 2, "user", "Something else."),
