@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "\x02"
 LONG = 48  # words longer than this are parsed without being remembered
 REMEMBERED = 200_000
+SLICE = 64
 
 
 class SuffixAutomaton:
@@ -180,12 +182,16 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, text_col: str =
     """``docs`` with lang_pred and score."""
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample's parameters
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for s in batches:
-            names, scores = model.predict([t if isinstance(t, str) else None for t in s])
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+        for texts in batches:
+            names, scores = [], []
+            for k in range(0, len(texts), SLICE):  # few texts at a time are strings beside the batch that holds them
+                some = model.predict(texts.slice(k, SLICE).to_pylist())
+                names += some[0]
+                scores += some[1]
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     # declared so that a filter on the prediction isn't pushed below it, which would parse every text twice
     out = docs.withColumn("__p", predict.asNondeterministic()(F.col(text_col)))
