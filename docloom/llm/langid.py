@@ -17,7 +17,8 @@ frequent (ties by spelling). Every text is parsed whole.
 
 Defined results: ``und`` with score 0 where a text is null or has no letter, or
 no labelled text exists; repeated rows get a row each; a null lang teaches
-nothing; other columns are not touched.
+nothing; other columns are not touched, but ``identify`` replaces columns of the
+names it adds.
 """
 
 from __future__ import annotations
@@ -137,7 +138,7 @@ class Model:
         names, scores, mask = [], [], (1 << 40) - 1
         for text in texts:
             words = LETTERS.findall(text.lower()) if text else ()
-            if not words or not n:
+            if not n or not any(c.isalpha() for w in words for c in w):  # superscripts and the like are no letters
                 names.append("und")
                 scores.append(0.0)
                 continue
@@ -178,8 +179,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = S
     return Model(words)
 
 
-def identify(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score."""
+def _predicted(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with __p, a struct of lang_pred and score."""
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample's parameters
 
     @F.arrow_udf("lang_pred string, score double")
@@ -194,15 +195,20 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, text_col: str =
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     # declared so that a filter on the prediction isn't pushed below it, which would parse every text twice
-    out = docs.withColumn("__p", predict.asNondeterministic()(F.col(text_col)))
-    return out.select(*docs.columns, "__p.lang_pred", "__p.score")
+    return docs.withColumn("__p", predict.asNondeterministic()(F.col(text_col)))
+
+
+def identify(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with lang_pred and score."""
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    return _predicted(spark, docs, model, text_col).select(*kept, "__p.lang_pred", "__p.score")
 
 
 def accept(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents with a language; ``und`` goes. lang becomes the prediction."""
     model = train(docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id"))))
-    found = identify(spark, docs.withColumnRenamed("lang", "__lang"), model).where("lang_pred != 'und'")
-    return found.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+    found = _predicted(spark, docs, model).where("__p.lang_pred != 'und'")
+    return found.select(*[F.col("__p.lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
