@@ -17,7 +17,8 @@ rare source at a high rate is drawn in pieces and its copies are made in chunks.
 Defined results: a null source is a source of its own; identical rows draw the
 same count; documents whose count is zero go, which is what the weights ask
 for; an empty table gives an empty table; other columns stay, whatever their
-names.
+names: where one is called like a column this adds, the added one's name ends
+in an underscore.
 """
 
 from __future__ import annotations
@@ -85,23 +86,28 @@ def count_of(rate: Column, seed: int, *cols: Column) -> Column:
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, size: float = 1.0, seed: int = SEED,
         id_col: str = "doc_id", source_col: str = "source", partitions: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """The columns of ``docs`` and copy, n_copies, mix_key, in the mixture's order."""
+    have, added = {c.lower() for c in docs.columns}, {}
+    for name in ("copy", "n_copies", "mix_key"):
+        added[name] = name
+        while added[name] in have:
+            added[name] += "_"
     r, sources, most = rates(docs, weights, source_col, size)
     if sources <= BROADCAST_ROWS:
         r = F.broadcast(r)
     d = docs.join(r, docs[source_col].eqNullSafe(F.col("__src"))).drop("__src")
-    d = d.withColumn("n_copies", count_of(F.col("__rate"), seed, F.col(id_col))).drop("__rate").where("n_copies > 0")
+    d = d.withColumn("__n_copies", count_of(F.col("__rate"), seed, F.col(id_col))).drop("__rate").where("__n_copies > 0")
     if _reach(most, math.sqrt(most)) * 2 <= chunk:
-        d = d.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_copies") - 1)))
+        d = d.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n_copies") - 1)))
     else:
         # a rare source repeats a document very often: its copies are dealt over tasks in chunks, before they are made
-        few = d.where(F.col("n_copies") <= chunk).withColumn("__from", F.lit(0).cast("long"))
-        many = d.where(F.col("n_copies") > chunk).withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_copies") - 1, F.lit(chunk).cast("long"))))
+        few = d.where(F.col("__n_copies") <= chunk).withColumn("__from", F.lit(0).cast("long"))
+        many = d.where(F.col("__n_copies") > chunk).withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n_copies") - 1, F.lit(chunk).cast("long"))))
         many = many.repartition(F.xxhash64(id_col, "__from"))
-        last = F.least(F.col("n_copies"), F.col("__from") + chunk) - 1
-        d = few.unionByName(many).withColumn("copy", F.explode(F.sequence(F.col("__from"), last))).drop("__from")
-    key = F.md5(F.concat_ws("\x1f", F.lit(f"order {seed}"), F.coalesce(F.col(id_col).cast("string"), F.lit("\x00")), F.col("copy").cast("string")))
-    d = d.withColumn("mix_key", F.substring(key, 1, 16))
-    return d.repartitionByRange(*([partitions] if partitions else []), "mix_key").sortWithinPartitions("mix_key")
+        last = F.least(F.col("__n_copies"), F.col("__from") + chunk) - 1
+        d = few.unionByName(many).withColumn("__copy", F.explode(F.sequence(F.col("__from"), last))).drop("__from")
+    key = F.md5(F.concat_ws("\x1f", F.lit(f"order {seed}"), F.coalesce(F.col(id_col).cast("string"), F.lit("\x00")), F.col("__copy").cast("string")))
+    d = d.withColumn("__mix_key", F.substring(key, 1, 16))
+    return d.repartitionByRange(*([partitions] if partitions else []), "__mix_key").sortWithinPartitions("__mix_key").select(*docs.columns, *[F.col(f"__{n}").alias(x) for n, x in added.items()])
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
