@@ -54,6 +54,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 def unit(rows: list, dim: int) -> np.ndarray:
     x = np.asarray(rows, dtype=np.float64).reshape(len(rows), dim)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])  # by a power of two: exact, and squares neither overflow nor vanish
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -68,6 +69,7 @@ class Codec:
         self.coarse = kmeans(x, lists)
         rest = self.pad(x - self.coarse[self.distances(x).argmin(1)])
         self.books = [kmeans(rest[:, s], CODEWORDS) for s in range(self.m)]
+        self.gaps = None
 
     def pad(self, r: np.ndarray) -> np.ndarray:
         out = np.zeros((len(r), self.m * self.width), dtype=np.float32)
@@ -89,8 +91,11 @@ class Codec:
 
     def probes(self, x: np.ndarray, d: np.ndarray, home: np.ndarray, radius: float) -> np.ndarray:
         """Mask of the lists that can hold a vector within the radius."""
-        gap = np.sqrt(np.maximum(0, ((self.coarse[:, None] - self.coarse[None]) ** 2).sum(2)))[home]
-        return d - d[np.arange(len(x)), home][:, None] <= 2 * (radius + SLACK) * gap + SLACK
+        if self.gaps is None:  # on first use in a worker
+            c = self.coarse.astype(np.float64)
+            s = (c * c).sum(1)
+            self.gaps = np.sqrt(np.maximum(0, s[:, None] + s - 2 * c @ c.T))
+        return d - d[np.arange(len(x)), home][:, None] <= 2 * (radius + SLACK) * self.gaps[home] + SLACK
 
 
 def usable() -> str:
@@ -122,7 +127,8 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, cosine: float = COSINE
     shared = spark.sparkContext.broadcast(codecs)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        step = max(1, (1 << 20) // lists)
+        for pdf in (b[k : k + step] for b in batches for k in range(0, len(b), step)):
             for (dim, ), g in pdf.groupby(["dim"]):
                 codec = shared.value[int(dim)]
                 x = unit(list(g["embedding"]), int(dim))
