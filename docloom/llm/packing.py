@@ -12,7 +12,9 @@ Packing is sequential, so documents are dealt by hash into shards of about
 ``shard`` rows, packed independently: longest piece first, ties by doc_id. A
 shard never grows with the data, whatever its sources or clusters; the price is
 a few bins at the end of each shard that are not full. Only ids, word counts,
-sources and cluster hashes are shuffled, never texts.
+sources and cluster hashes are shuffled, never texts. Identical rows (a mixture
+repeats documents) are one row with a count until each of them is dealt to a
+shard by its number, so they never meet in one.
 
 Defined results: a text without words is a piece of zero words and gets a place
 like any other; null doc_ids, sources and texts are values like others; a null
@@ -34,6 +36,7 @@ from docloom.llm.common import ascii_lower, load, row_key
 CAPACITY = 2048
 PER_SOURCE = 4
 SHARD = 4096
+CHUNK = 65_536  # copies of a row that one array holds while they are dealt
 
 
 def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity: int, per_source: int) -> tuple[list[int], list[int]]:
@@ -82,7 +85,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
         "doc_id", "source", "__key",
         F.expr(r"if(__w = '', 0, length(regexp_replace(regexp_replace(__w, '[\\x20\\x09-\\x0D]+', '\u0001'), '[^\u0001]+', '')) + 1)").cast("long").alias("words"),
         (F.col("__c") if cluster_col else F.xxhash64(F.expr(r"regexp_replace(lower(__w), '\\s+', ' ')"))).alias("cluster"),
-    ).withColumn("shard", F.pmod(F.xxhash64("__key", F.lit("shard")), F.lit(shards)))
+    ).groupBy("doc_id", "source", "__key", "words", "cluster").agg(F.count("*").alias("__n"))
+    zero, chunk = F.lit(0).cast("long"), F.lit(CHUNK).cast("long")
+    d = d.withColumn("__from", F.explode(F.sequence(zero, F.col("__n") - 1, chunk)))
+    d = d.withColumn("__copy", F.explode(F.sequence(F.col("__from"), F.least(F.col("__n"), F.col("__from") + chunk) - 1))).drop("__n", "__from")
+    d = d.withColumn("shard", F.pmod(F.xxhash64("__key", "__copy", F.lit("shard")), F.lit(shards))).drop("__copy")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "__key"], kind="stable", na_position="first", ignore_index=True)
