@@ -1,17 +1,20 @@
 """Operator 9: SimHash near-dedup by a binary trie self-join.
 
 Fingerprints are 64 bits wide and link at ``budget`` or fewer differing bits.
-Two tries hold the distinct fingerprints, one for each half of the bits first:
-of two fingerprints that link, one half differs in at most half the budget, so
-the trie that starts with that half meets the pair while it lets only budget/2
-errors into its first 32 levels. A trie is walked by pairs of nodes together;
-a pair is dropped once its differing bits exceed the budget.
-
-The top ``depth`` levels are walked by Spark: a fingerprint goes to every pair
-of top nodes within the budget. A node with more than ``leaf`` fingerprints is
-dealt over several tasks by hash, so no task grows with the data. Each task
-walks its pair of subtrees in numpy and returns links that span what it has
-joined; components of those links are found with DataFrame joins.
+The bits are cut into more blocks than the budget has errors, so of two
+fingerprints that link some blocks agree whole. For each choice of such blocks
+a trie holds the distinct fingerprints with those blocks first; every pair that
+links meets in one of the tries with no error in its first levels. A trie is
+walked by pairs of nodes together; a pair is dropped once its differing bits
+exceed what its level allows.
+
+The top ``depth`` levels are walked by Spark: they allow no error, so a
+fingerprint goes to one node in each trie and is copied 5 times (budget 4) up
+to 2**12 leaves of input, 15 times up to 2**20, 35 times beyond. A node with
+more than ``4 * leaf`` fingerprints is dealt over several tasks by hash, so no
+task grows with the data. Each task walks its subtree in numpy and returns
+links that span what it has joined; components of those links are found with
+DataFrame joins.
 
 Defined results: a null or wordless text has fingerprint zero and links like
 any other; repeated rows keep their own rows; a null doc_id takes part by its
@@ -21,11 +24,12 @@ text and is never a component's id while any document has one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.common import components, cut, forest, load, row_key, spanning
@@ -73,13 +77,15 @@ def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64) ->
     return np.clip(np.searchsorted(keys, first), lo, hi)
 
 
-def trie_links(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def trie_links(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int, head: tuple[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Indices (i, j) of links between sorted distinct keys a and b (b None: within a).
 
     Node pairs start at ``depth``, where all of a share one prefix and all of b
-    another. The first 32 levels admit budget // 2 errors. What is returned
-    spans the groups that the links join: fewer pairs than keys.
+    another. ``head`` is a number of first levels and the errors they admit; by
+    default half the budget in the first 32. What is returned spans the groups
+    that the links join: fewer pairs than keys.
     """
+    top, few = head or (32, budget // 2)
     own, b = b is None, a if b is None else b
     if not len(a) or not len(b):
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -120,7 +126,7 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int) ->
         bit = np.uint64(1) << np.uint64(63 - level)
         am, bm = _split(a, al, ah, bit), _split(b, bl, bh, bit)
         same = (al == bl) & (ah == bh) & own
-        admit = budget // 2 if level < 32 else budget
+        admit = few if level < top else budget
         parts = [
             (al, am, bl, bm, err, True),
             (am, ah, bm, bh, err, True),
@@ -137,49 +143,70 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int) ->
     return spanning(label)
 
 
+def tries(budget: int, depth: int) -> list[list[tuple[int, int]]]:
+    """For each trie its blocks, (lowest bit, width), those without errors first.
+
+    The fewest blocks are taken whose choices are ``depth`` or more bits wide,
+    but never more than three over the budget.
+    """
+    for free in (1, 2, 3):
+        n = budget + free
+        at = [64 * k // n for k in range(n + 1)]
+        blocks = [(lo, hi - lo) for lo, hi in zip(at, at[1:])]
+        made = [[*first, *(x for x in blocks if x not in first)] for first in combinations(blocks, free)]
+        if head_width(made, free) >= depth:
+            break
+    return made
+
+
+def head_width(made: list[list[tuple[int, int]]], free: int) -> int:
+    """The fewest bits that the error-free blocks of a trie have."""
+    return min(sum(width for _, width in blocks[:free]) for blocks in made)
+
+
+def _key(fp: Column, blocks: list[tuple[int, int]]) -> Column:
+    """The bits of fp, block after block."""
+    key, left = F.lit(0).cast("long"), 64
+    for lo, width in blocks:
+        left -= width
+        key = key.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1)), left))
+    return key
+
+
+def _fp(key: np.ndarray, blocks: list[tuple[int, int]]) -> np.ndarray:
+    """The fingerprints of keys."""
+    fp, left = np.zeros_like(key), 64
+    for lo, width in blocks:
+        left -= width
+        fp |= (key >> np.uint64(left) & np.uint64((1 << width) - 1)) << np.uint64(lo)
+    return fp
+
+
 def links(spark: SparkSession, fps: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
     """(u, v): links between the distinct fingerprints ``fps(fp)`` that together connect all that link."""
     n = fps.count()
-    depth = int(min(20, max(3, np.ceil(np.log2(max(1, n) / leaf)))))
-    half = budget // 2
-    masks = [m for m in range(1 << depth) if m.bit_count() <= half] if depth <= 12 else sorted({
-        (1 << i) | (1 << j) if half >= 2 else (1 << i) for i in range(depth) for j in range(depth)} | {0})
-    keyed = fps.select(
-        F.explode(F.array(F.struct(F.lit(0).alias("trie"), F.col("fp").alias("key")),
-                          F.struct(F.lit(1).alias("trie"), F.shiftleft("fp", 32).bitwiseOR(F.shiftrightunsigned("fp", 32)).alias("key")))).alias("x")
-    ).select("x.trie", "x.key", F.shiftrightunsigned("x.key", 64 - depth).alias("node"))
-    # at most 2 * 2**20 rows whatever the input; a node over the leaf size is dealt over several tasks
-    parts = keyed.groupBy("trie", "node").agg(F.ceil(F.count("*") / F.lit(leaf)).cast("int").alias("parts"))
-    other = parts.select("trie", F.col("node").alias("other"), F.col("parts").alias("other_parts"))
-    mine = keyed.join(F.broadcast(parts), ["trie", "node"]).withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int"))
-    routed = (
-        mine.withColumn("mask", F.explode(F.array([F.lit(m).cast("long") for m in masks])))
-        .withColumn("other", F.col("node").bitwiseXOR(F.col("mask")))
-        .join(F.broadcast(other), ["trie", "other"])
-        .withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
-    )
-    first = (F.col("node") < F.col("other")) | ((F.col("node") == F.col("other")) & (F.col("part") <= F.col("other_part")))
-    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
-    routed = routed.select(
-        "trie", pick("node", "other").alias("p"), pick("other", "node").alias("q"),
-        pick("part", "other_part").alias("pp"), pick("other_part", "part").alias("qp"),
-        F.when(first, 0).otherwise(1).alias("side"), "key",
-    )
+    depth = max(3, int(np.ceil(np.log2(max(1, n) / leaf))))
+    made = tries(budget, depth)
+    exact = head_width(made, len(made[0]) - budget)
+    depth = min(depth, exact)
+    keyed = fps.select(F.explode(F.array(*[F.struct(F.lit(k).alias("trie"), _key(F.col("fp"), blocks).alias("key")) for k, blocks in enumerate(made)])).alias("x"))
+    keyed = keyed.select("x.trie", "x.key", F.shiftrightunsigned("x.key", 64 - depth).alias("node"))
+    # few nodes are far over the mean; they are dealt over several tasks, each part against each
+    parts = keyed.groupBy("trie", "node").agg(F.count("*").alias("n")).where(F.col("n") > 4 * leaf).select(
+        "trie", "node", F.ceil(F.col("n") / F.lit(leaf)).cast("int").alias("parts"))
+    mine = keyed.join(parts, ["trie", "node"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    routed = mine.withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    routed = routed.select("trie", "node", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), (F.col("part") > F.col("other")).alias("second"), "key")
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        trie, own = pdf["trie"].iat[0], pdf["p"].iat[0] == pdf["q"].iat[0] and pdf["pp"].iat[0] == pdf["qp"].iat[0]
-        key = pdf["key"].to_numpy().view(np.uint64)
-        side = pdf["side"].to_numpy()
-        a = np.unique(key[side == 0])
-        b = None if own else np.unique(key[side == 1])
-        i, j = trie_links(a, b, depth, budget)
+        blocks, own = made[pdf["trie"].iat[0]], pdf["p"].iat[0] == pdf["q"].iat[0]
+        key, second = pdf["key"].to_numpy().view(np.uint64), pdf["second"].to_numpy()
+        a, b = np.unique(key[~second]), None if own else np.unique(key[second])
+        i, j = trie_links(a, b, depth, budget, (exact, 0))
         both = a if own else np.concatenate((a, b))
-        u, v = both[i], both[j]
-        if trie:
-            u, v = ((x << np.uint64(32)) | (x >> np.uint64(32)) for x in (u, v))
-        return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
+        return pd.DataFrame({"u": _fp(both[i], blocks).view(np.int64), "v": _fp(both[j], blocks).view(np.int64)})
 
-    return routed.groupBy("trie", "p", "q", "pp", "qp").applyInPandas(walk, "u long, v long")
+    return routed.groupBy("trie", "node", "p", "q").applyInPandas(walk, "u long, v long")
 
 
 def grouped(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), budget: int = BUDGET, shingle: int = SHINGLE, leaf: int = LEAF) -> DataFrame:
