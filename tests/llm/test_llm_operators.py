@@ -304,3 +304,60 @@ def test_chat(spark):
     deep = spark.createDataFrame([(1, 0, "user", ">" * 50_000 + " x\n> >y\nz")], "conv_id long, turn long, role string, text string")
     assert [(r.max_depth, r.content) for r in chat.conversations(deep).collect()] == [(50_000, "z")]
     assert chat.conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_simhash_links_at_every_depth(spark):
+    rng = np.random.default_rng(1)
+    centre = rng.integers(0, 1 << 63, 200, dtype=np.uint64) * np.uint64(2)
+    keys = [centre]
+    for _ in range(12):
+        near = centre.copy()
+        for _ in range(rng.integers(1, 6)):
+            near = near ^ (np.uint64(1) << rng.integers(0, 64, len(centre)).astype(np.uint64))
+        keys.append(near)
+    keys = np.unique(np.concatenate(keys))
+    want = common.forest(len(keys), *np.nonzero(np.bitwise_count(keys[:, None] ^ keys[None]) <= 4))
+    fps, at = keys.view(np.int64).tolist(), {int(k): i for i, k in enumerate(keys.view(np.int64))}
+    df = spark.createDataFrame([(k,) for k in fps], "fp long")
+    for leaf in (32768, 20):  # leaf 20: nodes over four leaves are dealt in parts
+        rows = simhash.links(spark, df, 4, leaf).collect()
+        u, v = (np.array([at[r[c]] for r in rows]) for c in (0, 1))
+        assert (common.forest(len(keys), u, v) == want).all()
+
+
+@pytest.mark.parametrize("depth, copies", [(3, 5), (12, 5), (13, 15), (20, 15), (21, 35), (40, 35)])
+def test_simhash_tries(depth, copies):
+    made = simhash.tries(4, depth)
+    assert len(made) == copies and all(sum(w for _, w in blocks) == 64 for blocks in made)
+    key = np.array([0, 1, 0x0123456789ABCDEF, (1 << 64) - 1], dtype=np.uint64)
+    assert all(len(set(simhash._fp(key, blocks).tolist())) == 4 for blocks in made)
+
+
+def test_packing_deals_identical_rows(spark):
+    rows = [(7, "one and the same text", *[None] * 7)] * 3000
+    got = packing.pack(spark.createDataFrame(rows, DOCS), shard=100).collect()
+    assert len(got) == 3000 and max(Counter(r.shard for r in got).values()) < 200
+    assert len({(r.shard, r.bin) for r in got}) == 3000  # copies conflict with each other
+
+
+def test_unit_vectors_of_extreme_lengths():
+    x = np.array([[3.0, 4.0], [0.25, -1.5]])
+    want = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for scale in (1.0, 2.0**900, 2.0**-900):
+        assert (pqdedup.unit(list(x * scale), 2) == want).all()
+
+
+def test_added_columns_that_clash(spark):
+    rows = [(i, "the cat and the dog" if i % 2 else "der hund und die katze", "en" if i % 2 else "de", f"s{i % 2}", i, i / 7, "p", "k") for i in range(40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, copy int, score double, lang_pred string, mix_key string")
+    kept = langid.accept(spark, d)
+    assert kept.columns == d.columns and sorted(map(tuple, kept.collect())) == sorted(rows)
+    assert langid.identify(spark, d, langid.train(d)).where("lang_pred = lang").count() == 40
+    mixed = mixing.mix(d)
+    assert mixed.columns == [*d.columns, "copy_", "n_copies", "mix_key_"]
+    assert all(r.copy == r.doc_id and r.mix_key == "k" and r.copy_ < r.n_copies for r in mixed.collect())
+
+
+def test_numbers_that_are_no_letters():
+    model = langid.Model({"en": ["cat"], "de": ["katze"]})
+    assert model.predict(["\u00b2\u00bd", "x\u00b2", None])[0][0] == "und" and model.predict(["cat\u00b2"])[0] == ["en"]
