@@ -361,3 +361,22 @@ def test_added_columns_that_clash(spark):
 def test_numbers_that_are_no_letters():
     model = langid.Model({"en": ["cat"], "de": ["katze"]})
     assert model.predict(["\u00b2\u00bd", "x\u00b2", None])[0][0] == "und" and model.predict(["cat\u00b2"])[0] == ["en"]
+
+
+@pytest.mark.parametrize("depth", [20, 27])
+def test_simhash_links_with_more_tries(spark, monkeypatch, depth):
+    rng = np.random.default_rng(depth)
+    centre = rng.integers(0, 1 << 63, 60, dtype=np.uint64) * np.uint64(2)
+    keys = [centre]
+    for _ in range(12):
+        near = centre.copy()
+        for _ in range(rng.integers(3, 6)):
+            near = near ^ (np.uint64(1) << rng.integers(0, 64, len(centre)).astype(np.uint64))
+        keys.append(near)
+    keys = np.unique(np.concatenate(keys))
+    made = simhash.tries(4, depth)
+    monkeypatch.setattr(simhash, "tries", lambda budget, wanted: made)
+    rows = simhash.links(spark, spark.createDataFrame([(k,) for k in keys.view(np.int64).tolist()], "fp long")).collect()
+    at = {int(k): i for i, k in enumerate(keys.view(np.int64))}
+    u, v = (np.array([at[r[c]] for r in rows]) for c in (0, 1))
+    assert (common.forest(len(keys), u, v) == common.forest(len(keys), *np.nonzero(np.bitwise_count(keys[:, None] ^ keys[None]) <= 4))).all()
