@@ -4,6 +4,9 @@ A text is normalised to lower-case words one space apart, so ``Apache-2.0`` read
 ``apache 2 0``. Each licence names the phrases it goes by; each template is a
 way of invoking a name. Rules come in order of priority: hand-written passages
 of licence texts first, then tags, grants, and bare mentions.
+
+A rule is tried only on texts that have its keyword, so every text that its
+pattern matches must have it, or another rule of the same label that does.
 """
 
 from __future__ import annotations
@@ -84,12 +87,38 @@ NAMES: dict[str, str] = {
     "zpl-2.1": r"(?:zope public license|zpl)(?: version)?(?: 2 1)?",
 }
 
-#: (keyword, priority, confidence, pattern around a name)
-TEMPLATES: tuple[tuple[str, int, float, str], ...] = (
-    ("spdx", 90, 1.0, r"spdx license identifier {}"),
-    ("licensed", 80, 0.95, r"licensed under (?:the )?(?:terms of )?(?:the )?{}"),
-    ("released", 78, 0.9, r"(?:released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?{}"),
-    ("license", 70, 0.85, r"licen[cs]ed? (?:is )?{}"),
+#: (keywords, priority, confidence, pattern around a keyword and a name): a rule for each keyword, which every text it matches has
+TEMPLATES: tuple[tuple[tuple[str, ...], int, float, str], ...] = (
+    (("spdx",), 90, 1.0, r"{} license identifier {}"),
+    (("licensed",), 80, 0.95, r"{} under (?:the )?(?:terms of )?(?:the )?{}"),
+    (("released", "distributed", "available", "published"), 78, 0.9, r"{} under (?:the )?(?:terms of )?(?:the )?{}"),
+    (("license", "licence", "licensed", "licenced"), 70, 0.85, r"{} (?:is )?{}"),
+)
+
+#: labels whose names stand for a licence wherever they are written -> words of which every spelling has one
+BARE: dict[str, tuple[str, ...]] = {
+    "artistic-1.0": ("artistic",), "artistic-2.0": ("artistic",), "agpl-3.0": ("affero", "agpl", "agplv3", "agpl3"), "busl-1.1": ("business", "busl"),
+    "cc0-1.0": ("cc0", "cc", "creative"), **{f"cc-{x}": ("cc", "creative") for x in "by-4.0 by-3.0 by-2.0 by-sa by-nc by-nd by-nc-sa by-nc-nd".split()},
+    "cddl-1.0": ("cddl", "development"), "epl-1.0": ("eclipse", "epl", "eplv1", "epl1"), "epl-2.0": ("eclipse", "epl", "eplv2", "epl2"),
+    "eupl-1.2": ("european", "eupl", "eupl1"), "gfdl-1.3": ("documentation", "gfdl"), **{f"gpl-{n}.0": ("gnu", "gpl", f"gplv{n}", f"gpl{n}") for n in (1, 2, 3)},
+    **{f"lgpl-{v}": ("gnu", "lgpl", f"lgplv{v[0]}", f"lgpl{v[0]}") for v in ("2.0", "2.1", "3.0")}, "lppl-1.3c": ("latex", "lppl"),
+    "mpl-1.1": ("mozilla", "mpl", "mpl1"), "mpl-2.0": ("mozilla", "mpl", "mpl2"), "ms-pl": ("microsoft", "ms"), "ms-rl": ("microsoft", "ms"),
+    "odbl-1.0": ("database", "odbl"), "odc-by": ("commons", "odc"), "ofl-1.1": ("ofl", "sil"), "osl-3.0": ("osl", "software"), "pddl-1.0": ("dedication", "pddl"),
+    "php-3.01": ("php",), "postgresql": ("postgresql",), "psf-2.0": ("psf", "python"), "qpl-1.0": ("q", "qpl"), "ruby": ("ruby",), "sspl-1.0": ("server", "sspl", "sspl1"),
+    "unlicense": ("unlicense",), "upl-1.0": ("universal",), "vim": ("vim",), "w3c": ("w3c",), "wtfpl": ("fuck", "wtfpl"), "x11": ("x11",), "zpl-2.1": ("zope", "zpl"),
+}
+#: the others are also names of places, programs and words (``mit`` is German): (label, keyword, spelling that stands for the licence)
+BARE_SPELLINGS: tuple[tuple[str, str, str], ...] = (
+    ("apache-1.1", "apache", r"apache (?:software )?(?:license )?(?:version |v)?1 1"),
+    ("apache-2.0", "apache", r"apache (?:(?:software )?license (?:version |v)?2(?: 0)?|(?:software )?(?:version |v)?2 0)"),
+    ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: license)?"),
+    ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|modified bsd|revised bsd)(?: license)?"),
+    ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd)(?: license)?"),
+    ("bsl-1.0", "boost", r"boost software license(?: version)?(?: 1)?(?: 0)?"),
+    ("cpl-1.0", "common", r"common public license(?: version)?(?: 1 0)?"),
+    ("ecl-2.0", "educational", r"educational community license(?: version)?(?: 2)?(?: 0)?"),
+    ("ncsa", "ncsa", r"university of illinois ncsa open source license"),
+    *[(label, word, f"(?:{NAMES[label]}) {word}") for label in NAMES if label not in BARE for word in ("license", "licence")],
 )
 
 #: hand-written passages of licence texts and notices
@@ -119,7 +148,7 @@ PASSAGES: tuple[Rule, ...] = (
     Rule("bsl-1.0", 100, 1.0, "boost", r"distributed under the boost software license version 1 0"),
     Rule("zlib", 99, 0.95, "warranty", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
     Rule("unlicense", 100, 1.0, "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    Rule("cc0-1.0", 99, 0.95, "commons", r"to the extent possible under law .{0,80} has waived all copyright and related or neighboring rights"),
+    Rule("cc0-1.0", 99, 0.95, "waived", r"to the extent possible under law .{0,80} has waived all copyright and related or neighboring rights"),
     Rule("wtfpl", 99, 0.95, "want", r"you just do what the fuck you want to"),
     Rule("ofl-1.1", 99, 0.95, "font", r"this font software is licensed under the sil open font license"),
     Rule("cc-by", 95, 0.9, "commons", r"this work is licensed under (?:a|the) creative commons attribution(?! (?:non|share|no))"),
@@ -141,8 +170,11 @@ PASSAGES: tuple[Rule, ...] = (
 def rules() -> list[Rule]:
     """All rules, the highest priority first; ties keep this order."""
     made = [
-        Rule(label, priority, confidence, keyword, template.format(f"(?:{name})"))
-        for keyword, priority, confidence, template in TEMPLATES
+        Rule(label, priority, confidence, keyword, template.format(keyword, f"(?:{name})"))
+        for keywords, priority, confidence, template in TEMPLATES
+        for keyword in keywords
         for label, name in NAMES.items()
     ]
-    return sorted([*PASSAGES, *made], key=lambda r: -r.priority)
+    bare = [Rule(label, 30, 0.5, keyword, NAMES[label]) for label, keywords in BARE.items() for keyword in keywords]
+    bare += [Rule(label, 30, 0.5, keyword, pattern) for label, keyword, pattern in BARE_SPELLINGS]
+    return sorted([*PASSAGES, *made, *bare], key=lambda r: -r.priority)

@@ -380,3 +380,65 @@ def test_simhash_links_with_more_tries(spark, monkeypatch, depth):
     at = {int(k): i for i, k in enumerate(keys.view(np.int64))}
     u, v = (np.array([at[r[c]] for r in rows]) for c in (0, 1))
     assert (common.forest(len(keys), u, v) == common.forest(len(keys), *np.nonzero(np.bitwise_count(keys[:, None] ^ keys[None]) <= 4))).all()
+
+
+def spellings(pattern):
+    """Strings of every choice that a rule's pattern leaves; a repeat is taken its least times and once more."""
+    from re import _parser
+
+    def of(items):
+        out = [""]
+        for op, arg in items:
+            op = str(op)
+            if op == "LITERAL":
+                each = [chr(arg)]
+            elif op == "IN":
+                each = [chr(v) if str(o) == "LITERAL" else chr(v[0]) for o, v in arg]
+            elif op == "ANY":
+                each = ["x"]
+            elif op == "BRANCH":
+                each = [x for b in arg[1] for x in of(b)]
+            elif op == "SUBPATTERN":
+                each = of(arg[-1])
+            elif op == "MAX_REPEAT":
+                each = [x * n for n in dict.fromkeys((arg[0], min(arg[1], arg[0] + 1))) for x in of(arg[2])]
+            else:
+                assert op == "ASSERT_NOT", op
+                continue
+            out = list(dict.fromkeys(a + b for a in out for b in each))
+        return out
+
+    return of(_parser.parse(pattern))
+
+
+def test_license_keywords_let_in_all_that_the_patterns_match():
+    book, by_pattern = licenses.rules(), {}
+    for r in book:
+        by_pattern.setdefault((r.label, r.priority, r.pattern), set()).add(r.keyword)
+    for (label, _, pattern), keywords in by_pattern.items():
+        for s in spellings(pattern):
+            assert keywords & set(s.split()), (label, pattern, s)
+
+
+def test_licenses_without_the_usual_words(spark):
+    texts = {
+        "distributed under the Mozilla Public License 2.0": "mpl-2.0", "available under MPL 2.0": "mpl-2.0", "published under the terms of the GPL v3": "gpl-3.0", "licence: MIT": "mit",
+        "licenced MIT": "mit", "To the extent possible under law, A. has waived all copyright and related or neighboring rights": "cc0-1.0", "we ship LGPLv3 code": "lgpl-3.0",
+        "its tag is Apache-2.0": "apache-2.0", "the ISC licence": "isc", "das ist mit 0 Fehlern mit FreeBSD": "",
+    }
+    frame = spark.createDataFrame([(i, t, *[None] * 7) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: [x.label for x in r.found] for r in licenses.scan(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == [[x] if x else [] for x in texts.values()]
+
+
+def test_licenses_by_brute_force_without_gates(spark):
+    rng, book = np.random.default_rng(14), licenses.rules()
+    grants = ["distributed under the MPL 2.0", "available under the apache license version 2 0", "licence is MIT", "Licenced GPL v2", "GPLv3", "isc licence", "bsd 3 clause", "cc by 4.0", "mit", "licence", "under"]
+    texts = [" ".join(rng.choice([*grants, "some other words"], 7)) for _ in range(30)]
+    frame = spark.createDataFrame([(i, t, *[None] * 7) for i, t in enumerate(texts)], DOCS)
+    for r in licenses.scan(frame).collect():
+        n = " " + " ".join(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", texts[r.doc_id].lower())) + " "
+        place = lambda m: (n[: m.start()].count(" "), n[: m.end()].count(" "))
+        hits = [(*place(m), rule.priority, -i, rule.label) for i, rule in enumerate(book) for m in re.finditer(f" {rule.pattern}(?= )", n)]
+        better = lambda x, y: x[0] <= y[0] and x[1] >= y[1] and (x[2], x[1] - x[0], x[3]) > (y[2], y[1] - y[0], y[3])
+        assert sorted((x.s, x.e, x.label) for x in r.found) == sorted((h[0], h[1], h[4]) for h in hits if not any(better(o, h) for o in hits))
