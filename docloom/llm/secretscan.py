@@ -7,6 +7,10 @@ copied example; any other is specific to its owners and looks live. A value
 found all over the corpus is reduced before it is shuffled and its frequency is
 one row, so it is no skew; texts are never shuffled, only candidates.
 
+A private key is its header and body (the end line is left out); its value is
+the base64 of the body, so keys under one header text are told apart and the
+body is what is replaced. A header without a body is no candidate.
+
 Spans are code points, end exclusive. Positions come from splitting the text at
 the matches of one kind; texts without a match of a kind skip that.
 
@@ -23,6 +27,13 @@ from pyspark.sql import functions as F
 from docloom.llm.common import cut, load, row_key
 
 _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_BETWEEN = r"""(?:[\s"',+]|\\[nr])*+"""  # what may stand between the lines of a key: also escaped and quoted line ends
+#: header and body of a private key: all up to the end line or, where that is missing, header fields and lines of base64
+_PEM = (
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----([^-]*+(?:-[^-]++){0,60}+(?=-----END [A-Z ]{0,20}PRIVATE KEY-----)"
+    rf"|{_BETWEEN}(?:[A-Za-z][A-Za-z0-9-]{{1,30}}: [^\r\n\\]{{1,200}}+{_BETWEEN}){{0,8}}+[A-Za-z0-9+/]{{16,}}+={{0,2}}+(?:(?:[\s\"',]|\\[nr])++[A-Za-z0-9+/]{{16,}}+={{0,2}}+)*+(?:(?:[\s\"',]|\\[nr])++[A-Za-z0-9+/]{{1,15}}+={{1,2}}+)?)")
+#: what a key's body has besides base64
+_PEM_REST = r"[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*|\\[nr]|[^A-Za-z0-9+/=]"
 #: kind -> (Java pattern, group that holds the value, fewest characters of the value); fixed values: the first three are the contract's
 KINDS: dict[str, tuple[str, int, int]] = {
     "assign": (_ASSIGN, 2, 8),
@@ -31,7 +42,7 @@ KINDS: dict[str, tuple[str, int, int]] = {
     # spans the method adds
     "forge": (r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 36),
     "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
-    "pem": (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20),
+    "pem": (_PEM, 1, 20),
 }
 BASE = ("assign", "access", "hex")
 EXAMPLE_OWNERS = 3
@@ -48,6 +59,8 @@ def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
     none = "cast(array() as array<struct<start:int,rank:int,kind:string,end:int,value:string,from:int>>)"
     for k, (kind, (pattern, group, least)) in enumerate(KINDS.items()):
         p = _quoted(pattern)
+        # copies of a key count as one however their lines are broken
+        value = f"regexp_replace(__values[i], '{_quoted(_PEM_REST)}', '')" if kind == "pem" else "__values[i]"
         cols = ["__key", "__t", *keep, *[f"__{x}" for x in list(KINDS)[:k]]]
         d = d.select(*cols, F.expr(f"if(__t rlike '{p}', split(__t, '{p}', -1), null)").alias("__gaps"),
                      F.expr(f"if(__t rlike '{p}', regexp_extract_all(__t, '{p}', 0), null)").alias("__hits"),
@@ -58,7 +71,7 @@ def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
             " (a, i) -> struct(a.at + length(__gaps[i]) + length(__hits[i]) as at, array_append(a.starts, a.at + length(__gaps[i])) as starts)).starts)"))
         d = d.select(*cols, F.expr(
             f"if(__hits is null, {none}, filter(transform(__hits, (h, i) -> struct(__acc[i] as start, {k} as rank, '{kind}' as kind,"
-            f" __acc[i] + length(h) as end, __values[i] as value, __acc[i] + length(h) - length(__values[i]) as from)), x -> length(x.value) >= {least}))").alias(f"__{kind}"))
+            f" __acc[i] + length(h) as end, {value} as value, __acc[i] + length(h) - length(__values[i]) as from)), x -> length(x.value) >= {least}))").alias(f"__{kind}"))
     return d.select(*keep, "__key", F.array_sort(F.concat(*[f"__{k}" for k in KINDS])).alias("found"))
 
 
@@ -119,7 +132,9 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _oracle() -> str:
     """DuckDB SQL: spans by splitting at the matches, frequencies by distinct counts."""
     parts = []
-    for k, (kind, (pattern, group, least)) in enumerate(KINDS.items()):
+    # DuckDB's patterns lack lookaheads: the SQL knows a key by its header alone and agrees on tables without keys
+    kinds = {**KINDS, "pem": (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20)}
+    for k, (kind, (pattern, group, least)) in enumerate(kinds.items()):
         p = pattern.replace("'", "''")
         parts.append(
             f"SELECT r, doc_id, source, {k} AS rank, '{kind}' AS kind, unnest(regexp_extract_all(t, '{p}', 0)) AS hit,"
