@@ -463,3 +463,15 @@ def test_private_keys(spark):
     red = {r.doc_id: r.text for r in secretscan.redact(frame).collect()}
     assert [red[i] for i in range(5)] == [f"a {head}[SECRET]{end} z"] * 4 + [f"a {head}[SECRET] and the rest is prose."]
     assert all(red[i] == texts[i] for i in (5, 6, 7, 8)) and red[9] == f"c {head}[SECRET] z"
+
+
+def test_html_large_host_keeps_copies_and_common_phrases(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(20))
+    menu, phrase = "Home News Sport Culture Travel Science Opinion Archive Contact Imprint Privacy Help", "at the end of the day it is what it is for all of us here"
+    text = {i: f"{own(i)} {phrase} {own(i + 1000)}" if i < 8 else own(5000) if i < 14 else own(i) for i in range(60)}
+    rows = [(i, f"http://h.org/{i}", f"<body><div>{menu}</div><p>{t}</p></body>") for i, t in text.items()]
+    # two pages with one body are all that another host has
+    rows += [(i, f"http://two.org/{i}", f"<p>{own(7000)}</p>") for i in (100, 101)]
+    page = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmltext.extract(page, htmltext.LONG, htmltext.SHARE).collect()}
+    assert all(got[i] == t for i, t in text.items()) and got[100] == got[101] == own(7000)
