@@ -8,10 +8,10 @@ CUTOFF = "1996-06-01"
 
 
 def filtered_scan(d: Dialect) -> str:
-    """Projected scan by date range and key prefix, newest first, key as tie-break, at most 1000 rows."""
+    """Projected scan by date range and key prefix, newest first, key as tie-break: all rows (the SQL stops at 1000)."""
     return f"""SELECT o_orderkey, o_orderstatus, {d.day('o_orderdate')} AS order_date FROM {d.t('orders')}
 WHERE o_orderdate >= TIMESTAMP '1995-01-01 00:00:00' AND o_orderdate <= TIMESTAMP '1997-12-31 00:00:00' AND CAST(o_orderkey AS VARCHAR(20)) LIKE '1%'
-ORDER BY o_orderdate DESC, o_orderkey LIMIT 1000"""
+ORDER BY o_orderdate DESC, o_orderkey{d('', ' LIMIT 1000')}"""
 
 
 def latest_row(d: Dialect) -> str:

@@ -202,8 +202,8 @@ def candidate_urls(d: Dialect) -> str:
 
 
 def url_sort(d: Dialect) -> str:
-    """The 100 first urls by number down, host up, unknown numbers last."""
-    return f"""SELECT page_id, url FROM (SELECT page_id, url, try_cast({d.grab('url', '/([0-9]+)(?:[/?#]|$)')} AS BIGINT) AS num FROM {d.t('pages')}) x ORDER BY CASE WHEN num IS NULL THEN 1 ELSE 0 END, num DESC, url, page_id LIMIT 100"""
+    """All urls by number down, host up, unknown numbers last (the SQL stops at 100)."""
+    return f"""SELECT page_id, url FROM (SELECT page_id, url, try_cast({d.grab('url', '/([0-9]+)(?:[/?#]|$)')} AS BIGINT) AS num FROM {d.t('pages')}) x ORDER BY CASE WHEN num IS NULL THEN 1 ELSE 0 END, num DESC, url, page_id{d('', ' LIMIT 100')}"""
 
 
 def drop_classification(d: Dialect) -> str:
