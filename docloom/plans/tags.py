@@ -94,11 +94,11 @@ SELECT doc_id, score, CASE WHEN score >= 60 THEN 'strong' WHEN score >= 35 THEN
 
 
 def profile_relevance(d: Dialect) -> str:
-    """Keyword share of each language profile with forced rejections; verdict and confidence of each document."""
+    """Keyword share of each language profile over the whole text (the SQL reads 2000 characters); best profile and confidence of each document."""
     from docloom.plans.checks import TAGS
 
     pack = d.array(*[d(f"named_struct('tag', '{t}', 'words', {d.array(*[repr(w) for w in ws])})", f"{{'tag': '{t}', 'words': {d.array(*[repr(w) for w in ws])}}}") for t, ws in TAGS.items()])
-    return f"""WITH d AS (SELECT doc_id, lang, {d.words("substring(coalesce(text, ''), 1, 2000)")} AS w FROM {d.t('documents')}),
+    return f"""WITH d AS (SELECT doc_id, lang, {d.words(d("coalesce(text, '')", "substring(coalesce(text, ''), 1, 2000)"))} AS w FROM {d.t('documents')}),
 p AS (SELECT doc_id, lang, w, {d.each(pack)} AS p FROM d),
 s AS (SELECT doc_id, lang, p.tag AS tag, {d.double(d.size(d.both('w', 'p.words')))} / {d.size('p.words')} AS share FROM p)
 SELECT doc_id, {d.double(d.flag('share >= 0.3'))} / count(*) AS confidence, max_by(tag, share * 10 + CASE WHEN tag = lang THEN 1 ELSE 0 END) AS best, {d.flag('share >= 0.3 AND tag <> lang')} AS n_foreign FROM s GROUP BY doc_id"""

@@ -23,3 +23,11 @@ def test_url_sort_returns_all_pages(spark, tmp_path):
     _write(spark, tmp_path, "pages", rows, "page_id long, url string")
     want = [i for i in range(299, -1, -1) if i % 7] + [i for i in range(300) if not i % 7]
     assert [r.page_id for r in catalogue.QUERIES["url_sort"](spark, str(tmp_path)).collect()] == want
+
+
+def test_profile_relevance_reads_the_whole_text(spark, tmp_path):
+    rows = [(1, "en", "x " * 3000 + "the and that"), (2, "en", "x " * 3000), (3, "fr", "the and that " + "x " * 3000 + "les des que"), (4, None, None)]
+    _write(spark, tmp_path, "documents", rows, "doc_id long, lang string, text string")
+    got = {r.doc_id: (round(r.confidence, 6), r.best, r.n_foreign) for r in catalogue.QUERIES["profile_relevance"](spark, str(tmp_path)).collect()}
+    # que is a word of two profiles
+    assert got[1] == (0.25, "en", 0) and got[2][0] == 0 and got[3] == (0.75, "fr", 2) and got[4][0] == 0
