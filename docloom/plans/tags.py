@@ -105,8 +105,8 @@ SELECT doc_id, {d.double(d.flag('share >= 0.3'))} / count(*) AS confidence, max_
 
 
 def alignment_score(d: Dialect) -> str:
-    """Similarity of a summary's words with the text's, with floor, cap and verdict."""
-    return f"""WITH d AS (SELECT doc_id, {d.words("substring(coalesce(text, ''), 1, 200)")} AS a, {d.words("substring(coalesce(text, ''), 201, 800)")} AS b FROM {d.t('documents')}),
+    """Similarity of a summary's words with those of the whole rest of the text (the SQL stops at 1000 characters), with floor, cap and verdict."""
+    return f"""WITH d AS (SELECT doc_id, {d.words("substring(coalesce(text, ''), 1, 200)")} AS a, {d.words(d("substring(coalesce(text, ''), 201)", "substring(coalesce(text, ''), 201, 800)"))} AS b FROM {d.t('documents')}),
 j AS (SELECT doc_id, {d.jaccard('a', 'b')} AS j FROM d), s AS (SELECT doc_id, CASE WHEN j < 0.05 THEN least(j, 0.4) WHEN j > 0.1 THEN greatest(j, 0.7) ELSE j END AS score FROM j)
 SELECT doc_id, score, score >= 0.7 AS aligned FROM s"""
 

@@ -31,3 +31,11 @@ def test_profile_relevance_reads_the_whole_text(spark, tmp_path):
     got = {r.doc_id: (round(r.confidence, 6), r.best, r.n_foreign) for r in catalogue.QUERIES["profile_relevance"](spark, str(tmp_path)).collect()}
     # que is a word of two profiles
     assert got[1] == (0.25, "en", 0) and got[2][0] == 0 and got[3] == (0.75, "fr", 2) and got[4][0] == 0
+
+
+def test_alignment_score_reads_the_whole_text(spark, tmp_path):
+    head = " ".join(f"h{i:03d}" for i in range(40)).ljust(200)
+    rows = [(1, head + "x " * 1000 + head), (2, head + "x " * 1000), (3, head + " ".join(f"t{i}" for i in range(400)) + " " + head), (4, "short"), (5, None)]
+    _write(spark, tmp_path, "documents", rows, "doc_id long, text string")
+    got = {r.doc_id: (r.score, r.aligned) for r in catalogue.QUERIES["alignment_score"](spark, str(tmp_path)).collect()}
+    assert got[1] == (40 / 41, True) and got[2] == (0, False) and got[3] == (40 / 440, False) and got[4] == got[5] == (0, False)
