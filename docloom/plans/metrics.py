@@ -150,9 +150,9 @@ def ema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dependency_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of each record in an order that respects their dependencies: a change waits for the last earlier one of a lower kind.
+    """Changes of each record by priority and time, and the change before each in time.
 
-    Edges join changes of one record only, so the level of a change is a window over its record.
+    No dependency order: a change of a higher kind stands before the one it names.
     """
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.when(F.col("event_type") == "error", 3).when(F.col("event_type") == "purchase", 2).otherwise(1).alias("priority"))
     w = "PARTITION BY user_id ORDER BY ts, event_id"
