@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,20 +23,45 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all machines of the cluster share: that of ``spark.checkpoint.dir``, or of the context.
 
-    Where the session names none (tests, laptops) a temporary folder of this
-    machine is set once; on a cluster the setting is there and is left alone.
+    A local session that names none (tests, laptops) gets a temporary folder
+    once; on a cluster the absence of the setting is an error, since executors
+    would write to their own disks.
     """
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="docloom-"))
+        named = sc.getCheckpointDir()
+    return named.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-")
-        )
+    folder = shared_folder(df.sparkSession)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows from a Parquet table written to the shared folder once, and its path: smaller than a checkpoint, and read by column."""
+    path = f"{shared_folder(df.sparkSession)}/docloom-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``written`` made, on whatever file system it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def forest(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
     """Union the links (u, v) over nodes 0..n-1 that ``label`` may join already: label[i] becomes the smallest node joined to i."""
     label = np.arange(n) if label is None else label

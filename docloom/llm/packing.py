@@ -27,11 +27,12 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import ascii_lower, load, row_key
+from docloom.llm.common import load, row_key
 
 CAPACITY = 2048
 PER_SOURCE = 4
@@ -91,27 +92,33 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     d = d.withColumn("__copy", F.explode(F.sequence(F.col("__from"), F.least(F.col("__n"), F.col("__from") + chunk) - 1))).drop("__n", "__from")
     d = d.withColumn("shard", F.pmod(F.xxhash64("__key", "__copy", F.lit("shard")), F.lit(shards))).drop("__copy")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "__key"], kind="stable", na_position="first", ignore_index=True)
-        words = pdf["words"].to_numpy()
+    def run(rows: pa.Table) -> pa.Table:
+        # Arrow columns all the way: a 64-bit id beside a null stays exact
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("doc_id", "ascending"), ("__key", "ascending")], null_placement="at_start"))
+        words = rows["words"].to_numpy()
         pieces = np.maximum(1, -(-words // capacity))
-        row = np.repeat(np.arange(len(pdf)), pieces)
+        row = np.repeat(np.arange(len(words)), pieces)
         piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         size = np.where(piece < pieces[row] - 1, capacity, words[row] - capacity * (pieces[row] - 1))
         order = np.argsort(-size, kind="stable")
-        source = pd.factorize(pdf["source"], use_na_sentinel=False)[0]
-        cluster = pd.factorize(pdf["cluster"])[0]
-        bins, offsets = best_fit(size[order].tolist(), source[row[order]].tolist(), cluster[row[order]].tolist(), capacity, per_source)
-        out = pdf.iloc[row[order]]
-        return pd.DataFrame({
-            "doc_id": out["doc_id"].to_numpy(), "source": out["source"].to_numpy(), "piece": piece[order],
-            "first_word": piece[order] * capacity, "n_words": size[order], "shard": out["shard"].to_numpy(), "bin": bins, "bin_offset": offsets,
+        source = _numbered(rows["source"])[row[order]]
+        cluster = np.where(rows["cluster"].is_valid().to_numpy(), _numbered(rows["cluster"]), -1)[row[order]]
+        bins, offsets = best_fit(size[order].tolist(), source.tolist(), cluster.tolist(), capacity, per_source)
+        out = rows.take(pa.array(row[order]))
+        return pa.table({
+            "doc_id": out["doc_id"], "source": out["source"], "piece": piece[order], "first_word": piece[order] * capacity,
+            "n_words": size[order], "shard": out["shard"], "bin": pa.array(bins, pa.int64()), "bin_offset": pa.array(offsets, pa.int64()),
         })
 
-    return d.groupBy("shard").applyInPandas(
+    return d.groupBy("shard").applyInArrow(
         run, "doc_id long, source string, piece long, first_word long, n_words long, shard long, bin long, bin_offset long")
 
 
+def _numbered(column: pa.ChunkedArray) -> np.ndarray:
+    """A number from 0 on for each distinct value, null included."""
+    return column.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document of the whole table and its place."""
     return pack(load(spark, sf_dir, "documents"))
