@@ -2,18 +2,20 @@
 
 For each language a suffix automaton is built over labelled text. A text is
 parsed against it greedily: the longest match from here is one phrase, and the
-next phrase starts after it (a letter the automaton has never seen is a phrase
-of its own). The fewer phrases a text needs, the closer it is to the language;
-counts are normalised by the number of letters, and the language with the
-fewest wins, ties by name. A phrase never crosses a word boundary, for which
-each word carries a mark before and after; so the phrase counts of a word are
-the same wherever it stands and are kept in a table of bounded size.
+next phrase starts after it (a character the automaton has never seen is a
+phrase of its own). The fewer phrases a text needs, the closer it is to the
+language; counts are normalised by the number of characters, and the language
+with the fewest wins, ties by name. Both sides are running text: lower-case
+words one space apart, and a phrase may run over many words.
 
-The score is 1 - best / second best, with phrases per letter: 0 for a tie.
+The score is 1 - best / second best, with phrases per character: 0 for a tie.
 
-The training sample is bounded: ``sample_docs`` documents a language, those with
-the smallest hashes of their id, and of their words the ``sample_words`` most
-frequent (ties by spelling). Every text is parsed whole.
+Labelled texts are read as pieces of ``PIECE`` characters, and the sample is
+bounded in pieces: ``sample`` a language, those with the smallest hashes of
+document and place. So what reaches the driver, and each automaton, is bounded
+whatever the length of the texts. Languages beyond the ``most_langs`` with the
+most pieces (ties by name) are not learned: dirty labels are many, and rare.
+Every text is parsed whole.
 
 Defined results: ``und`` with score 0 where a text is null or has no letter, or
 no labelled text exists; repeated rows get a row each; a null lang teaches
@@ -23,27 +25,29 @@ names it adds.
 
 from __future__ import annotations
 
-import gc
 import re
-from collections import Counter
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.common import load
 
-SAMPLE_DOCS = 256
-SAMPLE_WORDS = 6000
+SAMPLE = 128  # pieces a language
+PIECE = 1024  # characters
+MOST_LANGS = 256
 FOLDS, HELD_OUT = 4, 2
 LETTERS = re.compile(r"[^\W\d_]+")
-MARK = "\x02"
-LONG = 48  # words longer than this are parsed without being remembered
-REMEMBERED = 200_000
-SLICE = 64
+BREAK = "\x02"  # between pieces of labelled text: no phrase crosses it
+SLICE = 12_000_000  # characters that are strings at a time
+LONG = 1 << 20  # characters of one text that are a list at a time
+DENSE = 1 << 27  # cells of a table that is an array
+FEW = 40  # texts a step is worth while for
 
 
 class SuffixAutomaton:
@@ -80,74 +84,124 @@ class SuffixAutomaton:
         self.letter = "".join(c for out in nxt for c in out)
         self.target = np.array([t for out in nxt for t in out.values()], dtype=np.int32)
 
-    def root(self) -> dict:
-        """The start state; a state is a dictionary from letter to state."""
-        states = [{} for _ in range(self.size)]
-        for s, c, t in zip(self.source.tolist(), self.letter, self.target.tolist()):
-            states[s][c] = states[t]
-        return states[0]
-
-
-def phrases(root: dict, word: str) -> int:
-    """The phrases of a greedy parse of one marked word."""
-    count, state = 0, root
-    for c in word:
-        after = state.get(c)
-        if after is None:
-            if state is not root:
-                count += 1
-            after = root.get(c)
-            if after is None:
-                count += 1
-                after = root
-        state = after
-    return count + (state is not root)
-
-
-class _Counts(dict):
-    """Word -> phrase counts of all languages, packed in 40 bits each; computed when missing."""
-
-    def __init__(self, roots: list[dict]):
-        self.roots = roots
-
-    def __missing__(self, word: str) -> int:
-        marked, packed = MARK + word + MARK, 0
-        for root in reversed(self.roots):
-            packed = packed << 40 | phrases(root, marked)
-        if len(word) <= LONG:
-            self[word] = packed
-        return packed
+
+class Parser:
+    """Greedy parses of many texts at once against the automata of several languages.
+
+    All automata share one table of transitions, state by letter; a step of the
+    parse moves every text in every language by one character.
+    """
+
+    def __init__(self, automata: list[SuffixAutomaton]):
+        self.n = n = len(automata)
+        letters = sorted({c for a in automata for c in a.letter})
+        self.width = len(letters) + 1  # letter 0: one that no text of the sample has
+        self.code = np.zeros(sys.maxunicode + 1, np.uint16)
+        self.code[[ord(c) for c in letters]] = np.arange(1, self.width)
+        # a state is the place of its row in the table
+        self.roots = np.cumsum([0, *[a.size for a in automata]])[:-1].astype(np.int64) * self.width
+        cells = [a.source.astype(np.int64) * self.width + at + self.code[np.frombuffer(a.letter.encode("utf-32-le"), np.uint32)] for a, at in zip(automata, self.roots)]
+        targets = [a.target.astype(np.int64) * self.width + at for a, at in zip(automata, self.roots)]
+        size = sum(a.size for a in automata) * self.width
+        self.dense = size <= DENSE
+        if self.dense:
+            self.table = np.full(size, -1, np.int32)
+            for c, t in zip(cells, targets):
+                self.table[c] = t
+        else:  # an alphabet of thousands: cells in order, found by bisection
+            cells, targets = np.concatenate(cells), np.concatenate(targets)
+            order = np.argsort(cells)
+            self.cells, self.table = cells[order], targets[order]
+        self.first = np.stack([self.after(r + np.arange(self.width)) for r in self.roots]) if n else np.empty((0, self.width), np.int64)
+
+    def after(self, cell: np.ndarray) -> np.ndarray:
+        """The states that cells (state plus letter) hold, -1 for none."""
+        if self.dense:
+            return self.table.take(cell)
+        at = np.minimum(np.searchsorted(self.cells, cell), len(self.cells) - 1)
+        return np.where(self.cells[at] == cell, self.table[at], -1)
+
+    def phrases(self, texts: list[str]) -> np.ndarray:
+        """Phrases of each text (rows) in each language (columns)."""
+        n, sizes = self.n, np.array([len(t) for t in texts], np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        codes = self.code[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
+        starts, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        longest = int(sizes[0]) if len(sizes) else 0
+        live = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right")  # texts longer than each step
+        home = np.tile(self.roots, len(texts)).astype(self.table.dtype)
+        state, count, step = home.copy(), np.zeros(len(texts) * n, np.int64), 0
+        while step < longest and live[step] > FEW:
+            k = int(live[step])
+            letter = np.repeat(codes[starts[:k] + step], n)
+            now = state[: k * n]
+            nxt = self.after(now + letter)
+            miss = np.flatnonzero(nxt < 0)
+            again = self.first[miss % n, letter[miss]]
+            count[miss] += (now[miss] != home[miss]).astype(np.int64) + (again < 0)
+            nxt[miss] = np.where(again < 0, home[miss], again)
+            state[: k * n] = nxt
+            step += 1
+        for j in range(int(live[step]) if step < longest else 0):  # the last long ones: one by one
+            rest = codes[starts[j] + step : starts[j] + sizes[j]]
+            for lang in range(n):
+                more, state[j * n + lang] = self._one(rest, lang, int(state[j * n + lang]))
+                count[j * n + lang] += more
+        out = np.empty((len(texts), n), np.int64)
+        out[order] = (count + (state != home)).reshape(-1, n)
+        return out
+
+    def _one(self, letters: np.ndarray, lang: int, state: int) -> tuple[int, int]:
+        """The phrases that end within the letters, and the state after them."""
+        root, first, count = int(self.roots[lang]), self.first[lang].tolist(), 0
+        table = memoryview(self.table) if self.dense else None
+        for at in range(0, len(letters), LONG):
+            for c in letters[at : at + LONG].tolist():
+                nxt = table[state + c] if table is not None else int(self.after(np.array([state + c]))[0])
+                if nxt < 0:
+                    count += state != root
+                    nxt = first[c]
+                    if nxt < 0:
+                        count += 1
+                        nxt = root
+                state = nxt
+        return count, state
+
+
+def running(text: str | None) -> str:
+    """Lower-case words of letters, one space apart and one at either end; empty where there is no letter."""
+    found = LETTERS.findall(text.lower()) if text else ()
+    if not any(c.isalpha() for w in found for c in w):  # superscripts and the like are no letters
+        return ""
+    return f" {' '.join(found)} "
 
 
 class Model:
     """Languages and their automata; states are built on first use in a worker."""
 
-    def __init__(self, words: dict[str, list[str]]):
-        self.langs = sorted(words)
-        self.automata = [SuffixAutomaton(MARK + MARK.join(words[x]) + MARK) for x in self.langs]
-        self.counts = None
+    def __init__(self, samples: dict[str, list[str]]):
+        samples = {lang: text for lang, pieces in samples.items() if (text := BREAK.join(filter(None, map(running, pieces))))}
+        self.langs = sorted(samples)
+        self.automata = [SuffixAutomaton(samples[x]) for x in self.langs]
+        self.parser = None
 
     def __getstate__(self):
-        return {"langs": self.langs, "automata": self.automata, "counts": None}
+        return {"langs": self.langs, "automata": self.automata, "parser": None}
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        if self.counts is None:
-            self.counts = _Counts([a.root() for a in self.automata])
-            gc.freeze()  # many small dictionaries that stay: not to be visited by every collection
-        n, counts = len(self.langs), self.counts
-        names, scores, mask = [], [], (1 << 40) - 1
-        for text in texts:
-            words = LETTERS.findall(text.lower()) if text else ()
-            if not n or not any(c.isalpha() for w in words for c in w):  # superscripts and the like are no letters
-                names.append("und")
-                scores.append(0.0)
-                continue
-            total, letters = sum(map(counts.__getitem__, words)), sum(map(len, words))
-            if len(counts) > REMEMBERED:
-                counts.clear()
-            rates = sorted(((total >> (40 * k) & mask) / letters, lang) for k, lang in enumerate(self.langs))
-            names.append(rates[0][1])
-            scores.append(1.0 if n == 1 else 1.0 - rates[0][0] / rates[1][0])
+        """Language and score of each text."""
+        if self.parser is None:
+            self.parser = Parser(self.automata)
+        names, scores = ["und"] * len(texts), [0.0] * len(texts)
+        clean = [running(t) for t in texts] if self.langs else []
+        known = [k for k, t in enumerate(clean) if t]
+        if not known:
+            return names, scores
+        counts = self.parser.phrases([clean[k] for k in known])
+        for j, k in enumerate(known):
+            rates = sorted(zip((counts[j] / len(clean[k])).tolist(), self.langs))
+            names[k] = rates[0][1]
+            scores[k] = 1.0 if len(rates) == 1 else 1.0 - rates[0][0] / rates[1][0]
         return names, scores
 
 
@@ -156,27 +210,23 @@ def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == HELD_OUT
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> Model:
+def train(docs: DataFrame, sample: int = SAMPLE, piece: int = PIECE, most_langs: int = MOST_LANGS) -> Model:
     """Learn from text and lang of the rows given.
 
-    A first pass counts rows by language; a second one takes, for each, a
-    hash range that should hold twice the sample, and the driver keeps the
-    documents with the smallest hashes, so what it gets is bounded.
+    A first pass counts pieces by language; a second one takes, for each, a
+    hash range that should hold twice the sample, and the driver keeps those
+    with the smallest hashes, so what it gets is bounded.
     """
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("__u", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lid")), F.lit(1 << 40)) / float(1 << 40))
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, 2.0 * sample_docs / n)).otherwise(share)
-    rows = labelled.where(F.col("__u") < share).select("lang", "text", "__u").toPandas() if sizes else pd.DataFrame({"lang": [], "text": [], "__u": []})
-    words: dict[str, list[str]] = {}
-    for lang, g in rows.groupby("lang"):
-        seen = Counter()
-        for text in g.sort_values(["__u", "text"], kind="stable")["text"].head(sample_docs):
-            seen.update(LETTERS.findall(text.lower()))
-        if seen:
-            words[lang] = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:sample_words]]
-    return Model(words)
+    n = F.ceil(F.length("text") / F.lit(piece))
+    labelled = docs.where("lang IS NOT NULL AND length(text) > 0").select("doc_id", "lang", "text", n.alias("__n"))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.sum("__n").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs).collect()}
+    if not sizes:
+        return Model({})
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2.0 * sample / n))])[F.col("lang")]
+    drawn = labelled.withColumn("__share", share).where("__share IS NOT NULL").select(
+        "lang", "text", F.explode(F.expr("filter(transform(sequence(0L, __n - 1), i -> struct(pmod(xxhash64(doc_id, i, 'lid'), 1099511627776L) / 1099511627776D AS u, i AS i)), x -> x.u < __share)")).alias("x"))
+    rows = drawn.select("lang", "x.u", F.expr(f"substring(text, cast(x.i * {piece} + 1 as int), {piece})").alias("t")).toPandas()
+    return Model({lang: g.sort_values(["u", "t"], kind="stable")["t"].head(sample).tolist() for lang, g in rows.groupby("lang")})
 
 
 def _predicted(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -187,11 +237,14 @@ def _predicted(spark: SparkSession, docs: DataFrame, model: Model, text_col: str
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for texts in batches:
-            names, scores = [], []
-            for k in range(0, len(texts), SLICE):  # few texts at a time are strings beside the batch that holds them
-                some = model.predict(texts.slice(k, SLICE).to_pylist())
+            names, scores, at = [], [], 0
+            ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            while at < len(texts):  # few texts at a time are strings beside the batch that holds them
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+                some = model.predict(texts.slice(at, to - at).to_pylist())
                 names += some[0]
                 scores += some[1]
+                at = to
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     # declared so that a filter on the prediction isn't pushed below it, which would parse every text twice
