@@ -1,23 +1,31 @@
 """Operator 10: chat formatting by quotation linking. DataFrame functions only.
 
 A message's lines are parsed for nested quote marks (``>``). Consecutive lines
-of one level make a passage; a line's normalised text (quote marks off, white
-space runs to one space, lower case) is hashed. Quoted lines are joined to the
-message of the same conversation that first wrote that line without a quote
-mark; the latest such message before the quoting one is what it replies to.
-Replies hang below the message they quote: a thread is named by the turn at its
-root, found by pointer jumping, and a conversation is read by thread, then turn.
-Quotes, and the attribution line that leads one, are taken out of the text.
-
-First writers are found by partial aggregation, so a line that everybody writes,
-in a conversation that holds a third of all messages, is one row before it is
-joined; quoting lines may be many and the join is open to AQE's splitting. The
-rows of a conversation are laid out by a global sort, never gathered in a task.
+of one level make a passage: its words are those of its lines, quote marks off,
+lower case, white space runs as one space, so a quote that was wrapped anew
+reads like the original. A quoted passage is hashed by its keys: windows of
+``WINDOW`` words one after the other and the last one, or the whole passage if
+it is shorter. An original offers every window of its passages, and as a whole
+each passage, line and sentence that is shorter than a window.
+
+A key links to the latest earlier message of the conversation that offers it;
+a quoted level to the message that most of its keys link to (ties: the latest),
+and the message answers what its shallowest linked level quotes. Replies hang
+below the message they quote: a thread is named by the turn at its root, found
+by pointer jumping, and a conversation is read by thread, then turn. Quotes, and
+the attribution line that leads one, are taken out of the text; a message
+without quotes stays as it is, white space included.
+
+Windows are made for messages of conversations with quotes only. The latest
+earlier writer is found in two steps, in blocks of ``BLOCK`` turns and then over
+blocks, so a line that everybody writes, in a conversation that holds a third of
+all messages, is in no task as a whole and no pairs of writers and quoters are
+made. The rows of a conversation are laid out by a global sort, never gathered.
 
 Defined results: a null text is empty; a null conv_id is one conversation of its
-own, a null turn comes first and is never replied to; a null role is ``user``;
-repeated rows get a row each; quotes that match no earlier message are removed
-and link nothing.
+own, a null turn comes first, is never replied to and links nothing; a null role
+is ``user``; repeated rows get a row each; quotes that match no earlier message
+are removed and link nothing; other columns of the input are not touched.
 """
 
 from __future__ import annotations
@@ -27,40 +35,90 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import cut, load
 
+WINDOW = 5
+BLOCK = 4096
+BROADCAST_ROWS = 100_000
 QUOTE = r"^\\s{0,3}(>[>\\s]*)"  # one class under the star: matched in a loop, however many levels a line has
 ATTRIBUTION = r"(?i)^(?:on .{1,200} wrote|le .{1,200} a écrit|am .{1,200} schrieb|el .{1,200} escribió)\\s*:\\s*$"
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, content and lines: array of (depth, hash) of lines with a word."""
+    """conv_id, turn, role, content and passages: array of (depth, lines, text) with a word."""
     m = messages.select("conv_id", "turn", F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("__t"))
     m = m.withColumn("__l", F.expr(
-        f"transform(split(__t, '\\r?\\n'), l -> struct(length(regexp_replace(regexp_extract(l, '{QUOTE}', 1), '[^>]', '')) as depth,"
-        f" regexp_replace(l, '{QUOTE}', '') as line))"))
-    m = m.withColumn("lines", F.expr(
-        "transform(filter(__l, x -> trim(x.line) != ''), x -> struct(x.depth as depth, xxhash64(lower(trim(regexp_replace(x.line, '\\\\s+', ' ')))) as hash))"))
+        f"if(contains(__t, '>'), transform(split(__t, '\n', -1), l -> struct(length(regexp_replace(regexp_extract(l, '{QUOTE}', 1), '[^>]', '')) as depth,"
+        f" regexp_replace(l, '{QUOTE}', '') as line)), array(struct(0 as depth, __t as line)))"))
+    m = m.withColumn("__s", F.expr("filter(sequence(0, size(__l) - 1), i -> i = 0 or __l[i].depth <> __l[greatest(i - 1, 0)].depth)"))
+    clean = "lower(btrim(regexp_replace({}, '\\\\s+', ' '), ' '))"
+    m = m.withColumn("passages", F.expr(
+        "filter(transform(transform(__s, (s, k) -> struct(__l[s].depth as depth, array_join(transform(slice(__l, s + 1,"
+        f" if(k < size(__s) - 1, __s[least(k + 1, size(__s) - 1)], size(__l)) - s), x -> x.line), '\n') as raw)),"
+        f" x -> struct(x.depth as depth, x.raw as raw, {clean.format('x.raw')} as text)), x -> x.text <> '')"))
     # kept: unquoted lines that don't introduce a quote
     m = m.withColumn("content", F.expr(
-        "if(not contains(__t, '>'), __t, trim(BOTH '\\n' FROM array_join(transform(filter(transform(__l, (x, i) -> struct(x.depth as depth, x.line as line,"
+        "if(not exists(__l, x -> x.depth > 0), __t, btrim(array_join(transform(filter(transform(__l, (x, i) -> struct(x.depth as depth, x.line as line,"
         f" i < size(__l) - 1 and x.line rlike '{ATTRIBUTION}' and __l[least(i + 1, size(__l) - 1)].depth > 0 as leads)),"
-        " x -> x.depth = 0 and not x.leads), x -> x.line), '\\n')))"))
-    return m.drop("__t", "__l")
+        " x -> x.depth = 0 and not x.leads), x -> x.line), '\n'), '\r\n'))"))
+    return m.drop("__t", "__l", "__s")
+
+
+def _window(at: str) -> str:
+    return f"concat_ws(' ', slice(w, {at} + 1, {WINDOW}))"
+
+
+def quoted_keys(parsed: DataFrame) -> DataFrame:
+    """conv_id, turn, depth, key of every quoted passage."""
+    q = parsed.where("turn IS NOT NULL AND exists(passages, x -> x.depth > 0)").select("conv_id", "turn", F.explode("passages").alias("x")).where("x.depth > 0")
+    q = q.select("conv_id", "turn", "x.depth", "x.text", F.split("x.text", " ").alias("w"))
+    places = f"if(size(w) < {WINDOW}, array(0), array_distinct(concat(sequence(0, size(w) - {WINDOW}, {WINDOW}), array(size(w) - {WINDOW}))))"
+    return q.select("conv_id", "turn", "depth", F.expr(f"explode(transform({places}, i -> xxhash64(if(size(w) < {WINDOW}, text, {_window('i')}))))").alias("key")).distinct()
+
+
+def offered_keys(parsed: DataFrame) -> DataFrame:
+    """conv_id, turn, key of every unquoted passage."""
+    o = parsed.where("turn IS NOT NULL").select("conv_id", "turn", F.explode("passages").alias("x")).where("x.depth = 0")
+    o = o.select("conv_id", "turn", "x.text", "x.raw", F.split("x.text", " ").alias("w"))
+    parts = (
+        "filter(transform(concat(array(text), split(raw, '\n'), split(regexp_replace(text, '([.!?]) ', '$1\n'), '\n')),"
+        f" x -> lower(btrim(regexp_replace(x, '\\\\s+', ' '), ' '))), x -> x <> '' and size(split(x, ' ')) < {WINDOW})")
+    windows = f"if(size(w) < {WINDOW}, cast(array() as array<bigint>), transform(sequence(0, size(w) - {WINDOW}), i -> xxhash64({_window('i')})))"
+    return o.select("conv_id", "turn", F.expr(f"explode(array_distinct(concat({windows}, transform({parts}, x -> xxhash64(x)))))").alias("key"))
+
+
+def latest_earlier(asked: DataFrame, offered: DataFrame) -> DataFrame:
+    """conv_id, turn, key, origin: for each row of ``asked`` the largest turn below its own that offers the key; none, no row.
+
+    Turns meet in blocks; a block's largest turn is found by aggregation and
+    stands for it where later blocks ask.
+    """
+    block = F.expr(f"floor(turn / {BLOCK})").alias("block")
+    both = offered.select("conv_id", "key", "turn", F.lit(True).alias("offers")).unionByName(
+        asked.select("conv_id", "key", "turn", F.lit(False).alias("offers"))).groupBy("conv_id", "key", "turn").agg(
+        F.max("offers").alias("offers"), F.min("offers").alias("__all")).select("conv_id", "key", "turn", "offers", (~F.col("__all")).alias("asks"), block)
+    before = "(PARTITION BY conv_id, key{} ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    here = both.withColumn("near", F.expr(f"max(if(offers, turn, null)) OVER {before.format(', block', 'turn')}")).where("asks")
+    blocks = both.groupBy("conv_id", "key", "block").agg(F.max(F.expr("if(offers, turn, null)")).alias("last"), F.max("asks").alias("asks"))
+    blocks = blocks.withColumn("far", F.expr(f"max(last) OVER {before.format('', 'block')}")).where("asks AND far IS NOT NULL").select(
+        F.col("conv_id").alias("bc"), F.col("key").alias("bk"), F.col("block").alias("bb"), "far")
+    same = here["conv_id"].eqNullSafe(F.col("bc")) & (here["key"] == F.col("bk")) & (here["block"] == F.col("bb"))
+    return here.join(blocks, same, "left").select("conv_id", "turn", "key", F.coalesce("near", "far").alias("origin")).where("origin IS NOT NULL")
 
 
 def replies(parsed: DataFrame) -> DataFrame:
-    """conv_id, turn, reply_to, n_linked: one row for each message with a linked quote."""
-    lines = parsed.select("conv_id", "turn", F.explode("lines").alias("x")).select("conv_id", "turn", "x.depth", "x.hash")
-    quoted = lines.where("depth > 0 AND turn IS NOT NULL")
-    # only lines that somebody quotes matter as originals
-    wanted = quoted.select("conv_id", "hash").distinct()
-    written = lines.where("depth = 0 AND turn IS NOT NULL").groupBy("conv_id", "hash").agg(F.min("turn").alias("origin"))
-    on = lambda a, b: a["conv_id"].eqNullSafe(b["conv_id"]) & (a["hash"] == b["hash"])
-    origin = written.join(wanted, on(written, wanted), "left_semi").select(F.col("conv_id").alias("oc"), F.col("hash").alias("oh"), "origin")
-    hit = quoted.join(origin, quoted["conv_id"].eqNullSafe(origin["oc"]) & (quoted["hash"] == origin["oh"]) & (origin["origin"] < quoted["turn"]))
-    # the shallowest quote is of the message answered; deeper ones are of what that message answered
-    near = hit.groupBy("conv_id", "turn").agg(
-        F.min_by("origin", F.struct("depth", (-F.col("origin")).alias("late"))).alias("reply_to"), F.count("*").alias("n_linked"))
-    return near
+    """conv_id, turn, reply_to, n_linked (keys with an origin): one row for each message with a linked quote."""
+    asked = cut(quoted_keys(parsed))
+    talks = asked.select(F.col("conv_id").alias("qc")).distinct()
+    if asked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        talks = F.broadcast(talks)
+    offered = offered_keys(parsed.join(talks, parsed["conv_id"].eqNullSafe(talks["qc"]), "left_semi"))
+    wanted = asked.select(F.col("conv_id").alias("wc"), F.col("key").alias("wk")).distinct()
+    offered = offered.join(wanted, offered["conv_id"].eqNullSafe(wanted["wc"]) & (offered["key"] == wanted["wk"]), "left_semi")
+    origin = latest_earlier(asked.select("conv_id", "turn", "key"), offered).select(
+        F.col("conv_id").alias("oc"), F.col("turn").alias("ot"), F.col("key").alias("ok"), "origin")
+    hit = asked.join(origin, asked["conv_id"].eqNullSafe(origin["oc"]) & (asked["turn"] == origin["ot"]) & (asked["key"] == origin["ok"]))
+    levels = hit.groupBy("conv_id", "turn", "depth", "origin").agg(F.count("*").alias("n"))
+    return levels.groupBy("conv_id", "turn").agg(
+        F.min_by("origin", F.struct("depth", (-F.col("n")).alias("many"), (-F.col("origin")).alias("late"))).alias("reply_to"), F.sum("n").alias("n_linked"))
 
 
 def threads(links: DataFrame) -> DataFrame:
@@ -88,8 +146,8 @@ def conversations(messages: DataFrame) -> DataFrame:
         "conv_id", "turn", "role", "content",
         F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.col("content"), F.lit("<|end|>")).alias("formatted"),
         "reply_to", F.coalesce("root", "turn").alias("thread"), F.coalesce("level", zero).alias("level"),
-        F.expr("cast(size(filter(lines, x -> x.depth > 0)) as bigint)").alias("n_quoted"),
-        F.expr("cast(coalesce(array_max(transform(lines, x -> x.depth)), 0) as bigint)").alias("max_depth"),
+        F.expr("cast(size(filter(passages, x -> x.depth > 0)) as bigint)").alias("n_quoted"),
+        F.expr("cast(coalesce(array_max(transform(passages, x -> x.depth)), 0) as bigint)").alias("max_depth"),
         F.coalesce("n_linked", zero).alias("n_linked"),
     ).orderBy("conv_id", "thread", "turn", "role", "content")
 
@@ -100,29 +158,38 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """DuckDB SQL: lines by splitting, first writers by grouping, threads by recursion."""
+    """DuckDB SQL: lines by splitting, passages by runs, latest earlier writers by a join, threads by recursion."""
     space = r"[ \t\n\x0B\f\r]"
     quote = rf"^{space}{{0,3}}(>[>\t\n\x0B\f\r ]*)"
     attribution = ATTRIBUTION.replace("\\\\", "\\").replace(r"\s", space)
+    clean = lambda x: f"lower(trim(regexp_replace({x}, '{space}+', ' ', 'g'), ' '))"
+    key = "array_to_string(w[i + 1:i + {}], ' ')".format(WINDOW)
     return rf"""
 WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS t FROM conversations),
-s AS (SELECT r, unnest(regexp_split_to_array(t, '\r?\n')) AS l, unnest(range(len(regexp_split_to_array(t, '\r?\n')))) AS i FROM t),
+s AS (SELECT r, unnest(string_split(t, chr(10))) AS l, unnest(range(len(string_split(t, chr(10))))) AS i FROM t),
 d AS (SELECT r, i, length(regexp_replace(regexp_extract(l, '{quote}', 1), '[^>]', '', 'g')) AS depth, regexp_replace(l, '{quote}', '') AS line FROM s),
-n AS (SELECT *, trim(line, ' ') <> '' AS worded, lower(trim(regexp_replace(line, '{space}+', ' ', 'g'), ' ')) AS norm,
+n AS (SELECT *, coalesce(depth <> lag(depth) OVER (PARTITION BY r ORDER BY i), true) AS opens,
   coalesce(lead(depth) OVER (PARTITION BY r ORDER BY i) > 0 AND regexp_matches(line, '{attribution}'), false) AS leads FROM d),
-c AS (SELECT r, trim(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (depth = 0 AND NOT leads), ''), chr(10)) AS content,
-  count(*) FILTER (worded AND depth > 0) AS n_quoted, coalesce(max(depth) FILTER (worded), 0)::BIGINT AS max_depth FROM n GROUP BY r),
-x AS (SELECT conv_id, turn, depth, norm FROM n JOIN t USING (r) WHERE worded AND turn IS NOT NULL),
-o AS (SELECT conv_id, norm, min(turn) AS origin FROM x WHERE depth = 0 GROUP BY conv_id, norm),
-k AS (SELECT x.conv_id, turn, count(*) AS n_linked, first(origin ORDER BY depth, origin DESC) AS reply_to
-  FROM x JOIN o ON x.conv_id IS NOT DISTINCT FROM o.conv_id AND x.norm = o.norm AND origin < turn WHERE depth > 0 GROUP BY x.conv_id, turn),
+g AS (SELECT *, sum(opens::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM n),
+p AS (SELECT r, run, depth, string_agg(line, chr(10) ORDER BY i) AS raw FROM g GROUP BY r, run, depth),
+x AS (SELECT p.r, conv_id, turn, depth, raw, {clean('raw')} AS norm, string_split({clean('raw')}, ' ') AS w FROM p JOIN t USING (r) WHERE {clean('raw')} <> ''),
+c AS (SELECT r, trim(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (depth = 0 AND NOT leads), ''), chr(13) || chr(10)) AS content, max(depth) > 0 AS quotes FROM n GROUP BY r),
+v AS (SELECT r, count(*) FILTER (depth > 0) AS n_quoted, max(depth)::BIGINT AS max_depth FROM x GROUP BY r),
+q AS (SELECT conv_id, turn, depth, norm AS key FROM x WHERE depth > 0 AND len(w) < {WINDOW} AND turn IS NOT NULL
+  UNION SELECT conv_id, turn, depth, {key} FROM (SELECT conv_id, turn, depth, w, unnest(list_append(range(0, len(w) - {WINDOW} + 1, {WINDOW}), len(w) - {WINDOW})) AS i FROM x WHERE depth > 0 AND len(w) >= {WINDOW} AND turn IS NOT NULL)),
+u AS (SELECT conv_id, turn, unnest(list_concat([norm], list_concat(string_split(raw, chr(10)), string_split(regexp_replace(norm, '([.!?]) ', '' || chr(10), 'g'), chr(10))))) AS part FROM x WHERE depth = 0 AND turn IS NOT NULL),
+o AS (SELECT conv_id, turn, {clean('part')} AS key FROM u WHERE {clean('part')} <> '' AND len(string_split({clean('part')}, ' ')) < {WINDOW}
+  UNION SELECT conv_id, turn, {key} FROM (SELECT conv_id, turn, w, unnest(range(0, len(w) - {WINDOW} + 1)) AS i FROM x WHERE depth = 0 AND len(w) >= {WINDOW} AND turn IS NOT NULL)),
+h AS (SELECT q.conv_id, q.turn, depth, q.key, max(o.turn) AS origin FROM q JOIN o ON q.conv_id IS NOT DISTINCT FROM o.conv_id AND q.key = o.key AND o.turn < q.turn GROUP BY ALL),
+b AS (SELECT conv_id, turn, depth, origin, count(*) AS n FROM h GROUP BY ALL),
+k AS (SELECT conv_id, turn, sum(n)::BIGINT AS n_linked, first(origin ORDER BY depth, n DESC, origin DESC) AS reply_to FROM b GROUP BY conv_id, turn),
 f AS (SELECT conv_id, turn, reply_to AS root, 1::BIGINT AS level FROM k
   UNION ALL SELECT f.conv_id, f.turn, k.reply_to, level + 1 FROM f JOIN k ON f.conv_id IS NOT DISTINCT FROM k.conv_id AND f.root = k.turn),
 e AS (SELECT conv_id, turn, max(level) AS level, max_by(root, level) AS root FROM f GROUP BY conv_id, turn)
-SELECT t.conv_id, t.turn, role, CASE WHEN contains(t, '>') THEN content ELSE t END AS content,
-  '<|' || role || '|>' || chr(10) || CASE WHEN contains(t, '>') THEN content ELSE t END || '<|end|>' AS formatted,
-  reply_to, coalesce(root, t.turn) AS thread, coalesce(level, 0) AS level, n_quoted, max_depth, coalesce(n_linked, 0) AS n_linked
-FROM t JOIN c USING (r) LEFT JOIN k ON t.conv_id IS NOT DISTINCT FROM k.conv_id AND t.turn = k.turn
+SELECT t.conv_id, t.turn, role, CASE WHEN quotes THEN content ELSE t END AS content,
+  '<|' || role || '|>' || chr(10) || CASE WHEN quotes THEN content ELSE t END || '<|end|>' AS formatted,
+  reply_to, coalesce(root, t.turn) AS thread, coalesce(level, 0) AS level, coalesce(n_quoted, 0) AS n_quoted, coalesce(max_depth, 0) AS max_depth, coalesce(n_linked, 0) AS n_linked
+FROM t JOIN c USING (r) LEFT JOIN v USING (r) LEFT JOIN k ON t.conv_id IS NOT DISTINCT FROM k.conv_id AND t.turn = k.turn
 LEFT JOIN e ON t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.turn = e.turn"""
 
 
