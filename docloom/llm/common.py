@@ -62,6 +62,27 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+BLOCK = 256
+
+
+def starts(hits: str, gap: str, hit: str) -> str:
+    """SQL of an array of int: where each of ``hits`` starts, in units of the SQL ``gap`` and ``hit``.
+
+    ``gap`` and ``hit`` give the length of what stands before hit i and of the
+    hit itself. An array is copied when it grows, so sums are kept in blocks of
+    ``BLOCK`` and the blocks put together: linear in the number of hits.
+    """
+    n = f"size({hits})"
+    block = (
+        f"aggregate(sequence(b, least(b + {BLOCK}, {n}) - 1), struct(0 as at, cast(array() as array<int>) as s),"
+        f" (a, i) -> struct(a.at + {gap} + {hit} as at, array_append(a.s, a.at + {gap}) as s))")
+    offsets = "aggregate(bs, struct(0 as at, cast(array() as array<int>) as s), (a, x) -> struct(a.at + x.at as at, array_append(a.s, a.at) as s)).s"
+    joined = f"transform(array(struct(bs as bs, {offsets} as os)), y -> flatten(transform(y.bs, (x, k) -> transform(x.s, v -> v + y.os[k]))))[0]"
+    return (
+        f"if({hits} is null or {n} = 0, cast(array() as array<int>),"
+        f" transform(array(transform(sequence(0, {n} - 1, {BLOCK}), b -> {block})), bs -> {joined})[0])")
+
+
 def forest(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
     """Union the links (u, v) over nodes 0..n-1 that ``label`` may join already: label[i] becomes the smallest node joined to i."""
     label = np.arange(n) if label is None else label

@@ -4,7 +4,9 @@ A text is normalised to lower-case words; a keyword prefilter decides which
 rules look at it at all, so a text without licence words costs one pass. Each
 rule that is let in yields intervals of words. A detection is suppressed if the
 interval of one with a higher priority (ties: the longer one, then the earlier
-rule) contains it. Everything happens within a row: no shuffle, no skew.
+rule) contains it, which one sweep over the sorted detections decides. Everything
+happens within a row: no shuffle, no skew, and time in proportion to the text and
+to its detections.
 
 Defined results: a null or empty text has no words, no labels and score 0;
 repeated rows get a row each; other columns are not touched.
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import ascii_lower, load
+from docloom.llm.common import BLOCK, ascii_lower, load, starts
 from docloom.llm.license_rules import rules
 
 #: fixed values of the base labels
@@ -23,6 +25,7 @@ BASE: dict[str, str] = {"gnu general public license": "gpl", "apache license": "
 
 NOT_WORD = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 KIND = "struct<s:int,e:int,p:int,i:int,label:string,score:double>"
+ORDERED = "struct<s:int,ne:int,np:int,i:int,e:int,p:int,k:int,label:string,score:double>"
 NONE = f"cast(array() as array<{KIND}>)"
 
 
@@ -35,22 +38,38 @@ def _words(text: str) -> str:
     return f"(length({text}) - length(replace({text}, ' ', '')))"
 
 
-def _places(hits: str, gaps: str, item: str, kind: str) -> str:
+def _places(hits: str, gaps: str, item: str) -> str:
     """SQL of an array of ``item`` over (s, e, h): word intervals of the hits, which alternate with the gaps."""
-    none = f"cast(array() as array<{kind}>)"
-    step = f"a.at + {_words(f'{gaps}[k]')}"
-    return (
-        f"if({hits} is null or size({hits}) = 0, {none}, aggregate(sequence(0, size({hits}) - 1), struct(0 as at, {none} as out),"
-        f" (a, k) -> struct({step} + {_words(f'{hits}[k]')} as at, array_append(a.out, {item.format(s=step, e=f'{step} + {_words(f"{hits}[k]")}', h=f'{hits}[k]')}) as out)).out)"
-    )
+    at = starts(hits, _words(f"{gaps}[i]"), _words(f"{hits}[i]"))
+    hit = f"{hits}[o]"
+    return f"transform({at}, (v, o) -> {item.format(s='v', e=f'v + {_words(hit)}', h=hit)})"
+
+
+def _surviving(found: str, levels: int) -> str:
+    """SQL of the detections that none of higher priority contains (ties: the longer one, then the earlier rule).
+
+    One sweep in order of start, longest and best first: whatever contains a
+    detection and beats it came before, so it is enough to know, for each
+    level k of priority (0 the highest), how far those of it or above have reached.
+    """
+    reach = "transform(a.reach, (v, k) -> if(k >= x.k, greatest(v, x.e), v))"
+    kept = "a.reach[x.k] < x.e"
+    # what is kept is put into blocks, since an array is copied when it grows
+    step = (
+        f"struct({reach} as reach, if({kept} and size(a.last) = {BLOCK}, array_append(a.done, a.last), a.done) as done,"
+        f" if({kept}, if(size(a.last) = {BLOCK}, array(x), array_append(a.last, x)), a.last) as last)")
+    zero = f"struct(array_repeat(-1, {levels}) as reach, cast(array() as array<array<{ORDERED}>>) as done, cast(array() as array<{ORDERED}>) as last)"
+    swept = f"aggregate(array_sort({found}), {zero}, (a, x) -> {step}, a -> flatten(array_append(a.done, a.last)))"
+    return f"transform({swept}, x -> struct(x.s as s, x.e as e, x.p as p, x.i as i, x.label as label, x.score as score))"
 
 
 def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, n_words, ``base`` places (s, label) and surviving detections ``found`` for every row."""
     book = rules()
     keywords = sorted({r.keyword for r in book})
+    levels = sorted({r.priority for r in book}, reverse=True)
     groups = ", ".join(f"struct({_sql(k)} as k, array(" + ", ".join(
-        f"struct({i} as i, {r.priority} as p, {r.confidence}D as c, {_sql(r.label)} as label, {_sql(f' {r.pattern}(?= )')} as re)"
+        f"struct({i} as i, {r.priority} as p, {levels.index(r.priority)} as k, {r.confidence}D as c, {_sql(r.label)} as label, {_sql(f' {r.pattern}(?= )')} as re)"
         for i, r in enumerate(book) if r.keyword == k) + ") as rules)" for k in keywords)
     base_at = _sql(" (?:" + "|".join(BASE) + ")(?= )")
     labels = "case " + " ".join(f"when {{h}} = ' {p}' then '{label}'" for p, label in BASE.items()) + " end"
@@ -61,9 +80,9 @@ def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
         F.expr(f"__n rlike {_sql(' (?:' + '|'.join(keywords) + ') ')}").alias("__gated"),
         F.expr(" or ".join(f"contains(__n, ' {p} ')" for p in BASE)).alias("__based"),
     )
-    d = d.withColumn("__hits", F.expr(f"if(__based, regexp_extract_all(__n, {base_at}, 0), null)"))
+    d = d.withColumn("__hits", F.expr(f"if(__based, regexp_extract_all(__n, {base_at}, 0), cast(array() as array<string>))"))
     d = d.withColumn("__gaps", F.expr(f"if(__based, split(__n, {base_at}, -1), null)"))
-    d = d.withColumn("base", F.expr(_places("__hits", "__gaps", f"struct({{s}} as s, {labels} as label)", "struct<s:int,label:string>")))
+    d = d.withColumn("base", F.expr(_places("__hits", "__gaps", f"struct({{s}} as s, {labels} as label)")))
     d = d.drop("__hits", "__gaps", "__based")
     d = d.withColumn("__let", F.expr(
         f"if(__gated, flatten(transform(filter(array({groups}), g -> contains(__n, concat(' ', g.k, ' '))), g -> g.rules)), null)"))
@@ -71,11 +90,10 @@ def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
     d = d.withColumn("__tried", F.expr(
         "if(__let is null, null, transform(filter(__let, r -> regexp_like(__n, r.re)), r ->"
         " struct(r as r, regexp_extract_all(__n, r.re, 0) as hits, split(__n, r.re, -1) as gaps)))")).drop("__let", "__n", "__gated")
-    item = "struct({s} as s, {e} as e, t.r.p as p, t.r.i as i, t.r.label as label, t.r.c as score)"
-    d = d.withColumn("__all", F.expr(
-        f"if(__tried is null, {NONE}, flatten(transform(__tried, t -> {_places('t.hits', 't.gaps', item, KIND)})))")).drop("__tried")
-    over = "y.s <= x.s and y.e >= x.e and (y.p > x.p or (y.p = x.p and (y.e - y.s > x.e - x.s or (y.e - y.s = x.e - x.s and y.i < x.i))))"
-    return d.withColumn("found", F.expr(f"filter(__all, x -> not exists(__all, y -> {over}))")).drop("__all")
+    # in the order of the sweep: start, longest, highest priority, earliest rule
+    item = "struct({s} as s, -({e}) as ne, -t.r.p as np, t.r.i as i, {e} as e, t.r.p as p, t.r.k as k, t.r.label as label, t.r.c as score)"
+    d = d.withColumn("__all", F.expr(f"if(__tried is null, null, flatten(transform(__tried, t -> {_places('t.hits', 't.gaps', item)})))")).drop("__tried")
+    return d.withColumn("found", F.expr(f"if(__all is null, {NONE}, {_surviving('__all', len(levels))})")).drop("__all")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
