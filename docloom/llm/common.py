@@ -62,7 +62,7 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-BLOCK = 256
+BLOCK = 128
 
 
 def starts(hits: str, gap: str, hit: str) -> str:
@@ -83,6 +83,16 @@ def starts(hits: str, gap: str, hit: str) -> str:
         f" transform(array(transform(sequence(0, {n} - 1, {BLOCK}), b -> {block})), bs -> {joined})[0])")
 
 
+def reached(ends: str) -> str:
+    """SQL of an array of int: for each of ``ends`` the greatest of those before it, 0 for the first; in blocks like ``starts``."""
+    block = f"aggregate(slice(es, b + 1, {BLOCK}), struct(0 as at, cast(array() as array<int>) as s), (a, e) -> struct(greatest(a.at, e) as at, array_append(a.s, a.at) as s))"
+    offsets = "aggregate(bs, struct(0 as at, cast(array() as array<int>) as s), (a, x) -> struct(greatest(a.at, x.at) as at, array_append(a.s, a.at) as s)).s"
+    joined = f"transform(array(struct(bs as bs, {offsets} as os)), y -> flatten(transform(y.bs, (x, k) -> transform(x.s, v -> greatest(v, y.os[k])))))[0]"
+    return (
+        f"transform(array({ends}), es -> if(size(es) = 0, cast(array() as array<int>),"
+        f" transform(array(transform(sequence(0, size(es) - 1, {BLOCK}), b -> {block})), bs -> {joined})[0]))[0]")
+
+
 def forest(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
     """Union the links (u, v) over nodes 0..n-1 that ``label`` may join already: label[i] becomes the smallest node joined to i."""
     label = np.arange(n) if label is None else label

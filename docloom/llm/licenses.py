@@ -52,15 +52,18 @@ def _surviving(found: str, levels: int) -> str:
     detection and beats it came before, so it is enough to know, for each
     level k of priority (0 the highest), how far those of it or above have reached.
     """
-    reach = "transform(a.reach, (v, k) -> if(k >= x.k, greatest(v, x.e), v))"
-    kept = "a.reach[x.k] < x.e"
-    # what is kept is put into blocks, since an array is copied when it grows
-    step = (
-        f"struct({reach} as reach, if({kept} and size(a.last) = {BLOCK}, array_append(a.done, a.last), a.done) as done,"
-        f" if({kept}, if(size(a.last) = {BLOCK}, array(x), array_append(a.last, x)), a.last) as last)")
-    zero = f"struct(array_repeat(-1, {levels}) as reach, cast(array() as array<array<{ORDERED}>>) as done, cast(array() as array<{ORDERED}>) as last)"
-    swept = f"aggregate(array_sort({found}), {zero}, (a, x) -> {step}, a -> flatten(array_append(a.done, a.last)))"
-    return f"transform({swept}, x -> struct(x.s as s, x.e as e, x.p as p, x.i as i, x.label as label, x.score as score))"
+    further = "transform({}, (v, k) -> if(k >= x.k, greatest(v, x.e), v))"
+    none = f"array_repeat(-1, {levels})"
+    # blocks of detections: how far each reaches, what reaches into each, and what it keeps; an array is copied when it grows
+    reach = f"transform(bs, b -> aggregate(b, {none}, (a, x) -> {further.format('a')}))"
+    into = f"aggregate({reach}, struct({none} as at, cast(array() as array<array<int>>) as s), (a, r) -> struct(zip_with(a.at, r, (v, w) -> greatest(v, w)) as at, array_append(a.s, a.at) as s)).s"
+    kept = (
+        f"aggregate(b, struct(y.i[j] as reach, cast(array() as array<{ORDERED}>) as out), (a, x) -> struct({further.format('a.reach')} as reach,"
+        " if(a.reach[x.k] < x.e, array_append(a.out, x), a.out) as out)).out")
+    swept = f"transform(array(struct(bs as bs, {into} as i)), y -> flatten(transform(y.bs, (b, j) -> {kept})))[0]"
+    blocks = f"transform(sequence(0, size(xs) - 1, {BLOCK}), b -> slice(xs, b + 1, {BLOCK}))"
+    whole = f"transform(array(array_sort({found})), xs -> if(size(xs) = 0, cast(array() as array<{ORDERED}>), transform(array({blocks}), bs -> {swept})[0]))[0]"
+    return f"transform({whole}, x -> struct(x.s as s, x.e as e, x.p as p, x.i as i, x.label as label, x.score as score))"
 
 
 def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
