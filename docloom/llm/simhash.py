@@ -234,9 +234,10 @@ def keep_one(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     found = grouped(spark, keyed, ("doc_id", "__key"), **how)
     first = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__key").alias("key"))
     stay = found.groupBy("root").agg(F.min(first).alias("x")).select(F.col("x.key").alias("__stay"), F.col("x.b").alias("__id"))
-    # ids are compared too: two documents whose keys collide stay apart
-    same = (F.col("__key") == F.col("__stay")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["__key", "doc_id"]).drop("__key")
+    # ids are compared too: two documents whose keys collide stay apart. Not as a key of the join: rows of one key are then
+    # in one partition for dropDuplicates as well, and texts are shuffled once
+    same = F.expr("if(doc_id IS NULL, __id IS NULL, coalesce(doc_id = __id, false))")
+    return keyed.join(stay, (F.col("__key") == F.col("__stay")) & same, "left_semi").dropDuplicates(["__key", "doc_id"]).drop("__key")
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
