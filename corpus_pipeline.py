@@ -8,37 +8,34 @@ best-fit packing (every piece gets a place in a training sequence).
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm import langid, mixing, packing, secretscan, simhash
-from docloom.llm.common import load
+from docloom.llm.common import load, remove, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language stay; lang becomes the prediction."""
+    """Documents with a language stay; lang becomes the prediction. Null and letterless texts go; a repeated row stays repeated; other columns stay."""
     return langid.accept(spark, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays."""
+    """One document of each SimHash component stays: that with the smallest doc_id. Rows without an id count, and one stays of a component of such rows; repeated rows are one document."""
     return simhash.keep_one(spark, docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; owner-specific credentials in their texts are replaced."""
+    """All documents stay; owner-specific, live-looking credentials in their texts are replaced, and n_chars follows. A null text or source is left as it is."""
     return secretscan.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated, or left out, so that sources weigh the same; shuffled globally."""
+    """Documents repeated, or left out, so that sources weigh the same; shuffled globally. A null source is a source; columns with the names of added ones stay."""
     return mixing.mix(docs).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document."""
+    """The place of every piece of every document; a document without words has one piece of no words."""
     return packing.pack(docs)
 
 
@@ -55,13 +52,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents, each written as Parquet in the shared folder and read again."""
-    docs = load(spark, sf_dir, "documents")
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-pipeline-")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = f"{base.rstrip('/')}/pipeline-{uuid.uuid4().hex}/{k}-{name}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    """Apply the stages to documents, each written as Parquet in the shared folder and read again.
+
+    A stage's table goes once the next one is written; that of the last but one
+    stays, since the result is read from it. An empty table gives an empty result.
+    """
+    docs, before = load(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        docs, path = written(stage(spark, docs, sf_dir), name)
+        if before:
+            remove(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
