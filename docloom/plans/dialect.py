@@ -73,9 +73,42 @@ class Dialect:
     def distinct(self, x: str) -> str:
         return self(f"array_distinct({x})", f"list_distinct({x})")
 
+    def any(self, x: str, v: str, cond: str) -> str:
+        return self(f"exists({x}, {v} -> {cond})", f"(len(list_filter({x}, lambda {v}: {cond})) > 0)")
+
+    def has(self, x: str, item: str) -> str:
+        return self(f"array_contains({x}, {item})", f"list_contains({x}, {item})")
+
+    def at(self, x: str, n: int) -> str:
+        """Item n of an array from 1 on, NULL behind its end."""
+        return self(f"try_element_at({x}, {n})", f"({x})[{n}]")
+
+    def uniq(self, x: str) -> str:
+        """Items in order of first occurrence; x is a column."""
+        return self(f"array_distinct({x})", f"list_filter({x}, lambda v, i: list_position({x}, v) = i)")
+
+    def concat(self, *arrays: str) -> str:
+        if self.spark:
+            return f"concat({', '.join(arrays)})"
+        out = arrays[0]
+        for a in arrays[1:]:
+            out = f"list_concat({out}, {a})"
+        return out
+
+    def none(self) -> str:
+        return self("cast(array() as array<string>)", "CAST([] AS VARCHAR[])")
+
+    def items(self, x: str, sep: str = ";") -> str:
+        """Trimmed items of a delimited text, blanks dropped."""
+        return self.keep(self.map(f"split({x}, '{sep}')", "x", "trim(x)"), "x", "x <> ''")
+
+    def struct(self, **fields: str) -> str:
+        return self("named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")", "{" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "}")
+
     def words(self, x: str) -> str:
-        """Distinct lower-case words."""
-        return self.distinct(self.keep(f"split({self.swap(f'lower({x})', '[^a-zà-ÿ0-9]+', ' ')}, ' ')", "w", "w <> ''"))
+        """Distinct lower-case words: letters of any script, and digits."""
+        pattern = self(r"[^\p{L}\p{N}]+", r"[^\pL\pN]+")
+        return self.distinct(self.keep(f"split({self.swap(f'lower({x})', pattern, ' ')}, ' ')", "w", "w <> ''"))
 
     def jaccard(self, a: str, b: str) -> str:
         """Shared over all words of two arrays of distinct words; 0 where either is empty."""
