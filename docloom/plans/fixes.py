@@ -58,12 +58,17 @@ def key_format_gate(d: Dialect) -> str:
 SELECT loader, stored, audit, count(*) AS n_keys, min(raw) AS first_key FROM g GROUP BY loader, stored, audit"""
 
 
+#: this library's own: what stands before the number of a malformed key -> type of the key it becomes
+REWRITES: dict[str, str] = {"rhm/": "COMMITTEE", "mh/": "SECURITY", "bio/": "ECON"}
+
+
 def key_rewrite(d: Dialect) -> str:
-    """Malformed keys rewritten to typed forms, with how many rows would hold the new key already."""
-    number = d.swap("raw", "^.*/([0-9]+)$", d(r"$1", r"\1"))
-    typed = " ".join(f"WHEN {d.like('raw', f'^[0-9]+_{p}/[0-9]+$')} THEN gov || '_{t}_' || {number}" for p, t in (("rhm", "COMMITTEE"), ("mh", "SECURITY"), ("bio", "ECON")))
-    return f"""WITH k AS ({_keys(d)}), m AS (SELECT o_orderkey, raw, {d.grab('raw', '^([0-9]+)_')} AS gov FROM k WHERE raw <> '' AND NOT {d.like('raw', '^[0-9]+_[0-9]+$')}),
-r AS (SELECT o_orderkey, raw, CASE {typed} ELSE gov || '_SPECIAL_' || {d.swap('raw', '[^0-9]', '')} END AS new_key FROM m),
+    """Malformed keys taken apart, their kind looked up in a table of rules, put together again; with how many rows would hold the new key already."""
+    rules = " UNION ALL ".join(f"SELECT '{a}' AS kind, '{b}' AS type" for a, b in REWRITES.items())
+    return f"""WITH k AS ({_keys(d)}), rules AS ({rules}),
+m AS (SELECT o_orderkey, raw, {d.grab('raw', '^([0-9]+)_')} AS gov, {d.grab('raw', '^[0-9]+_([a-z]+/)[0-9]+$')} AS kind, {d.grab('raw', '^[0-9]+_[a-z]+/([0-9]+)$')} AS number, {d.swap('raw', '[^0-9]', '')} AS digits
+  FROM k WHERE raw <> '' AND NOT {d.like('raw', '^[0-9]+_[0-9]+$')}),
+r AS (SELECT o_orderkey, raw, gov || '_' || coalesce(type, 'SPECIAL') || '_' || CASE WHEN type IS NULL THEN digits ELSE number END AS new_key FROM m LEFT JOIN rules ON m.kind = rules.kind),
 c AS (SELECT new_key, count(*) AS n FROM r GROUP BY new_key)
 SELECT r.o_orderkey, r.raw, r.new_key, c.n - 1 AS n_collisions FROM r JOIN c ON r.new_key = c.new_key"""
 

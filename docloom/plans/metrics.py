@@ -10,6 +10,29 @@ from docloom.plans.dialect import Dialect, registry
 from docloom.session import table
 
 
+def _quantiles(d: Dialect, source: str, by: dict[str, str], ps: tuple[float, ...], where: str = "") -> str:
+    """q: the groups of a source with interpolated percentiles q0, q1, ... of value.
+
+    Spark counts distinct values first, splits the range of a group into 1024
+    buckets and ranks inside buckets only, so that no task holds a group.
+    """
+    keys, named = ", ".join(by), ", ".join(f"{e} AS {k}" for k, e in by.items())
+    if not d.spark:
+        return f"q AS (SELECT {keys}, {', '.join(f'quantile_cont(value, {p}) AS q{i}' for i, p in enumerate(ps))} FROM (SELECT {named}, value FROM {source} {where}) x GROUP BY {keys})"
+    same = lambda a, b: " AND ".join(f"{a}.{k} <=> {b}.{k}" for k in by)
+    of = lambda a: ", ".join(f"{a}.{k}" for k in by)
+    at = lambda p: f"({p}D * (max(n) - 1))"
+    ends = ", ".join(f"min(CASE WHEN cum > floor({p}D * (n - 1)) THEN value END) AS a{i}, min(CASE WHEN cum > ceil({p}D * (n - 1)) THEN value END) AS b{i}, {at(p)} - floor({at(p)}) AS f{i}" for i, p in enumerate(ps))
+    return f"""v AS (SELECT {keys}, value, count(*) AS c FROM (SELECT {named}, value FROM {source} {where}) x WHERE value IS NOT NULL GROUP BY {keys}, value),
+lim AS (SELECT {keys}, min(value) AS lo, max(value) AS hi, sum(c) AS n FROM v GROUP BY {keys}),
+bk AS (SELECT {of('v')}, value, c, n, CASE WHEN hi > lo THEN least(floor((value - lo) / (hi - lo) * 1024), 1023) ELSE 0 END AS bucket FROM v JOIN lim ON {same('v', 'lim')}),
+bs AS (SELECT {keys}, bucket, sum(c) AS bc FROM bk GROUP BY {keys}, bucket),
+bo AS (SELECT *, sum(bc) OVER (PARTITION BY {keys} ORDER BY bucket) - bc AS before FROM bs),
+wc AS (SELECT {of('bk')}, value, n, before + sum(c) OVER (PARTITION BY {of('bk')}, bk.bucket ORDER BY value) AS cum FROM bk JOIN bo ON {same('bk', 'bo')} AND bk.bucket = bo.bucket),
+qe AS (SELECT {keys}, {ends} FROM wc GROUP BY {keys}),
+q AS (SELECT {keys}, {', '.join(f'a{i} + (b{i} - a{i}) * f{i} AS q{i}' for i in range(len(ps)))} FROM qe)"""
+
+
 def _period(unit: str):
     def q(d: Dialect) -> str:
         if unit == "week":  # weeks start on Sunday; the week is named by its Monday
@@ -17,8 +40,9 @@ def _period(unit: str):
             period = d.day(start)
         else:
             period = d.stamp(f"date_trunc('{unit}', ts)")
-        return f"""SELECT event_type, {period} AS period, count(*) AS n, min(value) AS lo, max(value) AS hi, avg(value) AS mean, {d.percentile('value', 0.5)} AS median, coalesce(stddev_samp(value), 0) AS stdev
-FROM {d.t('events')} GROUP BY event_type, {period}"""
+        return f"""WITH {_quantiles(d, d.t('events'), {'event_type': 'event_type', 'period': period}, (0.5,))},
+g AS (SELECT event_type, {period} AS period, count(*) AS n, min(value) AS lo, max(value) AS hi, avg(value) AS mean, coalesce(stddev_samp(value), 0) AS stdev FROM {d.t('events')} GROUP BY 1, 2)
+SELECT g.event_type, g.period, n, lo, hi, mean, q0 AS median, stdev FROM g LEFT JOIN q ON g.event_type = q.event_type AND g.period = q.period"""
 
     q.__name__, q.__doc__ = f"metric_periods_{unit}", f"Count, range, mean, median and deviation by type and {unit}."
     return q
@@ -26,8 +50,11 @@ FROM {d.t('events')} GROUP BY event_type, {period}"""
 
 def metric_summary(d: Dialect) -> str:
     """Latest value, range, mean and percentiles of each metric, negatives left out."""
-    ps = ", ".join(f"{d.percentile('value', p)} AS p{int(p * 100)}" for p in (0.25, 0.5, 0.75, 0.9, 0.95))
-    return f"SELECT event_type, count(*) AS n, max(ts) = max(ts) AS seen, min(value) AS lo, max(value) AS hi, avg(value) AS mean, coalesce(stddev_samp(value), 0) AS stdev, {ps} FROM {d.t('events')} WHERE value >= 0 GROUP BY event_type"
+    ps = (0.25, 0.5, 0.75, 0.9, 0.95)
+    latest = d("max_by(value, struct(ts, event_id))", "first(value ORDER BY ts DESC, event_id DESC)")
+    return f"""WITH {_quantiles(d, d.t('events'), {'event_type': 'event_type'}, ps, 'WHERE value >= 0')},
+g AS (SELECT event_type, count(*) AS n, {latest} AS latest, min(value) AS lo, max(value) AS hi, avg(value) AS mean, coalesce(stddev_samp(value), 0) AS stdev FROM {d.t('events')} WHERE value >= 0 GROUP BY event_type)
+SELECT g.event_type, n, latest, lo, hi, mean, stdev, {', '.join(f'q{i} AS p{int(p * 100)}' for i, p in enumerate(ps))} FROM g JOIN q ON g.event_type = q.event_type"""
 
 
 def _daily(d: Dialect) -> str:
@@ -42,10 +69,11 @@ SELECT event_type, day, CASE WHEN seen < 3 OR older IS NULL THEN 'unknown' WHEN
 
 
 def metric_anomaly(d: Dialect) -> str:
-    """Values outside two deviations of the last 1000 samples, with a confidence."""
+    """Values outside two deviations of the last 1000 samples (itself included); the confidence is the distance beyond the bound in deviations, at most 1; from 0.7 on it alerts."""
     w = "OVER (PARTITION BY event_type ORDER BY day ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)"
+    beyond = "least((abs(value - m) - 2 * sd) / sd, 1)"
     return f"""WITH {_daily(d)}, s AS (SELECT event_type, day, value, avg(value) {w} AS m, stddev_samp(value) {w} AS sd, count(*) {w} AS n FROM daily)
-SELECT event_type, day, least(abs(value - m) / nullif(sd, 0), 1) AS confidence FROM s WHERE n >= 10 AND sd > 0 AND abs(value - m) > 2 * sd"""
+SELECT event_type, day, {beyond} AS confidence, {beyond} >= 0.7 AS alerts FROM s WHERE n >= 10 AND sd > 0 AND abs(value - m) > 2 * sd"""
 
 
 def health_score(d: Dialect) -> str:
@@ -150,14 +178,24 @@ def ema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dependency_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes of each record by priority and time, and the change before each in time.
+    """Changes of each record in an order that respects their dependencies, with the number of changes each depends on.
 
-    No dependency order: a change of a higher kind stands before the one it names.
+    A change of the class (here a purchase) comes before every change of the tags
+    (a click) of its record; a change of the tags before every later change. Where
+    both say the opposite the second rule yields (``n_dropped`` dependencies), as in
+    any order. Positions and counts are kept by day, so a hot record is no window.
     """
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.when(F.col("event_type") == "error", 3).when(F.col("event_type") == "purchase", 2).otherwise(1).alias("priority"))
-    w = "PARTITION BY user_id ORDER BY ts, event_id"
-    return e.select("event_id", "user_id", F.expr(f"CAST(row_number() OVER (PARTITION BY user_id ORDER BY priority DESC, ts, event_id) AS BIGINT)").alias("position"),
-                    F.expr(f"lag(event_id) OVER ({w})").alias("depends_on"))
+    table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "ts", F.to_date("ts").alias("day"), (F.col("event_type") == "purchase").alias("c"), (F.col("event_type") == "click").alias("t")).createOrReplaceTempView("docloom_changes")
+    return spark.sql("""
+WITH n AS (SELECT user_id, c, day, count(*) AS n FROM docloom_changes GROUP BY user_id, c, day),
+o AS (SELECT user_id, c, day, sum(n) OVER (PARTITION BY user_id ORDER BY c DESC, day ROWS UNBOUNDED PRECEDING) - n AS before FROM n),
+p AS (SELECT user_id, day, count_if(t) AS nt, count_if(c) AS nc FROM docloom_changes GROUP BY user_id, day),
+b AS (SELECT user_id, day, sum(nt) OVER (PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING) - nt AS t_before, sum(nc) OVER (PARTITION BY user_id) AS c_all FROM p),
+k AS (SELECT x.event_id, x.user_id, x.c, x.t, before + row_number() OVER (PARTITION BY x.user_id, x.c, x.day ORDER BY ts, event_id) AS position,
+  t_before + sum(int(x.t)) OVER (PARTITION BY x.user_id, x.day ORDER BY ts) - sum(int(x.t)) OVER (PARTITION BY x.user_id, x.day, ts) AS earlier, c_all
+  FROM docloom_changes x JOIN o ON x.user_id <=> o.user_id AND x.c = o.c AND x.day <=> o.day JOIN b ON x.user_id <=> b.user_id AND x.day <=> b.day)
+SELECT event_id, user_id, position, IF(c, 0L, earlier) + IF(t, c_all, 0L) AS n_depends, IF(c, earlier, 0L) AS n_dropped FROM k""")
 
 
 QUERIES.update(alert_cooldown=alert_cooldown, ema=ema, dependency_order=dependency_order)
@@ -173,5 +211,7 @@ n AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day) AS i, c
 e AS (SELECT event_type, i, c, v AS ema FROM n WHERE i = 1 UNION ALL SELECT n.event_type, n.i, n.c, e.ema * 0.9 + n.v * 0.1 FROM e JOIN n ON n.event_type = e.event_type AND n.i = e.i + 1)
 SELECT event_type, ema FROM e WHERE i = c"""
 ORACLES["dependency_order"] = """
-SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'error' THEN 3 WHEN 'purchase' THEN 2 ELSE 1 END DESC, ts, event_id) AS position,
-  lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS depends_on FROM events"""
+WITH x AS (SELECT event_id, user_id, ts, event_type = 'purchase' AS c, event_type = 'click' AS t FROM events),
+e AS (SELECT a.event_id, a.user_id, a.c, b.event_id AS on_id, a.t AND b.c AS first_rule FROM x a JOIN x b ON a.user_id = b.user_id AND a.event_id <> b.event_id AND ((a.t AND b.c) OR (b.t AND b.ts < a.ts))),
+k AS (SELECT e.event_id, count(*) FILTER (NOT e.c) AS n_depends, count(*) FILTER (e.c) AS n_dropped FROM e GROUP BY e.event_id)
+SELECT x.event_id, x.user_id, row_number() OVER (PARTITION BY x.user_id ORDER BY c DESC, CAST(ts AS DATE), ts, x.event_id) AS position, coalesce(n_depends, 0) AS n_depends, coalesce(n_dropped, 0) AS n_dropped FROM x LEFT JOIN k USING (event_id)"""

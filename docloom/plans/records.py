@@ -8,10 +8,10 @@ CUTOFF = "1996-06-01"
 
 
 def filtered_scan(d: Dialect) -> str:
-    """Projected scan by date range and key prefix, newest first, key as tie-break: all rows (the SQL stops at 1000)."""
+    """Projected scan by date range and key prefix, newest first, key as tie-break."""
     return f"""SELECT o_orderkey, o_orderstatus, {d.day('o_orderdate')} AS order_date FROM {d.t('orders')}
 WHERE o_orderdate >= TIMESTAMP '1995-01-01 00:00:00' AND o_orderdate <= TIMESTAMP '1997-12-31 00:00:00' AND CAST(o_orderkey AS VARCHAR(20)) LIKE '1%'
-ORDER BY o_orderdate DESC, o_orderkey{d('', ' LIMIT 1000')}"""
+ORDER BY o_orderdate DESC, o_orderkey"""
 
 
 def latest_row(d: Dialect) -> str:
@@ -26,11 +26,19 @@ def point_lookup(d: Dialect) -> str:
 
 
 def stratified_sample(d: Dialect) -> str:
-    """Five percent of each year, at least one row, by a seeded hash of the key."""
-    return f"""
+    """Five percent of each year, at least one row, by a seeded hash of the key: years are cut by counts of 4096 hash ranges, and only the range the cut falls in is ranked."""
+    h = "md5(CAST(o_orderkey AS VARCHAR(20)) || ':42')"
+    if not d.spark:
+        return f"""
 WITH o AS (SELECT o_orderkey, substring({d.day('o_orderdate')}, 1, 4) AS yr FROM {d.t('orders')}),
-r AS (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY md5(CAST(o_orderkey AS VARCHAR(20)) || ':42'), o_orderkey) AS rn, count(*) OVER (PARTITION BY yr) AS n FROM o)
+r AS (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY {h}, o_orderkey) AS rn, count(*) OVER (PARTITION BY yr) AS n FROM o)
 SELECT o_orderkey, yr FROM r WHERE rn <= greatest(1, floor(n * 5 / 100))"""
+    return f"""
+WITH o AS (SELECT o_orderkey, substring({d.day('o_orderdate')}, 1, 4) AS yr, {h} AS h FROM {d.t('orders')}),
+c AS (SELECT yr, substring(h, 1, 3) AS b, count(*) AS n FROM o GROUP BY 1, 2),
+t AS (SELECT yr, b, sum(n) OVER (PARTITION BY yr ORDER BY b) - n AS before, greatest(1, floor(sum(n) OVER (PARTITION BY yr) * 5 / 100)) AS need FROM c),
+r AS (SELECT o_orderkey, o.yr, before + row_number() OVER (PARTITION BY o.yr, t.b ORDER BY h, o_orderkey) AS rn, need FROM o JOIN t ON o.yr = t.yr AND substring(h, 1, 3) = t.b WHERE before < need)
+SELECT o_orderkey, yr FROM r WHERE rn <= need"""
 
 
 def high_water_mark(d: Dialect) -> str:
@@ -42,16 +50,33 @@ SELECT o_orderkey, {d.day('o_orderdate')} AS order_date FROM {d.t('orders')} CRO
 WHERE o_orderdate >= last_date AND NOT (o_orderdate = last_date AND o_orderkey = last_key)"""
 
 
+def _keyed(d: Dialect) -> str:
+    """documents by a 128-bit digest and the length of their texts, which stand for the texts in every shuffle."""
+    return f"(SELECT doc_id, lang, source, n_chars, md5(text) AS text_key, length(text) AS text_len FROM {d.t('documents')})"
+
+
 def duplicate_groups(d: Dialect) -> str:
-    """Texts held by more than one document: ids in order, smallest and largest."""
-    return f"""SELECT md5(text) AS text_key, count(*) AS n, min(doc_id) AS keep_id, max(doc_id) AS last_id, {d.join(d.map(d.gather('doc_id'), 'x', 'CAST(x AS VARCHAR(20))'), ',')} AS ids
-FROM {d.t('documents')} GROUP BY text HAVING count(*) > 1"""
+    """Texts held by more than one document: how many, smallest and largest id, sources."""
+    return f"""SELECT text_key, count(*) AS n, min(doc_id) AS keep_id, max(doc_id) AS last_id, count(DISTINCT source) AS n_sources
+FROM {_keyed(d)} x GROUP BY text_key, text_len HAVING count(*) > 1"""
+
+
+def duplicate_members(d: Dialect) -> str:
+    """Each document of a duplicate group: one row an id, since a group may be of any size."""
+    return f"""WITH k AS (SELECT * FROM {_keyed(d)} x), g AS (SELECT text_key AS gk, text_len AS gl, min(doc_id) AS keep_id FROM k GROUP BY text_key, text_len HAVING count(*) > 1)
+SELECT text_key, doc_id, keep_id FROM k JOIN g ON text_key = gk AND text_len = gl"""
+
+
+def ordered_lines(d: Dialect) -> str:
+    """The parts of each order as one array in line order: a group an order bounds."""
+    parts = d("transform(array_sort(collect_list(struct(l_linenumber, l_partkey))), x -> CAST(x.l_partkey AS STRING))", "list(CAST(l_partkey AS VARCHAR) ORDER BY l_linenumber, l_partkey)")
+    return f"SELECT l_orderkey, {d.join(parts, ',')} AS parts FROM {d.t('lineitem')} GROUP BY l_orderkey"
 
 
 def duplicate_conflicts(d: Dialect) -> str:
     """Duplicate texts whose other columns disagree."""
-    return f"""SELECT md5(text) AS text_key, count(DISTINCT lang) AS n_lang, count(DISTINCT source) AS n_source, count(DISTINCT n_chars) AS n_len
-FROM {d.t('documents')} GROUP BY text HAVING count(*) > 1 AND (count(DISTINCT lang) > 1 OR count(DISTINCT source) > 1 OR count(DISTINCT n_chars) > 1)"""
+    return f"""SELECT text_key, count(DISTINCT lang) AS n_lang, count(DISTINCT source) AS n_source, count(DISTINCT n_chars) AS n_len
+FROM {_keyed(d)} x GROUP BY text_key, text_len HAVING count(*) > 1 AND (count(DISTINCT lang) > 1 OR count(DISTINCT source) > 1 OR count(DISTINCT n_chars) > 1)"""
 
 
 def keep_newest(d: Dialect) -> str:
@@ -62,14 +87,15 @@ def keep_newest(d: Dialect) -> str:
 
 def dedup_backup(d: Dialect) -> str:
     """Documents a dedup by text would delete, with the one that stays."""
-    return f"""SELECT d.doc_id, k.keep_id, d.source FROM {d.t('documents')} d
-JOIN (SELECT text, min(doc_id) AS keep_id FROM {d.t('documents')} GROUP BY text HAVING count(*) > 1) k ON d.text = k.text AND d.doc_id <> k.keep_id"""
+    return f"""WITH k AS (SELECT * FROM {_keyed(d)} x), g AS (SELECT text_key AS gk, text_len AS gl, min(doc_id) AS keep_id FROM k GROUP BY text_key, text_len HAVING count(*) > 1)
+SELECT doc_id, keep_id, source FROM k JOIN g ON text_key = gk AND text_len = gl AND doc_id <> keep_id"""
 
 
 def audit_rollup(d: Dialect) -> str:
-    """One audit row over the duplicate groups."""
-    return f"""SELECT count(*) AS n_groups, coalesce({d.long('sum(n)')}, 0) AS n_rows, coalesce({d.long('sum(n - 1)')}, 0) AS n_removed, coalesce({d.long('max(n)')}, 0) AS largest
-FROM (SELECT count(*) AS n FROM {d.t('documents')} GROUP BY text HAVING count(*) > 1) x"""
+    """One audit row over the duplicate groups, also as a JSON object; the share of rows that are duplicates."""
+    return f"""WITH g AS (SELECT count(*) AS n FROM {_keyed(d)} x GROUP BY text_key, text_len HAVING count(*) > 1), t AS (SELECT count(*) AS total FROM {d.t('documents')}),
+a AS (SELECT count(*) AS n_groups, coalesce({d.long('sum(n)')}, 0) AS n_rows, coalesce({d.long('sum(n - 1)')}, 0) AS n_removed, coalesce({d.long('max(n)')}, 0) AS largest FROM g)
+SELECT n_groups, n_rows, n_removed, largest, {d.double('n_removed')} / total * 100 AS duplicate_rate, '{{"n_groups":' || CAST(n_groups AS VARCHAR(20)) || ',"n_removed":' || CAST(n_removed AS VARCHAR(20)) || '}}' AS detail FROM a CROSS JOIN t"""
 
 
 def key_normalise(d: Dialect) -> str:
@@ -227,6 +253,6 @@ def last_events(d: Dialect) -> str:
 
 
 QUERIES, ORACLES = registry(
-    filtered_scan, latest_row, point_lookup, stratified_sample, high_water_mark, duplicate_groups, duplicate_conflicts, keep_newest, dedup_backup, audit_rollup,
+    filtered_scan, latest_row, point_lookup, stratified_sample, high_water_mark, duplicate_groups, duplicate_members, ordered_lines, duplicate_conflicts, keep_newest, dedup_backup, audit_rollup,
     key_normalise, anti_join_ingest, set_reconciliation, set_operations, merge_update, snapshot_diff, change_log, change_report, pending_changes, check_routing,
     resume_filter, liveness, load_projection, range_lookup, near_duplicate_titles, near_duplicate_members, last_events)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from docloom.plans.dialect import Dialect, registry
 
 #: own vocabulary that free tags are mapped onto, in order of preference
-VOCABULARY = ("small ring", "red widgets and bolts", "blue steel bolt", "large hot gear", "green nut", "tiny pin")
+VOCABULARY = ("small ring", "large red ring", "small blue bolt", "red widgets and bolts", "blue steel bolt", "large hot gear", "green nut", "tiny pin")
 
 
 def _vocabulary(d: Dialect) -> str:
@@ -31,22 +31,22 @@ def tag_inventory(d: Dialect) -> str:
 SELECT t.w AS tag, count(*) AS n, max(CASE WHEN v.w IS NOT NULL THEN 1 ELSE 0 END) = 1 AS authorised FROM t LEFT JOIN v ON t.w = v.w GROUP BY t.w"""
 
 
-def _matches(d: Dialect, threshold: float) -> str:
+def _matches(d: Dialect, over: str) -> str:
     return f"""
 t AS (SELECT DISTINCT lower(p_name) AS tag FROM {d.t('part')}),
 w AS (SELECT tag, {d.words('tag')} AS w FROM t), v AS (SELECT pos, entry, {d.words('entry')} AS vw FROM ({_vocabulary(d)}) x),
-m AS (SELECT tag, pos, entry, {d.jaccard('w', 'vw')} AS similarity FROM w CROSS JOIN v),
-best AS (SELECT tag, entry, similarity FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY similarity DESC, pos) AS rn FROM m WHERE similarity >= {threshold}) r WHERE rn = 1)"""
+m AS (SELECT tag, pos, entry, {d.jaccard('w', 'vw')} AS similarity FROM w CROSS JOIN v WHERE {d.size('w')} >= 2),
+best AS (SELECT tag, entry, similarity FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY similarity DESC, pos) AS rn FROM m WHERE similarity {over}) r WHERE rn = 1)"""
 
 
 def fuzzy_best_match(d: Dialect) -> str:
-    """Best vocabulary entry of each distinct tag by word similarity; ties by list order."""
-    return f"WITH {_matches(d, 0.2)} SELECT tag, entry, similarity FROM best"
+    """Best vocabulary entry of each distinct tag of two words or more, by word similarity of 0.5 or more; ties by list order."""
+    return f"WITH {_matches(d, '>= 0.5')} SELECT tag, entry, similarity FROM best"
 
 
 def tag_mapping_cascade(d: Dialect) -> str:
     """Exact, then prefix, then similarity, then the fallback: on distinct tags, joined back to the rows."""
-    return f"""WITH {_matches(d, 0.2)},
+    return f"""WITH {_matches(d, '> 0.5')},
 p AS (SELECT tag, entry FROM (SELECT t.tag, v.entry, row_number() OVER (PARTITION BY t.tag ORDER BY v.pos) AS rn FROM t JOIN v ON split(t.tag, ' ')[{d('0', '1')}] = split(v.entry, ' ')[{d('0', '1')}]) r WHERE rn = 1),
 c AS (SELECT t.tag, coalesce(v.entry, p.entry, best.entry, 'other') AS mapped, CASE WHEN v.entry IS NOT NULL THEN 'exact' WHEN p.entry IS NOT NULL THEN 'prefix' WHEN best.entry IS NOT NULL THEN 'similarity' ELSE 'fallback' END AS method
   FROM t LEFT JOIN v ON t.tag = v.entry LEFT JOIN p ON t.tag = p.tag LEFT JOIN best ON t.tag = best.tag)
@@ -94,19 +94,21 @@ SELECT doc_id, score, CASE WHEN score >= 60 THEN 'strong' WHEN score >= 35 THEN
 
 
 def profile_relevance(d: Dialect) -> str:
-    """Keyword share of each language profile over the whole text (the SQL reads 2000 characters); best profile and confidence of each document."""
+    """Keyword share of each language profile over the whole text ; best profile and confidence of each document."""
     from docloom.plans.checks import TAGS
 
-    pack = d.array(*[d(f"named_struct('tag', '{t}', 'words', {d.array(*[repr(w) for w in ws])})", f"{{'tag': '{t}', 'words': {d.array(*[repr(w) for w in ws])}}}") for t, ws in TAGS.items()])
-    return f"""WITH d AS (SELECT doc_id, lang, {d.words(d("coalesce(text, '')", "substring(coalesce(text, ''), 1, 2000)"))} AS w FROM {d.t('documents')}),
-p AS (SELECT doc_id, lang, w, {d.each(pack)} AS p FROM d),
-s AS (SELECT doc_id, lang, p.tag AS tag, {d.double(d.size(d.both('w', 'p.words')))} / {d.size('p.words')} AS share FROM p)
-SELECT doc_id, {d.double(d.flag('share >= 0.3'))} / count(*) AS confidence, max_by(tag, share * 10 + CASE WHEN tag = lang THEN 1 ELSE 0 END) AS best, {d.flag('share >= 0.3 AND tag <> lang')} AS n_foreign FROM s GROUP BY doc_id"""
+    share = {t: f"{d.double(d.size(d.both('w', d.array(*[repr(x) for x in ws]))))} / {len(ws)}" for t, ws in TAGS.items()}
+    weigh = ", ".join(f"s_{t} * 10 + CASE WHEN lang = '{t}' THEN 1 ELSE 0 END" for t in TAGS)
+    best = "CASE " + " ".join(f"WHEN s_{t} * 10 + CASE WHEN lang = '{t}' THEN 1 ELSE 0 END = greatest({weigh}) THEN '{t}'" for t in TAGS) + " END"
+    over = " + ".join(f"CASE WHEN s_{t} >= 0.3 THEN 1 ELSE 0 END" for t in TAGS)
+    foreign = " + ".join(f"CASE WHEN s_{t} >= 0.3 AND lang <> '{t}' THEN 1 ELSE 0 END" for t in TAGS)
+    return f"""WITH d AS (SELECT doc_id, lang, {d.words("coalesce(text, '')")} AS w FROM {d.t('documents')}), s AS (SELECT doc_id, lang, {', '.join(f'{e} AS s_{t}' for t, e in share.items())} FROM d)
+SELECT doc_id, {d.double(over)} / {len(TAGS)} AS confidence, {best} AS best, {d.long(foreign)} AS n_foreign FROM s"""
 
 
 def alignment_score(d: Dialect) -> str:
-    """Similarity of a summary's words with those of the whole rest of the text (the SQL stops at 1000 characters), with floor, cap and verdict."""
-    return f"""WITH d AS (SELECT doc_id, {d.words("substring(coalesce(text, ''), 1, 200)")} AS a, {d.words(d("substring(coalesce(text, ''), 201)", "substring(coalesce(text, ''), 201, 800)"))} AS b FROM {d.t('documents')}),
+    """Similarity of a summary's words with those of the whole rest of the text, with floor, cap and verdict."""
+    return f"""WITH d AS (SELECT doc_id, {d.words("substring(coalesce(text, ''), 1, 200)")} AS a, {d.words("substring(coalesce(text, ''), 201)")} AS b FROM {d.t('documents')}),
 j AS (SELECT doc_id, {d.jaccard('a', 'b')} AS j FROM d), s AS (SELECT doc_id, CASE WHEN j < 0.05 THEN least(j, 0.4) WHEN j > 0.1 THEN greatest(j, 0.7) ELSE j END AS score FROM j)
 SELECT doc_id, score, score >= 0.7 AS aligned FROM s"""
 
@@ -119,7 +121,7 @@ FROM (SELECT d.doc_id, text, quality FROM {d.t('documents')} d LEFT JOIN (SELECT
 
 
 def text_cleanup(d: Dialect) -> str:
-    """White space collapsed, marks dropped, summary prefix off, truncated ends repaired, head and tail excerpt, token budget."""
+    """White space collapsed, marks dropped, truncated ends repaired, head and tail excerpt, token budget."""
     clean = d.swap(d.swap("coalesce(text, '')", "[​‎‏﻿]", ""), "[ \t\r\n]+", " ")
     return f"""WITH c AS (SELECT doc_id, trim({clean}) AS c FROM {d.t('documents')}), s AS (SELECT doc_id, c, substring(c, 1, 160) AS s FROM c)
 SELECT doc_id, md5(c) AS clean_md5, CASE WHEN {d.like('s', '[.!?]$')} THEN s ELSE {d.swap('s', ' [^ ]*$', '')} || '...' END AS summary,
@@ -202,8 +204,8 @@ def candidate_urls(d: Dialect) -> str:
 
 
 def url_sort(d: Dialect) -> str:
-    """All urls by number down, host up, unknown numbers last (the SQL stops at 100)."""
-    return f"""SELECT page_id, url FROM (SELECT page_id, url, try_cast({d.grab('url', '/([0-9]+)(?:[/?#]|$)')} AS BIGINT) AS num FROM {d.t('pages')}) x ORDER BY CASE WHEN num IS NULL THEN 1 ELSE 0 END, num DESC, url, page_id{d('', ' LIMIT 100')}"""
+    """All urls by number down, host up, unknown numbers last."""
+    return f"""SELECT page_id, url FROM (SELECT page_id, url, try_cast({d.grab('url', '/([0-9]+)(?:[/?#]|$)')} AS BIGINT) AS num FROM {d.t('pages')}) x ORDER BY CASE WHEN num IS NULL THEN 1 ELSE 0 END, num DESC, url, page_id"""
 
 
 def drop_classification(d: Dialect) -> str:

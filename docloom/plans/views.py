@@ -36,11 +36,13 @@ ORDER BY CASE WHEN toxic = 1 THEN 1 WHEN len < 100 OR quality = 0 THEN 2 WHEN la
 
 
 def _suspicion(d: Dialect) -> str:
+    """s: flags and score of each record. Titles meet by digest; no text leaves its row."""
     title = d.swap("title", r"\s+", " ")
     return f"""
-w AS (SELECT *, count(*) OVER (PARTITION BY trim({title})) AS same_title FROM d),
-s AS (SELECT doc_id, substring(title, 1, 40) AS preview, {d.compact("CASE WHEN len < 50 THEN 'TINY' END", "CASE WHEN same_title > 1 THEN 'DUPLICATE_TITLE' END", f"CASE WHEN {d.like('text', '!!')} THEN 'SHOUTING' END", "CASE WHEN text LIKE '%|%' THEN 'TABLE' END")} AS flags,
-  CASE WHEN len < 50 THEN 40 ELSE 0 END + CASE WHEN same_title > 1 THEN 25 ELSE 0 END + CASE WHEN {d.like('text', '!!')} THEN 30 ELSE 0 END + CASE WHEN text LIKE '%|%' THEN 15 ELSE 0 END AS score FROM w)"""
+f AS (SELECT doc_id, len, slen, lang, source, body, quality, toxic, substring(title, 1, 40) AS preview, md5(trim({title})) AS th, {d.like('text', '!!')} AS shouts, text LIKE '%|%' AS has_table FROM d),
+c AS (SELECT th AS ck, count(*) AS n FROM f GROUP BY th HAVING count(*) > 1),
+s AS (SELECT doc_id, len, slen, lang, source, body, quality, toxic, preview, {d.compact("CASE WHEN len < 50 THEN 'TINY' END", "CASE WHEN n > 1 THEN 'DUPLICATE_TITLE' END", "CASE WHEN shouts THEN 'SHOUTING' END", "CASE WHEN has_table THEN 'TABLE' END")} AS flags,
+  CASE WHEN len < 50 THEN 40 ELSE 0 END + CASE WHEN n > 1 THEN 25 ELSE 0 END + CASE WHEN shouts THEN 30 ELSE 0 END + CASE WHEN has_table THEN 15 ELSE 0 END AS score FROM f LEFT JOIN c ON th = ck)"""
 
 
 RISK = "CASE WHEN score >= 70 THEN 'CRITICAL' WHEN score >= 50 THEN 'HIGH' WHEN score >= 30 THEN 'MEDIUM' WHEN score >= 15 THEN 'LOW' ELSE 'MINIMAL' END"
@@ -54,15 +56,16 @@ FROM s WHERE score > 0 ORDER BY score DESC, doc_id"""
 
 
 def quality_dashboard(d: Dialect) -> str:
-    """One row: base counts, tier, severity and risk histograms by filtered aggregates."""
+    """One row: base counts, tier, severity and risk histograms by filtered aggregates over one pass."""
+    high = "(len < 100 OR quality = 0)"
     return f"""
 WITH d AS ({_docs(d)}), {_suspicion(d)},
-q AS (SELECT doc_id, {BASE_SCORE} AS score, len, slen, lang, body, quality, toxic FROM d),
-base AS (SELECT count(*) AS total, count(DISTINCT lang) AS n_lang, count(DISTINCT source) AS n_source, {d.long('min(len)')} AS min_len, {d.long('max(len)')} AS max_len, avg(CASE WHEN body IS NOT NULL THEN {d.double('len')} END) AS avg_labelled_len FROM d),
-tier AS (SELECT {d.flag('score >= 90')} AS excellent, {d.flag('score >= 75 AND score < 90')} AS good, {d.flag('score >= 60 AND score < 75')} AS fair, {d.flag('score < 60')} AS poor, avg({d.double('score')}) AS avg_score FROM q),
-sev AS (SELECT {d.flag('toxic = 1')} AS critical, {d.flag('(toxic IS NULL OR toxic <> 1) AND (len < 100 OR quality = 0)')} AS high FROM q),
-risk AS (SELECT {d.flag('score >= 50')} AS risky, {d.flag('score >= 15 AND score < 50')} AS watched FROM s)
-SELECT * FROM base CROSS JOIN tier CROSS JOIN sev CROSS JOIN risk"""
+q AS (SELECT *, {BASE_SCORE} AS quality_score FROM s)
+SELECT count(*) AS total, count(DISTINCT lang) AS n_lang, count(DISTINCT source) AS n_source, {d.long('min(len)')} AS min_len, {d.long('max(len)')} AS max_len, avg(CASE WHEN body IS NOT NULL THEN {d.double('len')} END) AS avg_labelled_len,
+  {d.flag('quality_score >= 90')} AS excellent, {d.flag('quality_score >= 75 AND quality_score < 90')} AS good, {d.flag('quality_score >= 60 AND quality_score < 75')} AS fair, {d.flag('quality_score < 60')} AS poor, avg({d.double('quality_score')}) AS avg_score,
+  {d.flag('toxic = 1')} AS critical, {d.flag(f'coalesce(toxic, 0) <> 1 AND {high}')} AS high, {d.flag(f'coalesce(toxic, 0) <> 1 AND NOT coalesce({high}, false) AND (lang IS NULL OR body IS NULL)')} AS medium,
+  {d.flag('coalesce(toxic, 0) <> 1 AND NOT coalesce(' + high + ', false) AND lang IS NOT NULL AND body IS NOT NULL')} AS low,
+  {d.flag('score >= 70')} AS risk_critical, {d.flag('score >= 50 AND score < 70')} AS risk_high, {d.flag('score >= 30 AND score < 50')} AS risk_medium, {d.flag('score >= 15 AND score < 30')} AS risk_low, {d.flag('score < 15')} AS risk_minimal FROM q"""
 
 
 def entity_analysis(d: Dialect) -> str:
@@ -75,17 +78,15 @@ FROM d GROUP BY source"""
 
 
 def period_metrics(d: Dialect) -> str:
-    """Named metrics of five look-back periods as rows, by one aggregate and a union."""
+    """Named metrics of five look-back periods as rows: orders are summed once, periods are conditional sums over them, rows come from one unpivot."""
     periods = [("1d", 1), ("7d", 7), ("30d", 30), ("90d", 90), ("1y", 365)]
-    parts = [
-        f"SELECT '{p}' AS period, '{m}' AS metric, {e} AS value FROM o WHERE age < {n}"
-        for p, n in periods
-        for m, e in (("orders", d.double("count(DISTINCT k)")), ("lines", d.double("count(*)")), ("revenue", "coalesce(sum(price), 0)"), ("work", "coalesce(avg(price) / 1000 + 2.5, 0)"))
-    ]
+    sums = ", ".join(f"{d.flag(f'age < {n}')} AS n{n}, coalesce({d.long(f'sum(CASE WHEN age < {n} THEN n_lines END)')}, 0) AS l{n}, coalesce(sum(CASE WHEN age < {n} THEN revenue END), 0) AS r{n}" for _, n in periods)
+    rows = d.array(*[d.struct(period=f"'{p}'", metric=f"'{m}'", value=e) for p, n in periods for m, e in (
+        ("orders", d.double(f"n{n}")), ("lines", d.double(f"l{n}")), ("revenue", d.double(f"r{n}")), ("work", f"CASE WHEN l{n} > 0 THEN {d.double(f'r{n}')} / l{n} / 1000 + 2.5 ELSE CAST(0 AS DOUBLE) END"))])
     return f"""
-WITH m AS (SELECT max(o_orderdate) AS as_of FROM {d.t('orders')}),
-o AS (SELECT o_orderkey AS k, l_extendedprice AS price, {d.days('as_of', 'o_orderdate')} AS age FROM {d.t('orders')} JOIN {d.t('lineitem')} ON o_orderkey = l_orderkey CROSS JOIN m)
-{' UNION ALL '.join(parts)}"""
+WITH l AS (SELECT l_orderkey, count(l_orderkey) AS n_lines, sum(l_extendedprice) AS revenue FROM {d.t('lineitem')} GROUP BY l_orderkey), m AS (SELECT max(o_orderdate) AS as_of FROM {d.t('orders')}),
+o AS (SELECT n_lines, revenue, {d.days('as_of', 'o_orderdate')} AS age FROM {d.t('orders')} JOIN l ON o_orderkey = l_orderkey CROSS JOIN m),
+a AS (SELECT {sums} FROM o), x AS (SELECT {d.each(rows)} AS x FROM a) SELECT x.period AS period, x.metric AS metric, x.value AS value FROM x"""
 
 
 def table_health(d: Dialect) -> str:
@@ -127,23 +128,31 @@ c AS (SELECT source, 100 * ({d.double('count(text)')} + {d.flag('slen >= 50')} +
 SELECT source, coverage, CASE WHEN coverage >= 95 THEN 'A' WHEN coverage >= 85 THEN 'B+' WHEN coverage >= 75 THEN 'B' WHEN coverage >= 60 THEN 'C' ELSE 'D' END AS grade FROM c"""
 
 
+def _unpivot(d: Dialect, items: dict[str, str], name: str, value: str) -> str:
+    """An array of (name, value) rows."""
+    return d.array(*[d.struct(**{name: f"'{k}'", value: e}) for k, e in items.items()])
+
+
 def missing_fields(d: Dialect) -> str:
-    """Missing rate of each field, and of any."""
+    """Missing rate of each field, and of any: counted in one pass, then unpivoted."""
     fields = {"text": "text IS NULL OR trim(text) = ''", "lang": "lang IS NULL", "body": "body IS NULL", "quality": "quality IS NULL", "title": "title = ''"}
-    parts = [f"SELECT '{n}' AS field, {d.flag(c)} AS n_missing, {d.double(d.flag(c))} / count(*) AS rate FROM d" for n, c in {**fields, "any": " OR ".join(f"({c})" for c in fields.values())}.items()]
-    return f"WITH d AS ({_docs(d)}) {' UNION ALL '.join(parts)}"
+    fields["any"] = " OR ".join(f"({c})" for c in fields.values())
+    return f"""WITH d AS ({_docs(d)}), c AS (SELECT count(*) AS n, {', '.join(f'{d.flag(c)} AS n_{k}' for k, c in fields.items())} FROM d),
+x AS (SELECT n, {d.each(_unpivot(d, {k: f'n_{k}' for k in fields}, 'field', 'm'))} AS x FROM c) SELECT x.field AS field, x.m AS n_missing, {d.double('x.m')} / n AS rate FROM x"""
 
 
 def fixer_candidates(d: Dialect) -> str:
-    """Rows each fixer would take up."""
+    """Rows each fixer would take up, in one pass."""
     fixers = {"short_content": "len < 100", "summaries": "slen < 50", "policy_tags": "lang IS NULL", "body_tags": "body IS NULL", "low_quality": "quality = 0", "special": "toxic = 1"}
-    return f"WITH d AS ({_docs(d)}) " + " UNION ALL ".join(f"SELECT '{n}' AS fixer, doc_id FROM d WHERE {c}" for n, c in fixers.items())
+    return f"WITH d AS ({_docs(d)}), x AS (SELECT doc_id, {d.each(d.compact(*[f'CASE WHEN {c} THEN {d.lit(n)} END' for n, c in fixers.items()]))} AS fixer FROM d) SELECT fixer, doc_id FROM x"
 
 
 def detect_fix_counts(d: Dialect) -> str:
-    """Detected and fixable issues by kind."""
+    """Detected and fixable issues by kind, in one pass."""
     kinds = {"content": ("len < 100", "len BETWEEN 50 AND 99"), "body": ("body IS NULL", "body IS NULL AND source IS NOT NULL"), "quality": ("quality = 0", "quality = 0 AND len > 500")}
-    return f"WITH d AS ({_docs(d)}) " + " UNION ALL ".join(f"SELECT '{k}' AS issue, count(*) AS checked, {d.flag(a)} AS detected, {d.flag(b)} AS fixable FROM d" for k, (a, b) in kinds.items())
+    rows = d.array(*[d.struct(issue=f"'{k}'", detected=f"d_{k}", fixable=f"f_{k}") for k in kinds])
+    return f"""WITH d AS ({_docs(d)}), c AS (SELECT count(*) AS n, {', '.join(f'{d.flag(a)} AS d_{k}, {d.flag(b)} AS f_{k}' for k, (a, b) in kinds.items())} FROM d),
+x AS (SELECT n, {d.each(rows)} AS x FROM c) SELECT x.issue AS issue, n AS checked, x.detected AS detected, x.fixable AS fixable FROM x"""
 
 
 QUERIES, ORACLES = registry(issue_summary, suspicious_records, quality_dashboard, entity_analysis, period_metrics, table_health,
