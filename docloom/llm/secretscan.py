@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import ascii_lower, cut, load, reached, row_key, starts
+from docloom.llm.common import cut, load, reached, row_key, starts
 
 _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 _BETWEEN = r"""(?:[\s"',+]|\\[nr])*+"""  # what may stand between the lines of a key: also escaped and quoted line ends
@@ -48,12 +48,12 @@ KINDS: dict[str, tuple[str, int, int]] = {
     "pem": (_PEM, 1, 20),
 }
 BASE = ("assign", "access", "hex")
-#: kind -> SQL over __t and __low (A-Z lower-cased) that is true of every text with a match
+#: kind -> SQL over __t and __low (the text in lower case) that is true of every text with a match
 GATES: dict[str, str] = {
-    "assign": " or ".join(f"contains(__low, '{w}')" for w in ("password", "passwd", "secret", "token", "apikey", "api_key")),
+    "assign": " or ".join(f"contains(__low, '{w}')" for w in ("passw", "secret", "token", "apikey", "api_key")),
     "access": "contains(__t, 'AKIA')",
     "hex": "__t rlike '[0-9a-f]{32}'",
-    "forge": " or ".join(f"contains(__t, 'gh{c}_')" for c in "pousr"),
+    "forge": "contains(__t, '_') and (" + " or ".join(f"contains(__t, 'gh{c}_')" for c in "pousr") + ")",
     "jwt": "contains(__t, 'eyJ')",
     "pem": "contains(__t, 'PRIVATE KEY-----')",
 }
@@ -71,14 +71,14 @@ def _quoted(pattern: str) -> str:
 def _texts(docs: DataFrame, text_col: str, *cols) -> DataFrame:
     """``cols`` with __t, the text, and __low."""
     d = docs.select(*cols, F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
-    return d.withColumn("__low", ascii_lower(F.col("__t")))
+    return d.withColumn("__low", F.lower("__t"))
 
 
 def candidate(docs: DataFrame, text_col: str = "text"):
     """Whether a row may hold a candidate: a cheap test that is never false where there is one."""
     gate = " or ".join(f"({g})" for g in GATES.values())
-    text = f"coalesce(`{text_col}`, '')"
-    return F.expr(gate.replace("__low", f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')").replace("__t", text))
+    # the text in lower case is made once for all the tests
+    return F.expr(f"exists(array(coalesce(`{text_col}`, '')), __t -> exists(array(lower(__t)), __low -> {gate}))")
 
 
 def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
