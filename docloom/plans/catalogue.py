@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from docloom.plans import checks, fixes, metrics, quality, records, tagged, tags, views
+from docloom.plans import checks, fixes, metrics, quality, records, tagged, tags, urls, views
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-for _module in (quality, views, records, checks, tags, fixes, metrics, tagged):
+for _module in (quality, views, records, checks, tags, fixes, metrics, tagged, urls):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
