@@ -32,18 +32,26 @@ mit 99 0.95 permission permission is hereby granted free of charge to any person
 mit 98 0.9 sublicense to use copy modify merge publish distribute sublicense and or sell copies of the software
 mit 97 0.9 copyright the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions of the software
 mit 96 0.9 noninfringement without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement
-mit 80 0.95 mit (?:licensed|released|distributed|available|published|provided|covered) under (?:the )?(?:terms of )?(?:the )?(?:mit|mit expat)(?: style)?(?: licen[cs]e)?
-mit 79 0.9 mit (?:license|licence|licensed|licenced) (?:is )?mit
+mit 80 0.95 licensed licensed under (?:the )?(?:terms of )?(?:the )?(?:mit|mit expat)(?: style)?(?: licen[cs]e)?
+mit 80 0.95 released released under (?:the )?(?:terms of )?(?:the )?(?:mit|mit expat)(?: style)?(?: licen[cs]e)?
+mit 80 0.95 distributed distributed under (?:the )?(?:terms of )?(?:the )?(?:mit|mit expat)(?: style)?(?: licen[cs]e)?
+mit 80 0.95 available available under (?:the )?(?:terms of )?(?:the )?(?:mit|mit expat)(?: style)?(?: licen[cs]e)?
+mit 80 0.95 published published under (?:the )?(?:terms of )?(?:the )?(?:mit|mit expat)(?: style)?(?: licen[cs]e)?
+mit 79 0.9 license license (?:is )?mit
+mit 79 0.9 licence licence (?:is )?mit
+mit 79 0.9 licensed licensed (?:is )?mit
+mit 79 0.9 licenced licenced (?:is )?mit
 mit 78 0.9 license the mit license(?: mit)?
-mit 60 0.8 mit mit licen[cs]e
+mit 60 0.8 license mit license
+mit 60 0.8 licence mit licence
 mit 60 0.8 expat expat licen[cs]e
 mit 90 0.95 opensource opensource org licenses? mit
 mit 60 0.7 licensed mit licensed
 mit-0 100 1.0 attribution mit no attribution
-mit-0 99 0.9 mit mit 0 license
+mit-0 99 0.9 license mit 0 license
 isc 100 1.0 permission permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 isc 99 0.95 permission permission to use copy modify and or distribute this software for any purpose with or without fee
-isc 97 0.9 author in no event shall (?:the )?author be liable for any special direct indirect or consequential damages
+isc 97 0.9 liable in no event shall (?:the )?author be liable for any special direct indirect or consequential damages
 isc 80 0.9 isc (?:licensed|released|distributed|available|published|provided) under (?:the )?(?:terms of )?(?:the )?isc(?: licen[cs]e)?
 isc 79 0.85 isc (?:license|licence) (?:is )?isc
 isc 60 0.8 isc isc licen[cs]e
@@ -87,18 +95,22 @@ apache-2.0 60 0.85 apache apache (?:software )?(?:version |v )?v?2 0
 apache-2.0 60 0.85 asl asl 2 0
 gpl-1.0 80 0.9 gnu gnu general public license (?:v |version )?v?1(?: 0)?(?: february 1989)?
 gpl-1.0 60 0.8 gpl gpl (?:v |version )?v?1(?: 0)?
-gpl-2.0 100 1.0 june gnu general public license version 2 june 1991
-gpl-2.0 101 0.95 only (?:gnu general public license|gnu gpl|gpl) (?:v |version )?v?2(?: 0)? only
-gpl-2.0 100 0.95 foundation under the terms of (?:the )?(?:version 2 of )?the gnu general public license (?:version 2 )?as published by the free software foundation
+gpl-2.0 100 1.0 gnu gnu general public license version 2 june 1991
+gpl-2.0 101 0.95 gnu gnu general public license (?:v |version )?v?2(?: 0)? only
+gpl-2.0 101 0.95 gnu gnu gpl (?:v |version )?v?2(?: 0)? only
+gpl-2.0 101 0.95 gpl gpl (?:v |version )?v?2(?: 0)? only
+gpl-2.0 100 0.95 gnu under the terms of (?:the )?(?:version 2 of )?the gnu general public license (?:version 2 )?as published by the free software foundation
 gpl-2.0 98 0.95 verbatim you may copy and distribute verbatim copies of the program s source code as you receive it
 gpl-2.0 80 0.95 gnu gnu (?:general public license|gpl) (?:v |version )?v?2(?: 0)?
 gpl-2.0 60 0.9 gpl gpl (?:v |version )?v?2(?: 0)?
 gpl-2.0 60 0.9 gplv2 (?:gnu )?gplv2(?: 0)?
 gpl-2.0 60 0.9 gpl2 gpl2
-gpl-2.0-or-later 103 1.0 later (?:gnu general public license|gnu gpl|gpl) (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?2(?: 0)?(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
-gpl-2.0-or-later 103 1.0 later gpl 2 0 or later
+gpl-2.0-or-later 103 1.0 gnu gnu general public license (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?2(?: 0)?(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+gpl-2.0-or-later 103 1.0 gnu gnu gpl (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?2(?: 0)?(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+gpl-2.0-or-later 103 1.0 gpl gpl (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?2(?: 0)?(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+gpl-2.0-or-later 103 1.0 gpl gpl 2 0 or later
 gpl-2.0-or-later 103 0.95 gplv2 gplv2 or later
-gpl-3.0 100 1.0 june gnu general public license version 3 29 june 2007
+gpl-3.0 100 1.0 gnu gnu general public license version 3 29 june 2007
 gpl-3.0 98 0.95 propagate you may make run and propagate covered works that you do not convey
 gpl-3.0 97 0.95 copyleft the gnu general public license is a free copyleft license for software and other kinds of works
 gpl-3.0 80 0.95 gnu gnu (?:general public license|gpl) (?:v |version )?v?3(?: 0)?
@@ -106,8 +118,10 @@ gpl-3.0 60 0.9 gpl gpl (?:v |version )?v?3(?: 0)?
 gpl-3.0 60 0.9 gplv3 (?:gnu )?gplv3(?: 0)?
 gpl-3.0 60 0.9 gpl3 gpl3
 gpl-3.0 90 0.95 gnu (?:www )?gnu org licenses gpl 3 0(?: (?:html|txt|en html))?
-gpl-3.0-or-later 103 1.0 later (?:gnu general public license|gnu gpl|gpl) (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?3(?: 0)?(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
-gpl-3.0-or-later 103 1.0 later gpl 3 0 or later
+gpl-3.0-or-later 103 1.0 gnu gnu general public license (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?3(?: 0)?(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+gpl-3.0-or-later 103 1.0 gnu gnu gpl (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?3(?: 0)?(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+gpl-3.0-or-later 103 1.0 gpl gpl (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?3(?: 0)?(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+gpl-3.0-or-later 103 1.0 gpl gpl 3 0 or later
 gpl-3.0-or-later 103 0.95 gplv3 gplv3 or later
 gpl 99 0.9 redistribute this program is free software you can redistribute it and or modify it under the terms of the gnu general public license
 gpl 98 0.9 gnu this (?:work|file|program|software) is (?:licensed|distributed|released) under the (?:terms of the )?gnu general public license
@@ -116,17 +130,19 @@ gpl 60 0.7 gnu you should have received a copy of the gnu general public license
 gpl 30 0.6 gnu gnu gpl
 gpl-2.0-classpath 104 1.0 linking linking this library statically or dynamically with other modules is making a combined work
 gpl-2.0-classpath 90 0.9 classpath classpath exception(?: 2 0)?
-lgpl-2.0 100 1.0 library gnu library general public license version 2 june 1991
+lgpl-2.0 100 1.0 gnu gnu library general public license version 2 june 1991
 lgpl-2.0 80 0.95 gnu gnu (?:library|lesser) general public license (?:v |version )?v?2 0
-lgpl-2.0 80 0.9 library gnu library general public license
+lgpl-2.0 80 0.9 gnu gnu library general public license
 lgpl-2.0 60 0.85 lgpl lgpl (?:v |version )?v?2 0
-lgpl-2.1 100 1.0 february gnu lesser general public license version 2 1 february 1999
+lgpl-2.1 100 1.0 gnu gnu lesser general public license version 2 1 february 1999
 lgpl-2.1 80 0.95 lesser gnu lesser general public license (?:v |version )?v?2 1
 lgpl-2.1 60 0.9 lgpl lgpl (?:v |version )?v?2 1
 lgpl-2.1 60 0.9 lgplv2 lgplv2 1
 lgpl-2.1 90 0.95 gnu (?:www )?gnu org licenses (?:old licenses )?lgpl 2 1
-lgpl-2.1-or-later 103 1.0 later (?:gnu lesser general public license|gnu lgpl|lgpl) (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?2 1(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
-lgpl-3.0 100 1.0 june gnu lesser general public license version 3 29 june 2007
+lgpl-2.1-or-later 103 1.0 gnu gnu lesser general public license (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?2 1(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+lgpl-2.1-or-later 103 1.0 gnu gnu lgpl (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?2 1(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+lgpl-2.1-or-later 103 1.0 lgpl lgpl (?:as published by the free software foundation )?(?:either )?v(?:ersion)? ?2 1(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?
+lgpl-3.0 100 1.0 gnu gnu lesser general public license version 3 29 june 2007
 lgpl-3.0 80 0.95 lesser gnu lesser general public license (?:v |version )?v?3(?: 0)?
 lgpl-3.0 60 0.9 lgpl lgpl (?:v |version )?v?3(?: 0)?
 lgpl-3.0 60 0.9 lgplv3 lgplv3
@@ -153,7 +169,7 @@ mpl-2.0 100 1.0 mozilla this source code form is subject to the terms of the moz
 mpl-2.0 99 0.95 mpl if a copy of the mpl was not distributed with this file you can obtain one at
 mpl-2.0 98 0.95 secondary incompatible with secondary licenses as defined by the mozilla public license
 mpl-2.0 90 0.95 mozilla (?:www )?mozilla org (?:en us )?mpl 2 0
-mpl-2.0 80 0.95 mozilla mozilla public license(?: v| version)?,? 2 0
+mpl-2.0 80 0.95 mozilla mozilla public license(?: v| version)? v?2 0
 mpl-2.0 60 0.9 mpl mpl (?:v |version )?v?2 0
 mpl-2.0 60 0.9 mplv2 mplv2(?: 0)?
 mpl 30 0.6 mozilla mozilla public license
@@ -165,26 +181,26 @@ epl-2.0 100 0.95 eclipse terms of the eclipse public license (?:v )?2 0 which is
 epl-2.0 90 0.95 eclipse eclipse org legal epl (?:2 0|v20)
 epl-2.0 80 0.95 eclipse eclipse public license (?:v |version )?v?2 0
 epl-2.0 60 0.9 epl epl (?:v |version )?v?2 0
-edl-1.0 80 0.95 eclipse eclipse distribution license(?: v| version)?(?: ?v?1 0)?
-cpl-1.0 100 0.95 common the accompanying program is provided under the terms of this common public license
-cpl-1.0 80 0.9 common common public license(?: v| version)?(?: 1 0)?
+edl-1.0 80 0.95 eclipse eclipse distribution license(?: v| version)?(?: v?1 0)?
+cpl-1.0 100 0.95 license the accompanying program is provided under the terms of this common public license
+cpl-1.0 80 0.9 license common public license(?: v| version)?(?: 1 0)?
 ipl-1.0 80 0.9 ibm ibm public license(?: v| version)?(?: 1 0)?
-cddl-1.0 100 0.95 development (?:subject to|under) the terms of the common development and distribution license
-cddl-1.0 80 0.9 development common development and distribution license(?: (?:v |version )?v?1 0)?
-cddl-1.1 81 0.95 development common development and distribution license (?:v |version )?v?1 1
+cddl-1.0 100 0.95 license (?:subject to|under) the terms of the common development and distribution license
+cddl-1.0 80 0.9 license common development and distribution license(?: (?:v |version )?v?1 0)?
+cddl-1.1 81 0.95 license common development and distribution license (?:v |version )?v?1 1
 cddl-1.0 60 0.8 cddl cddl(?: 1 0)?
 cddl-1.1 61 0.85 cddl cddl 1 1
 bsl-1.0 100 1.0 boost distributed under the boost software license version 1 0
 bsl-1.0 99 0.95 boost boost software license version 1 0 august 17th 2003
-bsl-1.0 98 0.95 machine machine executable object code generated by a source language processor
+bsl-1.0 98 0.95 executable machine executable object code generated by a source language processor
 bsl-1.0 90 0.95 boost boost org license 1 0 txt
 bsl-1.0 80 0.9 boost boost software licen[cs]e(?: (?:v |version )?v?1 0)?
 bsl-1.0 60 0.8 bsl bsl 1 0
-busl-1.1 100 1.0 production the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work
-busl-1.1 80 0.95 business business source license(?: 1 1)?
+busl-1.1 100 1.0 licensor the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work
+busl-1.1 80 0.95 license business source license(?: 1 1)?
 busl-1.1 60 0.85 busl busl(?: 1 1)?
-sspl-1.0 100 1.0 server server side public license version 1 october 16 2018
-sspl-1.0 80 0.95 server server side public license(?: (?:v |version )?v?1(?: 0)?)?
+sspl-1.0 100 1.0 license server side public license version 1 october 16 2018
+sspl-1.0 80 0.95 license server side public license(?: (?:v |version )?v?1(?: 0)?)?
 sspl-1.0 60 0.85 sspl sspl(?: v?1(?: 0)?)?
 elastic-2.0 80 0.95 elastic elastic license (?:v |version )?v?2(?: 0)?
 polyform-noncommercial 80 0.95 polyform polyform noncommercial license(?: 1 0 0)?
@@ -286,42 +302,42 @@ ofl-1.1 60 0.8 ofl (?:sil )?ofl(?: 1 1)?
 lppl-1.3c 99 0.95 latex this work may be distributed and or modified under the conditions of the latex project public license
 lppl-1.3c 80 0.9 latex latex project public license(?: (?:v |version )?v?1 3[ac]?)?
 lppl-1.3c 60 0.8 lppl lppl(?: 1 3[ac]?)?
-ms-pl 80 0.95 microsoft microsoft public license(?: ms pl)?
+ms-pl 80 0.95 license microsoft public license(?: ms pl)?
 ms-pl 60 0.85 pl ms pl
-ms-rl 80 0.95 microsoft microsoft reciprocal license(?: ms rl)?
+ms-rl 80 0.95 license microsoft reciprocal license(?: ms rl)?
 ms-rl 60 0.85 rl ms rl
-ms-lpl 80 0.9 microsoft microsoft limited public license
+ms-lpl 80 0.9 license microsoft limited public license
 eupl-1.2 100 1.0 european european union public licen[cs]e v(?:ersion)? ?1 2
 eupl-1.1 100 1.0 european european union public licen[cs]e v(?:ersion)? ?1 1
 eupl 60 0.8 european european union public licen[cs]e
 eupl 60 0.8 eupl eupl(?: v?1 [12])?
-ecl-2.0 100 0.95 educational educational community license version 2 0
-ecl-2.0 60 0.8 educational educational community license
-afl-3.0 80 0.95 academic academic free license(?: v| version)?(?: ?v?3 0)?
-osl-3.0 80 0.9 open open software license(?: v| version)?(?: ?v?3 0)?
+ecl-2.0 100 0.95 license educational community license version 2 0
+ecl-2.0 60 0.8 license educational community license
+afl-3.0 80 0.95 license academic free license(?: v| version)?(?: v?3 0)?
+osl-3.0 80 0.9 license open software license(?: v| version)?(?: v?3 0)?
 osl-3.0 60 0.8 osl osl 3 0
-qpl-1.0 80 0.9 q (?:the )?q public license(?: version)?(?: 1 0)?
-apsl-2.0 80 0.95 apple apple public source license(?: version)?(?: 2 0)?
-sun-spl 80 0.9 sun sun (?:industry standards source|public) license
+qpl-1.0 80 0.9 license (?:the )?q public license(?: version)?(?: 1 0)?
+apsl-2.0 80 0.95 license apple public source license(?: version)?(?: 2 0)?
+sun-spl 80 0.9 license sun (?:industry standards source|public) license
 nasa-1.3 80 0.95 nasa nasa open source agreement(?: version)?(?: 1 3)?
 w3c 99 0.95 w3c w3c software (?:notice and |and document notice and )?license
 w3c 80 0.9 w3c (?:the )?w3c license
 x11 99 0.95 consortium except as contained in this notice the name of the x consortium shall not be used in advertising
 x11 80 0.9 x11 (?:mit )?x11 license
-vim 80 0.9 vim (?:the )?vim license
-zpl-2.1 80 0.9 zope zope public license(?: (?:v |version )?v?2 [01])?
+vim 80 0.9 license (?:the )?vim license
+zpl-2.1 80 0.9 license zope public license(?: (?:v |version )?v?2 [01])?
 zpl-2.1 60 0.8 zpl zpl(?: 2 [01])?
-upl-1.0 80 0.95 universal universal permissive license(?: (?:v |version )?v?1 0)?
-odbl-1.0 99 0.95 database made available under the open database license
+upl-1.0 80 0.95 license universal permissive license(?: (?:v |version )?v?1 0)?
+odbl-1.0 99 0.95 license made available under the open database license
 odbl-1.0 90 0.95 opendatacommons opendatacommons org licenses odbl
-odbl-1.0 80 0.9 database open (?:data commons open )?database license(?: odbl)?(?: v?1 0)?
+odbl-1.0 80 0.9 license open (?:data commons open )?database license(?: odbl)?(?: v?1 0)?
 odbl-1.0 60 0.8 odbl odbl(?: v?1 0)?
 odc-by-1.0 90 0.95 opendatacommons opendatacommons org licenses by
-odc-by-1.0 80 0.9 commons open data commons attribution license(?: v?1 0)?
+odc-by-1.0 80 0.9 license open data commons attribution license(?: v?1 0)?
 pddl-1.0 90 0.95 opendatacommons opendatacommons org licenses pddl
 pddl-1.0 80 0.9 dedication public domain dedication and licen[cs]e(?: v?1 0)?
-cdla-permissive 80 0.95 community community data license agreement permissive(?: version)?(?: [12] 0)?
-cdla-sharing 80 0.95 community community data license agreement sharing(?: version)?(?: 1 0)?
+cdla-permissive 80 0.95 license community data license agreement permissive(?: version)?(?: [12] 0)?
+cdla-sharing 80 0.95 license community data license agreement sharing(?: version)?(?: 1 0)?
 ogl-uk-3.0 99 0.95 government contains public sector information licensed under the open government licen[cs]e(?: v3 0)?
 ogl-uk 80 0.9 government open government licen[cs]e(?: v?[123](?: 0)?)?
 etalab-2.0 80 0.95 etalab licence ouverte (?:open licence )?etalab(?: 2 0)?
@@ -329,7 +345,7 @@ dl-de-by-2.0 80 0.95 datenlizenz datenlizenz deutschland namensnennung(?: versio
 cecill-2.1 80 0.95 cecill (?:licence )?cecill(?: [bc])?(?: (?:version )?2 [01])?
 mulanpsl-2.0 80 0.95 mulan mulan (?:psl|permissive software license) v2
 json 99 0.95 evil the software shall be used for good not evil
-beerware 99 0.95 beer the beer ware license(?: revision 42)?
+beerware 99 0.95 license the beer ware license(?: revision 42)?
 beerware 98 0.9 beer you can buy me a beer in return
 bzip2-1.0.6 80 0.9 bzip2 (?:the )?bzip2 license
 curl 80 0.9 curl (?:the )?curl license

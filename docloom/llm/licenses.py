@@ -38,6 +38,14 @@ def _words(text: str) -> str:
     return f"(length({text}) - length(replace({text}, ' ', '')))"
 
 
+def _either(words: list[str]) -> str:
+    """A pattern of any of the words, by first letters: a text's word is held against few of them."""
+    if len(words) < 4:
+        return f"(?:{'|'.join(words)})"
+    heads = sorted({w[:1] for w in words})
+    return "(?:" + "|".join(h + (_either([w[1:] for w in words if w[:1] == h]) if h else "") for h in heads) + ")"
+
+
 def _places(hits: str, gaps: str, item: str) -> str:
     """SQL of an array of ``item`` over (s, e, h): word intervals of the hits, which alternate with the gaps."""
     at = starts(hits, _words(f"{gaps}[i]"), _words(f"{hits}[i]"))
@@ -80,7 +88,7 @@ def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
     d = d.withColumn("__n", F.expr(f"concat(' ', trim(BOTH ' ' FROM regexp_replace(__l, '{NOT_WORD}', ' ')), ' ')")).drop("__l")
     d = d.select(
         *keep, "__n", F.expr(f"cast(if(__n = '  ', 0, {_words('__n')} - 1) as bigint)").alias("n_words"),
-        F.expr(f"__n rlike {_sql(' (?:' + '|'.join(keywords) + ') ')}").alias("__gated"),
+        F.expr(f"__n rlike {_sql(f' {_either(keywords)} ')}").alias("__gated"),
         F.expr(" or ".join(f"contains(__n, ' {p} ')" for p in BASE)).alias("__based"),
     )
     d = d.withColumn("__hits", F.expr(f"if(__based, regexp_extract_all(__n, {base_at}, 0), cast(array() as array<string>))"))
