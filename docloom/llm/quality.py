@@ -113,6 +113,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "fail_bits")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the production policy fails, fails alone, and what would be kept without it."""
+    return ablation(ledger(measure(load(spark, sf_dir, "documents"))))
+
+
 ORACLE = r"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -139,3 +144,8 @@ b AS (
     + CASE WHEN n_words >= 10 AND 10 * n_stutter > 3 * n_words THEN 128 ELSE 0 END)::BIGINT AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
 """
+
+ABLATION = f"""
+WITH q AS ({ORACLE}), p AS (SELECT unnest({list(RULES)}) AS rule, unnest({list(BIT.values())}) AS bit)
+SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits = bit) AS n_only_this, count(*) FILTER (fail_bits = 0 OR fail_bits = bit) AS n_kept_without FROM q CROSS JOIN p GROUP BY rule
+"""

@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_chat_format": chat.op10_chat_format,
+    "quality_ablation": quality.quality_ablation,
 }
 
-ORACLES: dict[str, str] = {"op2_secret_scan": secretscan.ORACLE, "op4_quality_rules": quality.ORACLE, "op8_mix_sources": mixing.ORACLE, "op10_chat_format": chat.ORACLE}
+ORACLES: dict[str, str] = {"op2_secret_scan": secretscan.ORACLE, "op4_quality_rules": quality.ORACLE, "quality_ablation": quality.ABLATION, "op8_mix_sources": mixing.ORACLE, "op10_chat_format": chat.ORACLE}
