@@ -102,7 +102,7 @@ def row_validation(d: Dialect) -> str:
 
 def content_gates(d: Dialect) -> str:
     """The first reason to refuse a scraped page, with the same gates for documents."""
-    gate = lambda t: f"CASE WHEN {d.like(f'lower({t})', 'captcha|just a moment')} THEN 'challenge' WHEN length({t}) < 40 THEN 'too_short' WHEN NOT {d.like(t, '[a-zà-ÿ]')} THEN 'no_script' WHEN {d.like(f'lower({t})', '^(home|menu)')} THEN 'navigation' ELSE 'ok' END"
+    gate = lambda t: f"CASE WHEN {d.like(f'lower({t})', 'captcha|just a moment')} THEN 'challenge' WHEN length({t}) < 40 THEN 'too_short' WHEN NOT {d.like(t, d(r'\p{L}', r'\pL'))} THEN 'no_script' WHEN {d.like(f'lower({t})', '^(home|menu)')} THEN 'navigation' ELSE 'ok' END"
     return f"""SELECT 'page' AS kind, page_id AS id, {gate("coalesce(html, '')")} AS gate FROM {d.t('pages')}
 UNION ALL SELECT 'document', doc_id, {gate("coalesce(text, '')")} FROM {d.t('documents')}"""
 

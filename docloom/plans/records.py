@@ -214,20 +214,19 @@ SELECT o_orderkey, era, {d.day('day')} AS order_date FROM o JOIN era ON o.era =
 
 def _title_classes(d: Dialect) -> str:
     """Titles of one day with the same words are a class: c(rep, day, w, n)."""
-    ordered = d("transform(array_sort(transform(w, x -> struct(-length(x) AS l, x AS x))), y -> y.x)", "list_sort(w)")
     return f"""p AS (SELECT doc_id, doc_id % 365 AS day, trim(substring(coalesce(text, ''), 1, 60)) AS title FROM {d.t('documents')}),
 w AS (SELECT doc_id, day, {d.words('title')} AS w FROM p WHERE length(title) >= 10),
-o AS (SELECT doc_id, day, {ordered} AS w FROM w),
+o AS (SELECT doc_id, day, {d.sort('w')} AS w FROM w),
 c AS (SELECT min(doc_id) AS rep, day, w, count(*) AS n FROM o GROUP BY day, w)"""
 
 
 def near_duplicate_titles(d: Dialect) -> str:
     """Title pairs within 30 days with word similarity over 0.85, as pairs of classes with the number of title pairs each stands for.
 
-    Words are ordered by length, then spelling. Two sets of that similarity share
-    over 0.85 of either, so they share a word among the first
-    ``n - floor(0.85 n)`` of each: joining on those words, in day buckets, loses no
-    pair, and long words come first as they are the rarer ones.
+    Words are ordered by the number of classes that have them, rarest first. Two
+    sets of that similarity share over 0.85 of either, so they share a word among
+    the first ``n - floor(0.85 n)`` of each: joining on those words, in day
+    buckets, loses no pair, and a word that many titles share joins few of them.
     """
     inner = "SELECT rep AS id_a, rep AS id_b, n * (n - 1) DIV 2 AS n_pairs, CAST(1 AS DOUBLE) AS similarity FROM c WHERE n > 1"
     if not d.spark:
@@ -235,7 +234,10 @@ def near_duplicate_titles(d: Dialect) -> str:
 SELECT a.rep AS id_a, b.rep AS id_b, a.n * b.n AS n_pairs, {d.jaccard('a.w', 'b.w')} AS similarity FROM c a JOIN c b ON a.rep < b.rep AND abs(a.day - b.day) <= 30 AND {d.jaccard('a.w', 'b.w')} > 0.85
 UNION ALL {inner.replace(' DIV ', ' // ')}"""
     return f"""WITH {_title_classes(d)},
-f AS (SELECT *, floor(day / 30) AS bucket, explode(slice(w, 1, size(w) - (85 * size(w)) DIV 100)) AS word FROM c),
+e AS (SELECT rep, day, n, size(w) AS m, explode(w) AS word FROM c),
+df AS (SELECT word, count(*) AS df FROM e GROUP BY word),
+v AS (SELECT rep, day, n, transform(array_sort(collect_list(struct(df, e.word))), x -> x.word) AS w FROM e JOIN df ON e.word = df.word GROUP BY rep, day, n),
+f AS (SELECT *, floor(day / 30) AS bucket, explode(slice(w, 1, size(w) - (85 * size(w)) DIV 100)) AS word FROM v),
 g AS (SELECT rep, day, w, n, word, explode(array(bucket - 1, bucket, bucket + 1)) AS bucket FROM f),
 j AS (SELECT DISTINCT a.rep AS id_a, b.rep AS id_b, a.n * b.n AS n_pairs, {d.jaccard('a.w', 'b.w')} AS similarity FROM g a JOIN f b
   ON a.word = b.word AND a.bucket = b.bucket AND a.rep < b.rep AND abs(a.day - b.day) <= 30 AND size(a.w) * 100 > 85 * size(b.w) AND size(b.w) * 100 > 85 * size(a.w))

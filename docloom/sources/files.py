@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,35 +40,52 @@ def write_json_report(df: DataFrame, path: str) -> None:
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, key: list[str], out: str) -> DataFrame:
-    """Rows of ``path`` replaced or joined by those of ``updates`` on the key, written to another path and read again."""
-    new = updates.dropDuplicates(key)
+    """Rows of ``path`` replaced or joined by those of ``updates`` on the key (of several with one key, the largest row), written to another path and read again."""
+    rest = [c for c in updates.columns if c not in key]
+    new = updates.groupBy(*key).agg(F.max(F.struct(*rest)).alias("x")).select(*key, "x.*")
     old = spark.read.parquet(path).join(new.select(*key), key, "left_anti")
     old.unionByName(new, allowMissingColumns=True).write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 
 class _Page(InputPartition):
-    def __init__(self, skip: int, size: int):
+    def __init__(self, skip: int):
         super().__init__(skip)
-        self.skip, self.size = skip, size
+        self.skip = skip
 
 
 class PagedReader(DataSourceReader):
-    """A partition a page: pages are fetched in parallel, each again if its executor is lost."""
+    """A partition a page: pages are fetched in parallel, each again if its executor is lost.
+
+    The first short page ends the catalogue; it is found by doubling and then
+    halving, so the driver asks for few pages whatever their number.
+    """
+
+    def __init__(self, source: PagedCatalog):
+        self.source, self.size = source, int(source.options.get("pagesize", 1000))
 
-    def __init__(self, options: dict[str, str]):
-        self.total, self.size = int(options.get("total", 0)), int(options.get("pagesize", 1000))
+    def _full(self, page: int) -> bool:
+        return len(self.source.page(page * self.size, self.size)) == self.size
 
     def partitions(self) -> list[_Page]:
-        return [_Page(k, min(self.size, self.total - k)) for k in range(0, self.total, self.size)]
+        high = 1
+        while self._full(high - 1):
+            high *= 2
+        low = high // 2  # pages before this one are full, page high - 1 is not
+        while low < high - 1:
+            middle = (low + high - 1) // 2
+            low, high = (middle + 1, high) if self._full(middle) else (low, middle + 1)
+        return [_Page(k * self.size) for k in range(high)]
 
     def read(self, partition: _Page):
-        for i in range(partition.skip, partition.skip + partition.size):
-            yield i, f"entry {i}", f"/pages/{i}"
+        for entry in self.source.page(partition.skip, self.size):
+            yield entry["id"], entry.get("title"), entry.get("url")
 
 
 class PagedCatalog(DataSource):
-    """Stand-in for a paged catalogue with skip and limit; subclass and override ``reader`` for a live one."""
+    """A catalogue that gives entries (dictionaries of id, title, url) by skip and limit; subclass it with ``fetch``."""
+
+    TRIES = 5
 
     @classmethod
     def name(cls) -> str:
@@ -75,5 +94,19 @@ class PagedCatalog(DataSource):
     def schema(self) -> str:
         return "id long, title string, url string"
 
+    def fetch(self, skip: int, limit: int) -> list[dict]:
+        raise NotImplementedError("a live catalogue or a stored one")
+
+    def page(self, skip: int, limit: int) -> list[dict]:
+        """One page; a failed request is made again, five times in all, later each time."""
+        for k in range(1, self.TRIES + 1):
+            try:
+                return self.fetch(skip, limit)
+            except OSError:
+                if k == self.TRIES:
+                    raise
+                time.sleep(0.1 * k)
+        return []
+
     def reader(self, schema: T.StructType) -> PagedReader:
-        return PagedReader(self.options)
+        return PagedReader(self)

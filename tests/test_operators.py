@@ -51,8 +51,15 @@ def test_sources(spark, tmp_path):
     d.write.parquet(str(tmp_path / "p"))
     out = files.upsert(spark, str(tmp_path / "p"), spark.createDataFrame([(1, "n", "m"), (2, "o", "p")], d.schema), ["k"], str(tmp_path / "q"))
     assert sorted((r.k, r.t) for r in out.collect()) == [(1, "n"), (2, "o")]
-    spark.dataSource.register(files.PagedCatalog)
-    assert spark.read.format("paged_catalog").option("total", 25).option("pagesize", 10).load().count() == 25
+
+    class Stored(files.PagedCatalog):
+        def fetch(self, skip, limit):
+            return [{"id": i, "url": f"/pages/{i}"} for i in range(skip, min(skip + limit, int(self.options["total"])))]
+
+    spark.dataSource.register(Stored)
+    for total in (0, 1, 9, 10, 25, 70, 79):
+        got = [r.id for r in spark.read.format("paged_catalog").option("total", total).option("pagesize", 10).load().collect()]
+        assert sorted(got) == list(range(total))
     h = spark.createDataFrame([("<title>T</title><h1>A <b>B</b></h1><script>x</script><p>c</p>",)], "h string")
     r = h.select(html.title(F.col("h")).alias("t"), html.html_text("h").alias("x")).first()
     assert r.t == "A B" and r.x == "T A B c"
