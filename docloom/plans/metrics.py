@@ -123,16 +123,32 @@ def stream_dedup(d: Dialect) -> str:
 
 
 def stream_session(d: Dialect) -> str:
-    """Sessions of a user: a gap of 30 minutes or more starts a new one."""
-    return f"""WITH g AS (SELECT user_id, ts, event_id, value, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL '30' MINUTE THEN 0 ELSE 1 END AS opens FROM {d.t('events')}),
+    """Sessions of a user: a gap of 30 minutes or more starts a new one. Days are numbered apart and put together, so a user of very many events is no window."""
+    if not d.spark:
+        return f"""WITH g AS (SELECT user_id, ts, event_id, value, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL '30' MINUTE THEN 0 ELSE 1 END AS opens FROM {d.t('events')}),
 s AS (SELECT user_id, ts, value, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM g)
+SELECT user_id, {d.long('session')} AS session, count(*) AS n, {d.stamp('min(ts)')} AS started, sum(value) AS total FROM s GROUP BY user_id, session"""
+    same = "x.user_id <=> y.user_id AND x.day <=> y.day"
+    return f"""WITH e AS (SELECT user_id, ts, event_id, value, CAST(ts AS DATE) AS day FROM {d.t('events')}),
+m AS (SELECT user_id, day, max(ts) AS last_ts FROM e GROUP BY user_id, day), p AS (SELECT user_id, day, lag(last_ts) OVER (PARTITION BY user_id ORDER BY day) AS before_ts FROM m),
+g AS (SELECT *, lag(ts) OVER (PARTITION BY user_id, day ORDER BY ts, event_id) AS near FROM e),
+o AS (SELECT x.*, CASE WHEN ts < coalesce(near, before_ts) + INTERVAL '30' MINUTE THEN 0 ELSE 1 END AS opens FROM g x JOIN p y ON {same}),
+c AS (SELECT user_id, day, sum(opens) AS n FROM o GROUP BY user_id, day), b AS (SELECT user_id, day, sum(n) OVER (PARTITION BY user_id ORDER BY day) - n AS before FROM c),
+s AS (SELECT x.user_id, ts, value, before + sum(opens) OVER (PARTITION BY x.user_id, x.day ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM o x JOIN b y ON {same})
 SELECT user_id, {d.long('session')} AS session, count(*) AS n, {d.stamp('min(ts)')} AS started, sum(value) AS total FROM s GROUP BY user_id, session"""
 
 
 def as_of_join(d: Dialect) -> str:
-    """Each purchase with the last earlier click of its user: a union and one window, no range join."""
-    return f"""WITH e AS (SELECT user_id, ts, event_id, event_type, max(CASE WHEN event_type = 'click' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS click_ts FROM {d.t('events')})
+    """Each purchase with the last earlier click of its user: windows within days, and the newest click of earlier days; no range join, no window over all of a user's events."""
+    click = "CASE WHEN event_type = 'click' THEN ts END"
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    if not d.spark:
+        return f"""WITH e AS (SELECT user_id, ts, event_id, event_type, max({click}) OVER (PARTITION BY user_id ORDER BY ts, event_id {before}) AS click_ts FROM {d.t('events')})
 SELECT event_id, user_id, {d.stamp('click_ts')} AS click_at FROM e WHERE event_type = 'purchase'"""
+    return f"""WITH e AS (SELECT user_id, ts, event_id, event_type, CAST(ts AS DATE) AS day FROM {d.t('events')} WHERE event_type IN ('click', 'purchase')),
+m AS (SELECT user_id, day, max({click}) AS m FROM e GROUP BY user_id, day), p AS (SELECT user_id, day, max(m) OVER (PARTITION BY user_id ORDER BY day {before}) AS far FROM m),
+w AS (SELECT *, max({click}) OVER (PARTITION BY user_id, day ORDER BY ts, event_id {before}) AS near FROM e)
+SELECT event_id, w.user_id, {d.stamp('coalesce(near, far)')} AS click_at FROM w JOIN p ON w.user_id <=> p.user_id AND w.day <=> p.day WHERE event_type = 'purchase'"""
 
 
 _Q = [_period(u) for u in ("hour", "day", "week")]
