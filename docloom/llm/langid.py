@@ -44,7 +44,7 @@ MOST_LANGS = 256
 FOLDS, HELD_OUT = 4, 2
 LETTERS = re.compile(r"[^\W\d_]+")
 BREAK = "\x02"  # between pieces of labelled text: no phrase crosses it
-SLICE = 12_000_000  # characters that are strings at a time
+SLICE = 6_000_000  # characters that are strings at a time
 LONG = 1 << 20  # characters of one text that are a list at a time
 DENSE = 1 << 27  # cells of a table that is an array
 FEW = 40  # texts a step is worth while for
