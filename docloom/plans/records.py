@@ -98,15 +98,20 @@ a AS (SELECT count(*) AS n_groups, coalesce({d.long('sum(n)')}, 0) AS n_rows, co
 SELECT n_groups, n_rows, n_removed, largest, {d.double('n_removed')} / total * 100 AS duplicate_rate, '{{"n_groups":' || CAST(n_groups AS VARCHAR(20)) || ',"n_removed":' || CAST(n_removed AS VARCHAR(20)) || '}}' AS detail FROM a CROSS JOIN t"""
 
 
+#: this library's own: prefixes of keys as written, in the order they are tried -> their codes
+PREFIXES: tuple[tuple[str, str], ...] = (("HLT", "hlt"), ("mh-", "mh"), ("RHM", "rhm"), ("bio ", "bio"), ("gb.", "gb"), ("sc-", "sc"))
+
+
 def key_normalise(d: Dialect) -> str:
-    """Keys rebuilt from messy forms: separators dropped, prefixes transliterated, formats gated."""
-    raw = "CASE WHEN o_orderkey % 5 = 0 THEN 'HLT/' || o_custkey WHEN o_orderkey % 5 = 1 THEN 'mh-' || o_custkey || '/a' WHEN o_orderkey % 5 = 2 THEN '  ' || o_custkey || '..' WHEN o_orderkey % 5 = 3 THEN 'none' ELSE '37_' || o_custkey || 'b' END"
+    """Keys rebuilt from messy forms: separators dropped, prefixes coded, formats gated."""
+    forms = ["'HLT/' || o_custkey", "'mh-' || o_custkey || '/a'", "'  ' || o_custkey || '..'", "'none'", "'37_' || o_custkey || 'b'", "'RHM' || o_custkey", "'bio ' || o_custkey", "'gb.' || o_custkey", "'sc-' || o_custkey || '/'"]
+    raw = f"CASE o_orderkey % {len(forms)} " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(forms)) + " END"
     clean = d.swap("trim(raw)", r"[/\\]|\.+$", "")
-    coded = f"CASE WHEN c LIKE 'HLT%' THEN 'hlt' || substring(c, 4) WHEN c LIKE 'mh-%' THEN 'mh' || substring(c, 4) ELSE c END"
+    coded = "CASE " + " ".join(f"WHEN c LIKE '{p}%' THEN '{code}' || substring(c, {len(p) + 1})" for p, code in PREFIXES) + " ELSE c END"
     return f"""
 WITH r AS (SELECT o_orderkey, {raw} AS raw FROM {d.t('orders')}), c AS (SELECT o_orderkey, raw, {clean} AS c FROM r), k AS (SELECT o_orderkey, raw, {coded} AS k FROM c)
 SELECT o_orderkey, raw, CASE WHEN lower(k) IN ('', 'none') THEN NULL ELSE '37_' || {d.swap('k', '^37_', '')} END AS decision_key,
-  {d.like('k', '^[0-9]+$')} AS plain_key, {d.like('k', '^(hlt|mh)[0-9]+[a-z]?$')} AS prefixed_key, {d.like('k', '^[0-9]+_[0-9]+[a-z]?$')} AS full_key FROM k"""
+  {d.like('k', '^[0-9]+$')} AS plain_key, {d.like('k', '^(hlt|mh|rhm|bio|gb|sc)[0-9]+[a-z]?$')} AS prefixed_key, {d.like('k', '^[0-9]+_[0-9]+[a-z]?$')} AS full_key FROM k"""
 
 
 def anti_join_ingest(d: Dialect) -> str:
