@@ -52,7 +52,7 @@ def cut(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The rows from a Parquet table written to the shared folder once, and its path: smaller than a checkpoint, and read by column."""
     path = f"{shared_folder(df.sparkSession)}/docloom-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
