@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docloom.llm import chat, htmltext, langid, licenses, mixing, packing, pqdedup, quality, secretscan, simhash
+from docloom.llm import chat, codecompress, htmltext, langid, licenses, mixing, packing, pqdedup, quality, secretscan, simhash, tokenalign
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_chat_format": chat.op10_chat_format,
+    "op11_vector_codes": codecompress.op11_vector_codes,
+    "op12_token_alignment": tokenalign.op12_token_alignment,
     "quality_ablation": quality.quality_ablation,
 }
 
