@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docloom.llm import chat, codecompress, htmltext, langid, licenses, mixing, packing, pqdedup, quality, secretscan, simhash, tokenalign
+from docloom.llm import chat, codecompress, htmltext, langid, licenses, mixing, packing, pqdedup, quality, secretscan, simhash, suffixmerge, tokenalign
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_chat_format": chat.op10_chat_format,
     "op11_vector_codes": codecompress.op11_vector_codes,
     "op12_token_alignment": tokenalign.op12_token_alignment,
+    "op13_suffix_dedup": suffixmerge.op13_suffix_dedup,
     "quality_ablation": quality.quality_ablation,
 }
 
