@@ -12,10 +12,11 @@ The score is 1 - best / second best, with phrases per character: 0 for a tie.
 
 Labelled texts are read as pieces of ``PIECE`` characters, and the sample is
 bounded in pieces: ``sample`` a language, those with the smallest hashes of
-document and place. So what reaches the driver, and each automaton, is bounded
-whatever the length of the texts. Languages beyond the ``most_langs`` with the
-most pieces (ties by name) are not learned: dirty labels are many, and rare.
-Every text is parsed whole.
+document and place, and ``CHARACTERS`` in all. So what reaches the driver, and
+the automata, are bounded whatever the length of the texts. Every label is
+learned: many languages share the characters, with fewer pieces each and, beyond
+CHARACTERS / PIECE of them, shorter ones of ``SHORTEST`` at least. Every text is
+parsed whole.
 
 Defined results: ``und`` with score 0 where a text is null or has no letter, or
 no labelled text exists; repeated rows get a row each; a null lang teaches
@@ -36,11 +37,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import load
+from docloom.llm.common import cut, load
 
 SAMPLE = 128  # pieces a language
 PIECE = 1024  # characters
-MOST_LANGS = 256
+CHARACTERS = 1 << 21  # of the sample of all languages: up to 16 have theirs in full
+SHORTEST = 64
+BROADCAST_ROWS = 100_000
 FOLDS, HELD_OUT = 4, 2
 LETTERS = re.compile(r"[^\W\d_]+")
 BREAK = "\x02"  # between pieces of labelled text: no phrase crosses it
@@ -210,21 +213,34 @@ def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == HELD_OUT
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, piece: int = PIECE, most_langs: int = MOST_LANGS) -> Model:
+def train(docs: DataFrame, sample: int = SAMPLE, piece: int = PIECE) -> Model:
     """Learn from text and lang of the rows given.
 
-    A first pass counts pieces by language; a second one takes, for each, a
-    hash range that should hold twice the sample, and the driver keeps those
-    with the smallest hashes, so what it gets is bounded.
+    A first pass counts languages and pieces; a second one takes, for each
+    language, a hash range that should hold twice its sample, and its smallest hash
+    in any case; the driver keeps those with the smallest hashes, so what it gets
+    is bounded.
     """
-    n = F.ceil(F.length("text") / F.lit(piece))
-    labelled = docs.where("lang IS NOT NULL AND length(text) > 0").select("doc_id", "lang", "text", n.alias("__n"))
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.sum("__n").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs).collect()}
-    if not sizes:
+    labelled = docs.where("lang IS NOT NULL AND length(text) > 0").select("doc_id", "lang", "text")
+
+    def places(piece: int) -> str:
+        return f"transform(sequence(0L, ceil(length(text) / {piece}) - 1), i -> struct(pmod(xxhash64(doc_id, i, 'lid'), 1099511627776L) / 1099511627776D AS u, i AS i))"
+
+    def counted(piece: int) -> DataFrame:
+        low = F.array_min(F.transform(F.expr(places(piece)), lambda x: x["u"]))
+        return cut(labelled.groupBy("lang").agg(F.sum(F.ceil(F.length("text") / F.lit(piece))).alias("__n"), F.min(low).alias("__low")))
+
+    sizes = counted(piece)
+    langs = sizes.count()
+    if not langs:
         return Model({})
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2.0 * sample / n))])[F.col("lang")]
-    drawn = labelled.withColumn("__share", share).where("__share IS NOT NULL").select(
-        "lang", "text", F.explode(F.expr("filter(transform(sequence(0L, __n - 1), i -> struct(pmod(xxhash64(doc_id, i, 'lid'), 1099511627776L) / 1099511627776D AS u, i AS i)), x -> x.u < __share)")).alias("x"))
+    if langs * piece > CHARACTERS:
+        piece = max(SHORTEST, CHARACTERS // langs)
+        sizes = counted(piece)
+    sample = max(1, min(sample, CHARACTERS // (langs * piece)))
+    share = sizes.select("lang", F.greatest("__low", F.lit(2.0 * sample) / F.col("__n")).alias("__share"))
+    drawn = labelled.join(F.broadcast(share) if langs <= BROADCAST_ROWS else share, "lang").select(
+        "lang", "text", F.explode(F.expr(f"filter({places(piece)}, x -> x.u <= __share)")).alias("x"))
     rows = drawn.select("lang", "x.u", F.expr(f"substring(text, cast(x.i * {piece} + 1 as int), {piece})").alias("t")).toPandas()
     return Model({lang: g.sort_values(["u", "t"], kind="stable")["t"].head(sample).tolist() for lang, g in rows.groupby("lang")})
 

@@ -9,8 +9,8 @@ addresses, 80 grants and titles, 60 names with a version, 30 bare names, 20
 phrases that many licences share.
 
 A rule is tried only on texts that have its keyword, so every text that its
-pattern matches has it. Tags of SPDX expressions are made from a table of
-identifiers, one rule for each place in an expression.
+pattern matches has it. One rule reads SPDX expressions by a table of
+identifiers; it yields a detection for each identifier of an expression.
 """
 
 from __future__ import annotations
@@ -392,6 +392,7 @@ SPDX: dict[str, str] = {
     "wtfpl": "WTFPL", "x11": "X11", "zlib": "Zlib", "zpl-2.1": "ZPL-2.1",
 }
 TAG = "spdx license identifiers?"
+BY_NAME = ""  # a rule's label where the hit itself names it
 
 
 def _written() -> list[Rule]:
@@ -402,23 +403,29 @@ def _written() -> list[Rule]:
     return out
 
 
-def _tags() -> list[Rule]:
-    """Identifiers in SPDX expressions of up to three; a longer identifier that starts like a shorter one isn't that one.
+def spelled() -> dict[str, str]:
+    """Identifier in normalised words -> label."""
+    return {" ".join(i.lower().replace("-", " ").replace(".", " ").split()): label for label, i in SPDX.items()}
 
-    The further behind, the lower the priority: what names the second one covers
-    what names the first, and must not suppress it.
+
+def named(hit: str) -> str:
+    """SQL of the label that a hit of the SPDX rule names."""
+    known = "|".join(sorted(spelled(), key=lambda x: (-len(x), x)))
+    table = ", ".join(f"'{name}', '{label}'" for name, label in spelled().items())
+    return f"element_at(map({table}), regexp_extract({hit}, ' ({known})(?: only| or later)?$', 1))"
+
+
+def _tag() -> Rule:
+    """The identifiers of an SPDX expression one after the other, as many as it has.
+
+    The first follows the tag, each further one an operator right where the one
+    before ended (``\\G``), so a hit is one identifier and none contains another. The
+    label is that of the identifier, the longest that fits.
     """
-    out, spelled = [], {label: " ".join(i.lower().replace("-", " ").replace(".", " ").split()) for label, i in SPDX.items()}
-    suffix = "(?: only| or later)?"
-    known = "(?:" + "|".join(sorted(spelled.values(), key=lambda x: (-len(x), x))) + ")" + suffix
-    for label, name in spelled.items():
-        longer = "|".join(x[len(name) + 1 :] for x in spelled.values() if x.startswith(name + " "))
-        own = (f"{name}(?! (?:{longer}))" if longer else name) + suffix
-        for k in range(3):
-            out.append(Rule(label, 95 - k, 1.0, "spdx", f"{TAG} " + f"{known} (?:and|or|with) " * k + own))
-    return out
+    known = "|".join(sorted(spelled(), key=lambda x: (-len(x), x)))
+    return Rule(BY_NAME, 95, 1.0, "spdx", rf"(?:{TAG} |(?<=\G )(?<!^ )(?:and|or|with) )(?:{known})(?: only| or later)?")
 
 
 def rules() -> list[Rule]:
     """All rules, the highest priority first; ties keep the order of the book."""
-    return sorted([*_written(), *_tags()], key=lambda r: -r.priority)
+    return sorted([*_written(), _tag()], key=lambda r: -r.priority)

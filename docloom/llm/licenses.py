@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.common import BLOCK, ascii_lower, load, starts
-from docloom.llm.license_rules import rules
+from docloom.llm.license_rules import BY_NAME, named, rules
 
 #: fixed values of the base labels
 BASE: dict[str, str] = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -102,7 +102,7 @@ def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
         "if(__let is null, null, transform(filter(__let, r -> regexp_like(__n, r.re)), r ->"
         " struct(r as r, regexp_extract_all(__n, r.re, 0) as hits, split(__n, r.re, -1) as gaps)))")).drop("__let", "__n", "__gated")
     # in the order of the sweep: start, longest, highest priority, earliest rule
-    item = "struct({s} as s, -({e}) as ne, -t.r.p as np, t.r.i as i, {e} as e, t.r.p as p, t.r.k as k, t.r.label as label, t.r.c as score)"
+    item = "struct({s} as s, -({e}) as ne, -t.r.p as np, t.r.i as i, {e} as e, t.r.p as p, t.r.k as k, if(t.r.label = '{by_name}', {named}, t.r.label) as label, t.r.c as score)".replace("{by_name}", BY_NAME).replace("{named}", named("{h}"))
     d = d.withColumn("__all", F.expr(f"if(__tried is null, null, flatten(transform(__tried, t -> {_places('t.hits', 't.gaps', item)})))")).drop("__tried")
     return d.withColumn("found", F.expr(f"if(__all is null, {NONE}, {_surviving('__all', len(levels))})")).drop("__all")
 

@@ -84,7 +84,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
         (F.col(cluster_col) if cluster_col else F.lit(None)).cast("long").alias("__c"),
     ).select(
         "doc_id", "source", "__key",
-        F.expr(r"if(__w = '', 0, length(regexp_replace(regexp_replace(__w, '[\\x20\\x09-\\x0D]+', '\u0001'), '[^\u0001]+', '')) + 1)").cast("long").alias("words"),
+        F.expr(r"regexp_count(__w, '[^\\x20\\x09-\\x0D]+')").cast("long").alias("words"),
         (F.col("__c") if cluster_col else F.xxhash64(F.expr(r"regexp_replace(lower(__w), '\\s+', ' ')"))).alias("cluster"),
     ).groupBy("doc_id", "source", "__key", "words", "cluster").agg(F.count("*").alias("__n"))
     zero, chunk = F.lit(0).cast("long"), F.lit(CHUNK).cast("long")

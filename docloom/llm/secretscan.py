@@ -2,8 +2,9 @@
 
 A text is scanned for the kinds below. The value of each candidate is hashed
 and the hashes are aggregated by distinct repositories (documents) and owners
-(sources): a value that ``example_owners`` or more owners hold is a widely
-copied example. Any other is specific to its owners, and looks live unless it is
+(sources): a value is a widely copied example if ``example_owners`` or more
+owners hold it, or more than one owner and ``example_repos`` or more
+repositories; many repositories of one owner share that owner's own value. Any other is specific to its owners, and looks live unless it is
 a stand-in (``changeme``, ``your_token``, one character over and over). A value
 found all over the corpus is reduced before it is shuffled and its frequency is
 one row, so it is no skew. A scan shuffles candidates only; redaction also the
@@ -60,6 +61,7 @@ GATES: dict[str, str] = {
 #: values that stand in for a credential
 STAND_IN = "(?i)example|sample|placeholder|change_?me|dummy|your[_-]|xxxx|[*]{4}|00000000|12345678|abcdefgh"
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOS = 20
 MARK = "[SECRET]"
 PART = 4096  # characters of a text that are cut out of one string
 
@@ -101,7 +103,7 @@ def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
     return d.select(*keep, "__key", F.array_sort(F.concat(*[f"__{k}" for k in KINDS])).alias("found"))
 
 
-def ownership(found: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def ownership(found: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """value_hash, n_repos, n_owners, stand_in, is_example, is_live over the whole corpus."""
     each = found.select(F.col(repo).alias("r"), F.col(owner).alias("o"), F.explode("found").alias("x")).select(
         F.coalesce(F.col("r").cast("string"), F.lit("\x00")).alias("r"), "o", F.sha2("x.value", 256).alias("value_hash"),
@@ -109,7 +111,7 @@ def ownership(found: DataFrame, repo: str = "doc_id", owner: str = "source", exa
     pairs = each.groupBy("value_hash", "o", "r").agg(F.max("stand_in").alias("stand_in"))  # copies meet here, map side first
     counted = pairs.groupBy("value_hash").agg(
         F.count_distinct("r").alias("n_repos"), F.count_distinct("o").alias("n_owners"), F.max("stand_in").alias("stand_in"))
-    wide = F.col("n_owners") >= example_owners
+    wide = (F.col("n_owners") >= example_owners) | ((F.col("n_owners") > 1) & (F.col("n_repos") >= example_repos))
     return counted.withColumn("is_example", wide).withColumn("is_live", ~wide & ~F.col("stand_in"))
 
 
@@ -195,7 +197,7 @@ WITH t AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '')
 m AS ({union}),
 s AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY r, kind ORDER BY i) - length(hit) AS start FROM m),
 f AS (SELECT r, doc_id, source, rank, kind, value, start::BIGINT AS s, (start + length(hit))::BIGINT AS e FROM s WHERE length(value) >= least),
-o AS (SELECT value, count(DISTINCT source) AS owners, count(DISTINCT coalesce(doc_id::VARCHAR, chr(0))) AS repos, owners >= {EXAMPLE_OWNERS} AS ex,
+o AS (SELECT value, count(DISTINCT source) AS owners, count(DISTINCT coalesce(doc_id::VARCHAR, chr(0))) AS repos, owners >= {EXAMPLE_OWNERS} OR (owners > 1 AND repos >= {EXAMPLE_REPOS}) AS ex,
   NOT ex AND NOT regexp_matches(value, '{STAND_IN}') AND length(replace(value, value[1], '')) > 0 AS live FROM f GROUP BY value),
 a AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3), '') AS base,

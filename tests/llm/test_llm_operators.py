@@ -406,7 +406,7 @@ def spellings(pattern):
             elif op == "MAX_REPEAT":
                 each = [x * n for n in dict.fromkeys((arg[0], min(arg[1], arg[0] + 1))) for x in of(arg[2])]
             else:
-                assert op == "ASSERT_NOT", op
+                assert op in ("ASSERT_NOT", "ASSERT"), op
                 continue
             out = list(dict.fromkeys(a + b for a in out for b in each))
         return out

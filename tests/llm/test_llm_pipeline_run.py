@@ -57,8 +57,8 @@ def test_run_equals_brute_force(spark, tmp_path):
     # repetitions by the mixture's own numbers, sources by count
     n = Counter(s for _, _, s in clean)
     rate = {s: len(clean) / len(n) / c for s, c in n.items()}
-    drawn = spark.createDataFrame([(i, s, rate[s]) for i, _, s in clean], "doc_id long, source string, rate double").withColumn(
-        "n", mixing.count_of(F.col("rate"), mixing.SEED, F.col("doc_id")))
+    drawn = spark.createDataFrame([(i, t, s, rate[s]) for i, t, s in clean], "doc_id long, text string, source string, rate double").withColumn(
+        "n", mixing.count_of(F.col("rate"), mixing.SEED, mixing.identity("doc_id", "source", "text")))
     copies = {r.doc_id: r.n for r in drawn.collect()}
     want = Counter({(i, len(t.split())): copies[i] for i, t, _ in clean if copies[i]})
     assert Counter((r.doc_id, r.n_words) for r in got) == want
