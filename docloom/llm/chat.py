@@ -12,7 +12,8 @@ A key links to the latest earlier message of the conversation that offers it;
 a quoted level to the message that most of its keys link to (ties: the latest),
 and the message answers what its shallowest linked level quotes. Replies hang
 below the message they quote: a thread is named by the turn at its root, found
-by pointer jumping, and a conversation is read by thread, then turn. Quotes, and
+by pointer jumping, and a conversation is read by thread, and in it each message
+with all its answers before the next one. Quotes, and
 the attribution line that leads one, are taken out of the text; a message
 without quotes stays as it is, white space included.
 
@@ -122,14 +123,44 @@ def replies(parsed: DataFrame) -> DataFrame:
 
 
 def threads(links: DataFrame) -> DataFrame:
-    """conv_id, turn, root, level by pointer jumping: each round halves the way to the root."""
-    at = cut(links.select("conv_id", "turn", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("level")))
+    """conv_id, turn, root, level, place of every message with a link or a reply.
+
+    ``place`` counts a thread's messages in reply order: each below the one it
+    answers, with all its own answers before the next answer to that one. It is
+    the sum, on the way to the root, of one and the sizes of earlier siblings'
+    branches. Sizes and sums come by pointer jumping: each round doubles the way.
+    """
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    nodes = links.select("conv_id", "turn", F.col("reply_to").alias("up"))
+    roots = nodes.select("conv_id", F.col("up").alias("turn")).distinct().join(nodes.select(F.col("conv_id").alias("nc"), F.col("turn").alias("nt")),
+                                                                               F.col("conv_id").eqNullSafe(F.col("nc")) & (F.col("turn") == F.col("nt")), "left_anti")
+    nodes = nodes.unionByName(roots.select("conv_id", "turn", F.lit(None).cast(nodes.schema["up"].dataType).alias("up")))
+    same = lambda a, b: a["conv_id"].eqNullSafe(F.col("pc")) & (a[b] == F.col("pt"))
+
+    # how many messages each has in its branch: after round k, those less than 2**k below
+    at = cut(nodes.withColumn("size", one))
+    while at.where("up IS NOT NULL").take(1):
+        more = at.where("up IS NOT NULL").groupBy(F.col("conv_id").alias("pc"), F.col("up").alias("pt")).agg(F.sum("size").alias("more"))
+        grown = at.join(more, same(at, "turn"), "left").select("conv_id", "turn", "up", (F.col("size") + F.coalesce("more", zero)).alias("size"))
+        up = at.select(F.col("conv_id").alias("pc"), F.col("turn").alias("pt"), F.col("up").alias("further"))
+        at = cut(grown.join(up, same(grown, "up"), "left").select("conv_id", "turn", F.col("further").alias("up"), "size"))
+
+    # earlier siblings: within blocks of turns, and whole blocks before
+    size = at.select(F.col("conv_id").alias("pc"), F.col("turn").alias("pt"), "size")
+    kin = nodes.join(size, same(nodes, "turn")).select("conv_id", "turn", "up", "size", F.expr(f"floor(turn / {BLOCK})").alias("block"))
+    blocks = kin.groupBy("conv_id", "up", "block").agg(F.sum("size").alias("n"))
+    blocks = blocks.select(F.col("conv_id").alias("bc"), F.col("up").alias("bu"), F.col("block").alias("bb"), F.expr("sum(n) OVER (PARTITION BY conv_id, up ORDER BY block) - n").alias("before"))
+    kin = kin.where("up IS NOT NULL").withColumn("near", F.expr("sum(size) OVER (PARTITION BY conv_id, up, block ORDER BY turn) - size"))
+    steps = kin.join(blocks, kin["conv_id"].eqNullSafe(F.col("bc")) & (kin["up"] == F.col("bu")) & (kin["block"] == F.col("bb"))).select(
+        "conv_id", "turn", "up", (F.col("near") + F.col("before") + 1).alias("place"))
+
+    at = cut(steps.select("conv_id", "turn", F.col("up").alias("root"), one.alias("level"), "place"))
     while True:
-        up = at.select(F.col("conv_id").alias("pc"), F.col("turn").alias("pt"), F.col("root").alias("pr"), F.col("level").alias("pl"))
-        moved = at.join(up, at["conv_id"].eqNullSafe(up["pc"]) & (at["root"] == up["pt"]), "left")
+        up = at.select(F.col("conv_id").alias("pc"), F.col("turn").alias("pt"), F.col("root").alias("pr"), F.col("level").alias("pl"), F.col("place").alias("pp"))
+        moved = at.join(up, same(at, "root"), "left")
         if not at.take(1) or not moved.where("pr IS NOT NULL").take(1):
             return at
-        at = cut(moved.select("conv_id", "turn", F.coalesce("pr", "root").alias("root"), (F.col("level") + F.coalesce("pl", F.lit(0))).alias("level")))
+        at = cut(moved.select("conv_id", "turn", F.coalesce("pr", "root").alias("root"), (F.col("level") + F.coalesce("pl", zero)).alias("level"), (F.col("place") + F.coalesce("pp", zero)).alias("place")))
 
 
 def conversations(messages: DataFrame) -> DataFrame:
@@ -139,7 +170,7 @@ def conversations(messages: DataFrame) -> DataFrame:
     found = threads(links)
     found = found.join(links.select(F.col("conv_id").alias("lc"), F.col("turn").alias("lt"), "reply_to", "n_linked"),
                        found["conv_id"].eqNullSafe(F.col("lc")) & (found["turn"] == F.col("lt"))).select(
-        F.col("conv_id").alias("fc"), F.col("turn").alias("ft"), "root", "level", "reply_to", "n_linked")
+        F.col("conv_id").alias("fc"), F.col("turn").alias("ft"), "root", "level", "place", "reply_to", "n_linked")
     m = parsed.join(found, parsed["conv_id"].eqNullSafe(found["fc"]) & (parsed["turn"] == found["ft"]), "left")
     zero = F.lit(0).cast("long")
     return m.select(
@@ -148,8 +179,8 @@ def conversations(messages: DataFrame) -> DataFrame:
         "reply_to", F.coalesce("root", "turn").alias("thread"), F.coalesce("level", zero).alias("level"),
         F.expr("cast(size(filter(passages, x -> x.depth > 0)) as bigint)").alias("n_quoted"),
         F.expr("cast(coalesce(array_max(transform(passages, x -> x.depth)), 0) as bigint)").alias("max_depth"),
-        F.coalesce("n_linked", zero).alias("n_linked"),
-    ).orderBy("conv_id", "thread", "turn", "role", "content")
+        F.coalesce("n_linked", zero).alias("n_linked"), F.coalesce("place", zero).alias("__place"),
+    ).orderBy("conv_id", "thread", "__place", "turn", "role", "content").drop("__place")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

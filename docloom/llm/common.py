@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -49,17 +51,34 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_left: dict[str, SparkSession] = {}  # tables that results still read
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The rows from a Parquet table written to the shared folder once, and its path: smaller than a checkpoint, and read by column."""
+    """The rows from a Parquet table written to the shared folder once, and its path: smaller than a checkpoint, and read by column.
+
+    Whoever is done with it calls ``remove``; tables that results still read go
+    when the driver's process ends.
+    """
     path = f"{shared_folder(df.sparkSession)}/docloom-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path, compression="zstd")
+    _left[path] = df.sparkSession
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that ``written`` made, on whatever file system it is."""
+    _left.pop(path, None)
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at.getParent(), True)
+
+
+@atexit.register
+def _remove_left() -> None:
+    for path, spark in list(_left.items()):
+        with contextlib.suppress(Exception):  # the session may be stopped, and its folder gone
+            if spark.sparkContext._jsc is not None:
+                remove(spark, path)
 
 
 BLOCK = 128

@@ -101,8 +101,8 @@ def test_values_in_many_repositories_are_examples(spark):
 
 
 def test_branches_are_read_below_what_they_answer(spark):
-    said = ["alpha beta gamma delta epsilon one", "> alpha beta gamma delta epsilon one\nsecond thing entirely of its own here", "> alpha beta gamma delta epsilon one\nthird thing entirely of its own here",
-            "> second thing entirely of its own here\nfourth words of the conversation so far", "a new thread with its own words", "> third thing entirely of its own here\nfifth", "> fourth words of the conversation so far\nsixth"]
+    said = ["alpha beta gamma delta epsilon one", "> alpha beta gamma delta epsilon one\nred lorries pass every second night", "> alpha beta gamma delta epsilon one\nblue boats leave some third harbour",
+            "> red lorries pass every second night\ngreen trains wait under four bridges", "a new thread with its own words", "> blue boats leave some third harbour\nfifth", "> green trains wait under four bridges\nsixth"]
     rows = [(1, i, "user", t) for i, t in enumerate(said)]
     got = [(r.turn, r.level) for r in chat.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()]
     assert got == [(0, 0), (1, 1), (3, 2), (6, 3), (2, 1), (5, 2), (4, 0)]
