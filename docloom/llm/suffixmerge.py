@@ -22,12 +22,13 @@ o before their anchor repeat if they are in one stretch of shared length
 ``length - o`` and the o bytes before them are equal too (64-bit hashes, which
 may take two unlike strings for equal once in 10**19 comparisons).
 
-Hot grams: a gram with over a thousandth of a block's suffixes doesn't go to its
-range; its strings are counted one by one as 128-bit hashes by Spark, with
-partial sums, and a marker tells the range to pass on what other blocks have of
-the gram. So a passage in a third of all documents meets in no task. Intervals
-are merged a document and block before they are shuffled, and texts are
-shuffled once, to their intervals.
+Hot grams: how many unlike contexts each gram has is estimated from a sample of
+documents, which only balances work. Grams with over ``MOST`` of them, at most
+``HOT_GRAMS`` (the commonest), go to no range: their strings are counted one by
+one as 128-bit hashes by Spark, with partial sums. So a passage in a third of
+all documents meets in no task, and a range holds no gram with more than ``MOST``
+contexts, or a millionth of all. Intervals are merged a document and block before
+they are shuffled, and texts are shuffled once, to their intervals.
 
 Defined results: a null text is an empty one; texts of under ``length`` bytes
 keep all; repeated rows repeat each other whole; doc_id may be null or repeated
@@ -53,9 +54,10 @@ TEXT = 8_000_000  # bytes of texts that are hashed together; a longer text is al
 BLOCK = 100_000  # anchors of a sorted run
 SLICE = (1 << 20) - 1024  # string starts that are hashed at a time
 RANGE_BYTES = 24_000_000  # suffixes and what stands before them, a range
-HOT = 1000  # a gram with over 1/HOT of a block's suffixes is hot
-LEAST_HOT = 64
-NEEDS = (1, 2, 3)  # kinds of a suffix: one document waits for the verdict; several have it already; marker of a hot gram
+MOST = 20_000  # contexts of a gram that a range takes
+HOT_GRAMS = 1_000_000  # 8 MB
+SAMPLE = 1 / 16  # of the documents, for the numbers of contexts
+NEEDS = (1, 2)  # kinds of a suffix: one document waits for the verdict; several have it already
 
 _rng = np.random.default_rng(20)
 BYTES = _rng.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -297,8 +299,24 @@ def unpacked(run: list[bytes]) -> tuple[Suffixes, list[int], np.ndarray]:
     return Suffixes(right, left, doc.astype(np.int64), place.astype(np.int64), kind), prefixes, keys.reshape(docs, 2)
 
 
-def sorted_runs(data: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, ranges: int, length: int = LENGTH, gram: int = GRAM) -> Iterator[dict]:
-    """Rows of ``ROWS`` for the texts [start, end) of ``data``."""
+def alike(data: bytes, place: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each anchor the first one with the same context at the same place in it."""
+    seen: dict[tuple[int, bytes], int] = {}
+    return np.array([seen.setdefault((x - y, data[y:z]), i) for i, (x, y, z) in enumerate(zip(place.tolist(), first.tolist(), end.tolist()))], np.int64)
+
+
+def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, slice]]:
+    """Texts of some rows joined, with their starts and ends, about ``TEXT`` bytes at a time."""
+    text = batch["text"].cast(pa.large_binary())
+    size = np.diff(np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1])
+    cut = np.flatnonzero(np.diff((np.cumsum(size) - size) // TEXT)) + 1
+    for i, j in zip(np.r_[0, cut].tolist(), np.r_[cut, len(size)].tolist()):
+        end = np.cumsum(size[i:j])
+        yield b"".join(x.as_py() for x in text[i:j]), end - size[i:j], end, slice(i, j)
+
+
+def sorted_runs(data: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, ranges: int, hot_grams: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[dict]:
+    """Rows of ``ROWS`` for the texts [start, end) of ``data``; ``hot_grams`` are sorted hashes."""
     place, h, first, final = anchors(np.frombuffer(data, np.uint8), starts, ends, length, gram)
     owner = np.searchsorted(starts, place, "right") - 1
     while len(owner) and (off := ends[owner] <= place).any():  # empty texts start where others do
@@ -307,8 +325,7 @@ def sorted_runs(data: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndar
     for low in range(0, len(place), BLOCK):
         b = slice(low, low + BLOCK)
         p, f, e, o = place[b], first[b], final[b] + length, owner[b]
-        seen: dict[tuple[int, bytes], int] = {}
-        same = np.array([seen.setdefault((x - y, data[y:z]), i) for i, (x, y, z) in enumerate(zip(p.tolist(), f.tolist(), e.tolist()))])
+        same = alike(data, p, f, e)
         count = np.bincount(same, minlength=len(p))
         sure = count[same] > 1
         if sure.any():
@@ -321,19 +338,12 @@ def sorted_runs(data: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndar
                      o[one], p[one] - starts[o[one]], np.where(count[one] > 1, NEEDS[1], NEEDS[0]))
         r = range_of[b][one]
         prefixes = s.lengths()
-        group = np.cumsum((prefixes < gram) | np.r_[True, r[1:] != r[:-1]]) - 1
-        size = np.bincount(group)
-        hot = (size > max(LEAST_HOT, len(one) // HOT))[group]
+        hot = np.isin(h[b][one], hot_grams)
         if hot.any():
-            for row in _hot_rows(keys, s.take(np.flatnonzero(hot)), int(r[0]), length):
-                yield row
-            mark = np.flatnonzero(hot & np.r_[True, group[1:] != group[:-1]])
-            keep = np.flatnonzero(~hot | np.isin(np.arange(len(one)), mark))
-            for i in mark.tolist():
-                s.right[i], s.left[i], s.kind[i] = s.right[i][:gram], b"", NEEDS[2]
-            s, r = s.take(keep), r[keep]
+            yield from _hot_rows(keys, s.take(np.flatnonzero(hot)), int(r[0]), length)
+            s, r = s.take(np.flatnonzero(~hot)), r[~hot]
             prefixes = s.lengths()
-        cuts = np.r_[np.flatnonzero(np.r_[True, r[1:] != r[:-1]]), len(r)]
+        cuts = np.flatnonzero(np.r_[True, r[1:] != r[:-1], True]) if len(r) else np.zeros(1, np.int64)
         for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             lengths = prefixes[i:j].copy()
             lengths[0] = 0
@@ -370,7 +380,7 @@ def repeated(s: Suffixes, prefixes: np.ndarray, length: int) -> tuple[np.ndarray
 
 
 def merged(runs: list[list[bytes]], range_: int, length: int = LENGTH, gram: int = GRAM) -> Iterator[dict]:
-    """Intervals, and strings of hot grams, of a range from its packed runs."""
+    """Intervals of a range from its packed runs."""
     parts = [unpacked(x) for x in runs]
     order, lengths = merge([(s.right, p) for s, p, _ in parts])
     order, lengths = np.array(order, np.int64), np.array(lengths, np.int64)
@@ -388,18 +398,9 @@ def merged(runs: list[list[bytes]], range_: int, length: int = LENGTH, gram: int
     pick = lambda name: np.array([getattr(parts[r][0], name)[x] for r, x in zip(of.tolist(), i.tolist())])
     s = Suffixes([parts[r][0].right[x] for r, x in zip(of.tolist(), i.tolist())], [parts[r][0].left[x] for r, x in zip(of.tolist(), i.tolist())],
                  pick("doc") + docs[of], pick("place"), pick("kind"))
-    group = np.cumsum(lengths < gram) - 1
-    hot = np.zeros(int(group[-1]) + 1, bool)
-    hot[group[s.kind == NEEDS[2]]] = True
-    warm = hot[group] & (s.kind != NEEDS[2])
-    if warm.any():
-        yield from _hot_rows(keys, s.take(np.flatnonzero(warm)), range_, length)
-    cool = np.flatnonzero(~hot[group])
-    if len(cool):
-        c = s.take(cool)
-        n, most, fewest = repeated(c, lengths[cool], length)
-        if len(n):
-            yield _interval_row(keys, c.doc[n], c.place[n] - most, c.place[n] - fewest + length, range_)
+    n, most, fewest = repeated(s, lengths, length)
+    if len(n):
+        yield _interval_row(keys, s.doc[n], s.place[n] - most, s.place[n] - fewest + length, range_)
 
 
 def row_keys(*cols: str) -> list[Column]:
@@ -409,7 +410,24 @@ def row_keys(*cols: str) -> list[Column]:
     return [F.xxhash64(*c, *n), F.xxhash64(F.lit(13), *n, *reversed(c))]
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def hot_grams(keyed: DataFrame, most: int = MOST, sample: float = SAMPLE, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
+    """Hashes of the grams with over ``most`` unlike contexts, by estimate, sorted; ``HOT_GRAMS`` at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, starts, ends, _ in texts_of(batch):
+                place, h, first, final = anchors(np.frombuffer(data, np.uint8), starts, ends, length, gram)
+                one = np.unique(alike(data, place, first, final + length))
+                grams, n = np.unique(h[one], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    some = keyed.select("text").sample(sample, seed=20) if sample < 1 else keyed.select("text")
+    found = some.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > most * sample)
+    rows = found.orderBy(F.desc("n"), "h").limit(HOT_GRAMS).select("h").toPandas()
+    return np.sort(rows["h"].to_numpy(np.int64).view(np.uint64))
+
+
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, range_bytes: int = RANGE_BYTES, most: int = MOST, sample: float = SAMPLE) -> DataFrame:
     """(k1, k2, spans) of documents with repeated strings: spans is an array of (start, end), disjoint and ascending."""
     spark = docs.sparkSession
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -418,16 +436,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, range_bytes
     k1, k2 = row_keys("doc_id", "text")
     keyed = docs.where(F.octet_length("text") >= length).select(k1.alias("k1"), k2.alias("k2"), "text")
 
+    hot_list = spark.sparkContext.broadcast(hot_grams(keyed, most, sample, length, gram))
+
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.stack([batch["k1"].to_numpy(), batch["k2"].to_numpy()], 1)
-            text = batch["text"].cast(pa.large_binary())
-            size = np.diff(np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1])
-            cut = np.flatnonzero(np.diff((np.cumsum(size) - size) // TEXT)) + 1
-            for i, j in zip(np.r_[0, cut].tolist(), np.r_[cut, len(size)].tolist()):
-                data = b"".join(x.as_py() for x in text[i:j])
-                end = np.cumsum(size[i:j])
-                for row in sorted_runs(data, end - size[i:j], end, keys[i:j], ranges, length, gram):
+            for data, starts, ends, part in texts_of(batch):
+                for row in sorted_runs(data, starts, ends, keys[part], ranges, hot_list.value, length, gram):
                     yield _rows([row])
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,7 +481,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, range_bytes
     return each.mapInArrow(union, "k1 long, k2 long, spans array<struct<start:int,end:int>>")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, range_bytes: int = RANGE_BYTES, most: int = MOST, sample: float = SAMPLE) -> DataFrame:
     """The columns of ``docs`` and spans (removed runs), kept (binary: the bytes that stay)."""
     names, taken = {}, {c.lower() for c in docs.columns}
     for name in ("spans", "kept"):
@@ -475,7 +490,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, rang
             names[name] += "_"
     k1, k2 = row_keys("doc_id", "text")
     d = docs.select("*", k1.alias("__k1"), k2.alias("__k2"))
-    r = repeats(docs, length, gram, range_bytes).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("spans").alias("__spans"))
+    r = repeats(docs, length, gram, range_bytes, most, sample).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("spans").alias("__spans"))
     d = d.join(r, ["__k1", "__k2"], "left")
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     # the bytes between the removed runs

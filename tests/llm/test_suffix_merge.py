@@ -52,17 +52,16 @@ def corpus(rng, docs, words=400):
     return texts
 
 
-@pytest.mark.parametrize("seed,block,least", [(1, 100_000, 64), (2, 40, 64), (3, 60, 2), (4, 100_000, 3)])
-def test_removal_equals_brute_force(spark, monkeypatch, seed, block, least):
+@pytest.mark.parametrize("seed,block,most,sample", [(1, 100_000, 20_000, 1 / 16), (2, 40, 20_000, 1 / 16), (3, 60, 2, 1), (4, 100_000, 4, 0.5), (5, 50, 0, 1)])
+def test_removal_equals_brute_force(spark, monkeypatch, seed, block, most, sample):
     monkeypatch.setattr(sm, "BLOCK", block)
-    monkeypatch.setattr(sm, "LEAST_HOT", least)
     texts = corpus(np.random.default_rng(seed), 60)
-    got = result(spark, list(enumerate(texts)))
+    got = result(spark, list(enumerate(texts)), most=most, sample=sample)
     assert got == sorted(((i, *b) for i, b in enumerate(brute(texts, 200))), key=str)
     assert 0 < sum(g[2] for g in got) < sum(g[1] for g in got)
 
 
-def blocks(texts, ranges, length, gram):
+def blocks(texts, ranges, length, gram, hot_list):
     """All stages without Spark."""
     out, hot = [[] for _ in texts], []
     runs = {}
@@ -71,7 +70,7 @@ def blocks(texts, ranges, length, gram):
         raw = [(t or "").encode() for t in texts[i : i + 4]]
         end = np.cumsum([len(r) for r in raw])
         keys = np.array([[i + k, 0] for k in range(len(raw))])
-        rows += sm.sorted_runs(b"".join(raw), end - [len(r) for r in raw], end, keys, ranges, length, gram)
+        rows += sm.sorted_runs(b"".join(raw), end - [len(r) for r in raw], end, keys, ranges, hot_list, length, gram)
     for r in rows:
         if r["kind"] == 1:
             runs.setdefault(r["range"], []).append(r["runs"])
@@ -96,11 +95,13 @@ def test_runs_and_merges_equal_brute_force_on_few_letters(monkeypatch, seed):
     rng = np.random.default_rng(seed)
     monkeypatch.setattr(sm, "BLOCK", int(rng.integers(5, 80)))
     monkeypatch.setattr(sm, "SLICE", int(rng.integers(30, 300)))
-    monkeypatch.setattr(sm, "LEAST_HOT", int(rng.integers(1, 30)))
     length, gram = int(rng.integers(8, 14)), int(rng.integers(2, 8))
     texts = ["".join("ab"[x] for x in rng.integers(0, 2, rng.integers(0, 90))) for _ in range(30)] + ["a" * 50, "ab" * 20, "", None]
+    raw = [(t or "").encode() for t in texts]
+    end = np.cumsum([len(r) for r in raw])
+    grams = np.unique(sm.anchors(np.frombuffer(b"".join(raw), np.uint8), end - [len(r) for r in raw], end, length, gram)[1])
     got = []
-    for t, spans in zip(texts, blocks(texts, 3, length, gram)):
+    for t, spans in zip(texts, blocks(texts, 3, length, gram, grams[:: int(rng.integers(1, 5))])):
         gone = np.zeros(len(t or ""), bool)
         for s, e in spans:
             gone[s:e] = True
