@@ -1,14 +1,13 @@
-"""Incremental runs: changes to the checks they need, batches with retries, resumable progress, alerts, reports."""
+"""Incremental runs: changes to the checks they need, reports, alerts, monitors. Changes themselves are processed in ``changes``."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.operators.records import scan
-from docloom.sources.sinks import Checkpoint
+from docloom.operators.records import scan, small
 
 
 def needed_checks(changes: DataFrame, routes: dict[str, tuple[str, ...]], every: tuple[str, ...]) -> DataFrame:
@@ -23,35 +22,6 @@ def needed_checks(changes: DataFrame, routes: dict[str, tuple[str, ...]], every:
     return changes.select("key", F.explode(F.array_distinct(checks)).alias("check_key")).distinct()
 
 
-def run_changes(spark: SparkSession, changes: DataFrame, process: Callable[[DataFrame], DataFrame], state: str, order: str = "ts", key: str = "change_id",
-                batch: int = 1000, retries: int = 3, since: int | None = None) -> dict:
-    """Process changes in batches by position; a batch that fails is tried again, then skipped and named in the report.
-
-    Progress is a checkpoint after each batch, so a run that stops goes on where
-    it was. Positions come from ranges of ``order``: a number a row, rising.
-    """
-    mark = Checkpoint(spark, state)
-    seen = mark.load({"done": since if since is not None else -1, "processed": 0, "skipped": [], "tries": 0})
-    while True:
-        rows = changes.where(F.col(order) > seen["done"]).orderBy(order, key).limit(batch)
-        last = rows.agg(F.max(order), F.count("*")).first()
-        if not last[1]:
-            return seen
-        part = changes.where((F.col(order) > seen["done"]) & (F.col(order) <= last[0]))  # all rows of the last moment too
-        n = part.count()
-        for attempt in range(1, retries + 1):
-            try:
-                process(part).write.format("noop").mode("overwrite").save()
-                seen["processed"] += n
-                break
-            except Exception as e:  # noqa: BLE001 - any failure of a batch is counted and reported
-                seen["tries"] += 1
-                if attempt == retries:
-                    seen["skipped"].append({"from": seen["done"], "to": last[0], "error": str(e).splitlines()[0][:200]})
-        seen["done"] = last[0]
-        mark.save(seen)
-
-
 def incremental_scan(old: DataFrame, new: DataFrame, key: str, fields: list[str], checks: dict[str, Column]) -> DataFrame:
     """Report of an incremental scan: issues by check and severity over the rows of ``new`` that are new or changed, with how many there are."""
     from docloom.functions.text import change_hash
@@ -66,7 +36,7 @@ def route_alerts(metrics: DataFrame, limits: dict[str, tuple[float, float]], bou
     """Alerts over name, ts, value: over the second limit critical, over the first a warning; outside ``bounds`` (name, mean, sd) by two deviations an anomaly."""
     table = F.create_map(*[x for n, (w, c) in limits.items() for x in (F.lit(n), F.struct(F.lit(float(w)).alias("w"), F.lit(float(c)).alias("c")))])
     limit = table[F.col("name")]
-    d = metrics.join(F.broadcast(bounds), "name", "left") if bounds is not None else metrics.withColumns({"mean": F.lit(None).cast("double"), "sd": F.lit(None).cast("double")})  # bounds: a row a metric name
+    d = metrics.join(small(bounds), "name", "left") if bounds is not None else metrics.withColumns({"mean": F.lit(None).cast("double"), "sd": F.lit(None).cast("double")})
     beyond = (F.abs(F.col("value") - F.col("mean")) - 2 * F.col("sd")) / F.col("sd")
     severity = F.when(F.col("value") > limit["c"], "critical").when(F.col("value") > limit["w"], "warning").when((F.col("sd") > 0) & (beyond >= 0.7), "anomaly")
     return d.select("name", "ts", "value", severity.alias("severity")).where("severity IS NOT NULL")

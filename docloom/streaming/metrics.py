@@ -53,21 +53,3 @@ def cooldown(stream: DataFrame) -> DataFrame:
 
     return alerts.groupBy("event_type", "severity").applyInPandasWithState(
         run, "event_id long, event_type string, severity string", "last long", "append", GroupStateTimeout.NoTimeout)
-
-
-def changed_rows(spark: SparkSession, stream: DataFrame, snapshot: str, key: str, fields: list[str], checkpoint: str):
-    """Keep a table of row hashes; each micro-batch appends the hashes of new and changed rows as its own version.
-
-    ``snapshot`` is an existing folder, empty at first.
-    """
-    from docloom.functions.text import change_hash
-
-    def batch(df: DataFrame, epoch: int) -> None:
-        new = df.select(key, change_hash(*fields).alias("hash"), F.lit(epoch).cast("long").alias("version"))
-        seen = (
-            spark.read.schema(f"{new.schema[key].simpleString().replace(':', ' ')}, hash string, version long").parquet(snapshot)
-            .where(F.col("version") < epoch).groupBy(key).agg(F.max_by("hash", "version").alias("old"))
-        )
-        new.join(seen, key, "left").where("old IS NULL OR old <> hash").drop("old").write.mode("overwrite").parquet(f"{snapshot}/batch={epoch}")
-
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

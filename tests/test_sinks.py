@@ -60,23 +60,6 @@ def test_checkpoint_and_merge_of_settings(spark, tmp_path):
     assert sinks.deep_merge({"a": {"b": 1, "c": 2}, "d": 1}, {"a": {"b": 3}, "d": {"e": 1}}) == {"a": {"b": 3, "c": 2}, "d": {"e": 1}}
 
 
-def test_changes_run_in_batches_with_retries(spark, tmp_path):
-    changes = spark.createDataFrame([(i, i // 2) for i in range(20)], "change_id int, ts int")
-    calls = []
-
-    def process(df):
-        low = df.agg(F.min("ts")).first()[0]
-        calls.append(low)
-        if low == 4 or (low == 0 and len(calls) == 1):
-            raise ValueError("no")
-        return df
-
-    report = incremental.run_changes(spark, changes, process, str(tmp_path / "s"), batch=4)
-    assert (report["processed"], report["done"], len(report["skipped"])) == (16, 9, 1) and report["skipped"][0]["to"] == 5
-    assert calls.count(4) == 3 and calls.count(0) == 2
-    assert incremental.run_changes(spark, changes, process, str(tmp_path / "s"), batch=4)["processed"] == 16
-
-
 def test_needed_checks_and_reports(spark):
     ch = spark.createDataFrame([(1, "UPDATE", ["a", "zz"]), (2, "insert", None), (3, "delete", []), (1, "update", ["a"])], "key int, op string, changed array<string>")
     got = incremental.needed_checks(ch, {"a": ("x", "y")}, ("x", "y", "z"))
@@ -110,9 +93,6 @@ def test_sessions_changed_rows_late_data_and_monitor(spark, tmp_path):
     frame(late).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     counts = run(streams.tumbling(streams.events(spark, str(tmp_path / "in"))), "late_t")
     assert sum(r.n for r in counts) == 12  # the late row is dropped, the newest window is open
-    (tmp_path / "snap").mkdir()
-    streams.changed_rows(spark, streams.events(spark, str(tmp_path / "in")), str(tmp_path / "snap"), "event_id", ["value"], str(tmp_path / "cp")).awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "snap")).count() == 14
     q = incremental.monitor(streams.events(spark, str(tmp_path / "in"), 100), {"rows": lambda d: d.agg(F.count("*").alias("n")), "high": lambda d: d.agg(F.count_if(F.col("value") > 5).alias("n"))}, str(tmp_path / "mo"), str(tmp_path / "mc"))
     q.awaitTermination(120)
     assert sorted((r.check_key, r.n) for r in spark.read.parquet(*glob.glob(str(tmp_path / "mo" / "batch=*" / "part=*"))).collect()) == [("high", 0), ("rows", 14)]
