@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +13,17 @@ from docloom.functions.text import change_hash
 BROADCAST_ROWS = 100_000
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the folder that ``spark.checkpoint.dir`` names; only a local session may make its own."""
+    spark, sc = df.sparkSession, df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="docloom-"))
+    return df.checkpoint(eager=True)
+
+
 def keep_newest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key by ``order``, found by partial aggregation so that a hot key is no window partition."""
     rest = [c for c in df.columns if c not in key]
