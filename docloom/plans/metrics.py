@@ -2,59 +2,67 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.plans.dialect import Dialect, registry
+from docloom.operators import selection
+from docloom.operators.records import cut
+from docloom.plans.dialect import DUCK, Dialect, registry
 from docloom.session import table
 
 
-def _quantiles(d: Dialect, source: str, by: dict[str, str], ps: tuple[float, ...], where: str = "") -> str:
-    """q: the groups of a source with interpolated percentiles q0, q1, ... of value.
-
-    Spark counts distinct values first, splits the range of a group into 1024
-    buckets and ranks inside buckets only, so that no task holds a group.
-    """
-    keys, named = ", ".join(by), ", ".join(f"{e} AS {k}" for k, e in by.items())
-    if not d.spark:
-        return f"q AS (SELECT {keys}, {', '.join(f'quantile_cont(value, {p}) AS q{i}' for i, p in enumerate(ps))} FROM (SELECT {named}, value FROM {source} {where}) x GROUP BY {keys})"
-    same = lambda a, b: " AND ".join(f"{a}.{k} <=> {b}.{k}" for k in by)
-    of = lambda a: ", ".join(f"{a}.{k}" for k in by)
-    at = lambda p: f"({p}D * (max(n) - 1))"
-    ends = ", ".join(f"min(CASE WHEN cum > floor({p}D * (n - 1)) THEN value END) AS a{i}, min(CASE WHEN cum > ceil({p}D * (n - 1)) THEN value END) AS b{i}, {at(p)} - floor({at(p)}) AS f{i}" for i, p in enumerate(ps))
-    return f"""v AS (SELECT {keys}, value, count(*) AS c FROM (SELECT {named}, value FROM {source} {where}) x WHERE value IS NOT NULL GROUP BY {keys}, value),
-lim AS (SELECT {keys}, min(value) AS lo, max(value) AS hi, sum(c) AS n FROM v GROUP BY {keys}),
-bk AS (SELECT {of('v')}, value, c, n, CASE WHEN hi > lo THEN least(floor((value - lo) / (hi - lo) * 1024), 1023) ELSE 0 END AS bucket FROM v JOIN lim ON {same('v', 'lim')}),
-bs AS (SELECT {keys}, bucket, sum(c) AS bc FROM bk GROUP BY {keys}, bucket),
-bo AS (SELECT *, sum(bc) OVER (PARTITION BY {keys} ORDER BY bucket) - bc AS before FROM bs),
-wc AS (SELECT {of('bk')}, value, n, before + sum(c) OVER (PARTITION BY {of('bk')}, bk.bucket ORDER BY value) AS cum FROM bk JOIN bo ON {same('bk', 'bo')} AND bk.bucket = bo.bucket),
-qe AS (SELECT {keys}, {ends} FROM wc GROUP BY {keys}),
-q AS (SELECT {keys}, {', '.join(f'a{i} + (b{i} - a{i}) * f{i} AS q{i}' for i in range(len(ps)))} FROM qe)"""
+def _period_sql(unit: str) -> str:
+    """DuckDB: count, range, mean, median and deviation by type and period."""
+    d = DUCK
+    period = d.day("CAST(ts AS DATE) - CAST(dayofweek(ts) AS INTEGER) + 1") if unit == "week" else d.stamp(f"date_trunc('{unit}', ts)")
+    return f"""SELECT event_type, {period} AS period, count(*) AS n, min(value) AS lo, max(value) AS hi, avg(value) AS mean, quantile_cont(value, 0.5) AS median, coalesce(stddev_samp(value), 0) AS stdev FROM events GROUP BY 1, 2"""
 
 
 def _period(unit: str):
-    def q(d: Dialect) -> str:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        e = table(spark, sf_dir, "events")
         if unit == "week":  # weeks start on Sunday; the week is named by its Monday
-            start = d("date_add(date_sub(CAST(ts AS DATE), dayofweek(ts) - 1), 1)", "CAST(ts AS DATE) - CAST(dayofweek(ts) AS INTEGER) + 1")
-            period = d.day(start)
+            day = F.to_date("ts")
+            period = F.date_format(F.date_add(F.date_sub(day, F.dayofweek(day) - 1), 1), "yyyy-MM-dd")
         else:
-            period = d.stamp(f"date_trunc('{unit}', ts)")
-        return f"""WITH {_quantiles(d, d.t('events'), {'event_type': 'event_type', 'period': period}, (0.5,))},
-g AS (SELECT event_type, {period} AS period, count(*) AS n, min(value) AS lo, max(value) AS hi, avg(value) AS mean, coalesce(stddev_samp(value), 0) AS stdev FROM {d.t('events')} GROUP BY 1, 2)
-SELECT g.event_type, g.period, n, lo, hi, mean, q0 AS median, stdev FROM g LEFT JOIN q ON g.event_type = q.event_type AND g.period = q.period"""
+            period = F.date_format(F.date_trunc(unit, "ts"), "yyyy-MM-dd HH:mm:ss")
+        e = e.select("event_type", period.alias("period"), "value")
+        by = ["event_type", "period"]
+        facts = [F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.avg("value").alias("mean"), F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("stdev")]
+        return _with_percentiles(e, by, facts, (0.5,), ("median",)).select(*by, "n", "lo", "hi", "mean", "median", "stdev")
 
     q.__name__, q.__doc__ = f"metric_periods_{unit}", f"Count, range, mean, median and deviation by type and {unit}."
     return q
 
 
-def metric_summary(d: Dialect) -> str:
+def _with_percentiles(rows: DataFrame, by: list[str], facts: list, ps: tuple[float, ...], names: tuple[str, ...]) -> DataFrame:
+    """Facts and percentiles by group: in one aggregate while every group is small, else joined from a selection."""
+    most = rows.groupBy(*by).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    if most <= selection.WHOLE:
+        every = rows.groupBy(*by).agg(*facts, F.percentile("value", F.array(*map(F.lit, ps))).alias("__q"))
+        return every.select("*", *[F.col("__q")[i].alias(n) for i, n in enumerate(names)]).drop("__q")
+    q = selection.percentiles(rows, by, "value", ps, selection.WHOLE).select(*[F.col(c).alias(f"__{c}") for c in by], *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return rows.groupBy(*by).agg(*facts).join(q, same, "left").drop(*[f"__{c}" for c in by])
+
+
+SUMMARY = (0.25, 0.5, 0.75, 0.9, 0.95)
+
+
+def metric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest value, range, mean and percentiles of each metric, negatives left out."""
-    ps = (0.25, 0.5, 0.75, 0.9, 0.95)
-    latest = d("max_by(value, struct(ts, event_id))", "first(value ORDER BY ts DESC, event_id DESC)")
-    return f"""WITH {_quantiles(d, d.t('events'), {'event_type': 'event_type'}, ps, 'WHERE value >= 0')},
-g AS (SELECT event_type, count(*) AS n, {latest} AS latest, min(value) AS lo, max(value) AS hi, avg(value) AS mean, coalesce(stddev_samp(value), 0) AS stdev FROM {d.t('events')} WHERE value >= 0 GROUP BY event_type)
-SELECT g.event_type, n, latest, lo, hi, mean, stdev, {', '.join(f'q{i} AS p{int(p * 100)}' for i, p in enumerate(ps))} FROM g JOIN q ON g.event_type = q.event_type"""
+    e = table(spark, sf_dir, "events").where("value >= 0").select("event_type", "ts", "event_id", "value")
+    facts = [F.count("*").alias("n"), F.max_by("value", F.struct("ts", "event_id")).alias("latest"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.avg("value").alias("mean"),
+             F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("stdev")]
+    names = tuple(f"p{int(p * 100)}" for p in SUMMARY)
+    return _with_percentiles(e, ["event_type"], facts, SUMMARY, names).select("event_type", "n", "latest", "lo", "hi", "mean", "stdev", *names)
+
+
+def _summary_sql() -> str:
+    return f"""SELECT event_type, count(*) AS n, first(value ORDER BY ts DESC, event_id DESC) AS latest, min(value) AS lo, max(value) AS hi, avg(value) AS mean, coalesce(stddev_samp(value), 0) AS stdev,
+  {', '.join(f'quantile_cont(value, {p}) AS p{int(p * 100)}' for p in SUMMARY)} FROM events WHERE value >= 0 GROUP BY event_type"""
 
 
 def _daily(d: Dialect) -> str:
@@ -151,39 +159,28 @@ w AS (SELECT *, max({click}) OVER (PARTITION BY user_id, day ORDER BY ts, event_
 SELECT event_id, w.user_id, {d.stamp('coalesce(near, far)')} AS click_at FROM w JOIN p ON w.user_id <=> p.user_id AND w.day <=> p.day WHERE event_type = 'purchase'"""
 
 
-_Q = [_period(u) for u in ("hour", "day", "week")]
-QUERIES, ORACLES = registry(*_Q, metric_summary, metric_trend, metric_anomaly, health_score, alert_stats, retention, alert_lifecycle, json_flatten,
+QUERIES, ORACLES = registry(metric_trend, metric_anomaly, health_score, alert_stats, retention, alert_lifecycle, json_flatten,
                             confidence_rollup, stream_tumbling, stream_dedup, stream_session, as_of_join)
 
 COOLDOWN_S = {"critical": 3600, "warning": 6 * 3600}
 
 
-def _fold(pdf: pd.DataFrame, state: float | None, cooldown: float) -> tuple[list[int], float | None]:
-    sent = []
-    for event_id, ts in zip(pdf["event_id"], pdf["ts"].astype("int64") // 1000):
-        if state is None or ts >= state + cooldown * 1_000_000:
-            sent.append(event_id)
-            state = ts
-    return sent, state
-
-
 def alert_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts sent: one only if the last one sent for the metric and severity is a cooldown away (greedy).
 
-    What may be sent depends on the last one that was, which no window frame
-    can say. A group is one metric and severity, one row a moment, ids only; the
-    stream form keeps one number a group (``streaming.cooldown``).
+    Times meet in blocks of a minute and by doubling pointers, so a metric with all
+    alerts is in no task as a whole; the stream form keeps one number a group
+    (``streaming.cooldown``).
     """
     e = table(spark, sf_dir, "events").where("value > 75").select(
-        "event_id", "event_type", "ts", F.when(F.col("value") > 150, "critical").otherwise("warning").alias("severity"))
-    thin = e.groupBy("event_type", "severity", "ts").agg(F.min("event_id").alias("event_id"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "event_id"])
-        sent, _ = _fold(pdf, None, COOLDOWN_S[pdf["severity"].iat[0]])
-        return pdf[pdf["event_id"].isin(sent)][["event_id", "event_type", "severity"]]
-
-    return thin.groupBy("event_type", "severity").applyInPandas(run, "event_id long, event_type string, severity string")
+        "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), F.when(F.col("value") > 150, "critical").otherwise("warning").alias("severity"))
+    by = ["event_type", "severity"]
+    thin = cut(e.groupBy(*by, "at").agg(F.min("event_id").alias("event_id")))
+    wait = F.when(F.col("severity") == "critical", COOLDOWN_S["critical"] * 1_000_000).otherwise(COOLDOWN_S["warning"] * 1_000_000)
+    sent = selection.greedy(thin.withColumn("wait", wait.cast("long")), by, "at", "wait", 60_000_000)
+    sent = sent.select(*[F.col(c).alias(f"__{c}") for c in (*by, "at")])
+    same = (F.col("at") == F.col("__at")) & F.col("event_type").eqNullSafe(F.col("__event_type")) & (F.col("severity") == F.col("__severity"))
+    return thin.join(sent, same).select("event_id", *by)
 
 
 def ema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +211,10 @@ k AS (SELECT x.event_id, x.user_id, x.c, x.t, before + row_number() OVER (PARTIT
 SELECT event_id, user_id, position, IF(c, 0L, earlier) + IF(t, c_all, 0L) AS n_depends, IF(c, earlier, 0L) AS n_dropped FROM k""")
 
 
-QUERIES.update(alert_cooldown=alert_cooldown, ema=ema, dependency_order=dependency_order)
+QUERIES.update(alert_cooldown=alert_cooldown, ema=ema, dependency_order=dependency_order, metric_summary=metric_summary)
+ORACLES["metric_summary"] = _summary_sql()
+for _unit in ("hour", "day", "week"):
+    QUERIES[f"metric_periods_{_unit}"], ORACLES[f"metric_periods_{_unit}"] = _period(_unit), _period_sql(_unit)
 ORACLES["alert_cooldown"] = """
 WITH RECURSIVE a AS (SELECT event_type, CASE WHEN value > 150 THEN 'critical' ELSE 'warning' END AS severity, ts, event_id FROM events WHERE value > 75),
 s AS (SELECT event_type, severity, min(ts) AS ts FROM a GROUP BY 1, 2
