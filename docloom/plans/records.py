@@ -92,10 +92,10 @@ SELECT doc_id, keep_id, source FROM k JOIN g ON text_key = gk AND text_len = gl
 
 
 def audit_rollup(d: Dialect) -> str:
-    """One audit row over the duplicate groups, also as a JSON object; the share of rows that are duplicates."""
+    """One audit row over the duplicate groups, also as a JSON object; the duplicate rate is pairs over rows in percent, so it may exceed 100."""
     return f"""WITH g AS (SELECT count(*) AS n FROM {_keyed(d)} x GROUP BY text_key, text_len HAVING count(*) > 1), t AS (SELECT count(*) AS total FROM {d.t('documents')}),
-a AS (SELECT count(*) AS n_groups, coalesce({d.long('sum(n)')}, 0) AS n_rows, coalesce({d.long('sum(n - 1)')}, 0) AS n_removed, coalesce({d.long('max(n)')}, 0) AS largest FROM g)
-SELECT n_groups, n_rows, n_removed, largest, {d.double('n_removed')} / total * 100 AS duplicate_rate, '{{"n_groups":' || CAST(n_groups AS VARCHAR(20)) || ',"n_removed":' || CAST(n_removed AS VARCHAR(20)) || '}}' AS detail FROM a CROSS JOIN t"""
+a AS (SELECT count(*) AS n_groups, coalesce({d.long('sum(n)')}, 0) AS n_rows, coalesce({d.long('sum(n - 1)')}, 0) AS n_removed, coalesce({d.long('max(n)')}, 0) AS largest, coalesce(sum({d.double('n')} * (n - 1) / 2), 0) AS n_pairs FROM g)
+SELECT n_groups, n_rows, n_removed, largest, n_pairs, n_pairs / total * 100 AS duplicate_rate, '{{"n_groups":' || CAST(n_groups AS VARCHAR(20)) || ',"n_removed":' || CAST(n_removed AS VARCHAR(20)) || '}}' AS detail FROM a CROSS JOIN t"""
 
 
 #: this library's own: prefixes of keys as written, in the order they are tried -> their codes
@@ -136,13 +136,15 @@ def set_operations(d: Dialect) -> str:
 
 
 def merge_update(d: Dialect) -> str:
-    """Updates applied field by field, blank keeps the old value; unknown keys and stale versions are reported."""
+    """Updates applied field by field, blank keeps the old value; unknown keys are reported, and a stale version meets each of three modes: skip leaves the row, merge fills blanks only, overwrite applies all the same."""
+    stale = "u.expected <> o.price"
+    mode = lambda stays: f"CASE WHEN o.k IS NULL THEN NULL WHEN {stale} AND {stays} THEN o.status ELSE coalesce(nullif(u.status, ''), o.status) END"
     return f"""
-WITH u AS (SELECT CASE WHEN o_orderkey % 50 = 0 THEN -o_orderkey ELSE o_orderkey END AS k, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'X' END AS status,
-  CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS expected FROM {d.t('orders')} WHERE o_orderkey % 5 = 0)
-SELECT u.k, coalesce(CASE WHEN u.expected = o.o_totalprice THEN nullif(u.status, '') END, o.o_orderstatus) AS status,
-  CASE WHEN o.o_orderkey IS NULL THEN 'not_found' WHEN u.expected <> o.o_totalprice THEN 'conflict' ELSE 'updated' END AS outcome
-FROM u LEFT JOIN {d.t('orders')} o ON u.k = o.o_orderkey"""
+WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderstatus END AS status, o_totalprice AS price FROM {d.t('orders')}),
+u AS (SELECT CASE WHEN o_orderkey % 50 = 0 THEN -o_orderkey ELSE o_orderkey END AS k, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'X' END AS status,
+  CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 WHEN o_orderkey % 10 = 5 THEN NULL ELSE o_totalprice END AS expected FROM {d.t('orders')} WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0)
+SELECT u.k, {mode("true")} AS skipped, {mode("o.status <> ''")} AS merged, {mode("false")} AS overwritten,
+  CASE WHEN o.k IS NULL THEN 'not_found' WHEN {stale} THEN 'conflict' ELSE 'updated' END AS outcome FROM u LEFT JOIN o ON u.k = o.k"""
 
 
 def _snapshots(d: Dialect) -> str:
@@ -162,12 +164,13 @@ SELECT new.k, CASE WHEN old.k IS NULL THEN 'new' WHEN {_hash('old')} <> {_hash('
 
 
 def change_log(d: Dialect) -> str:
-    """Change records between two snapshots: operation, changed fields, priority, hash."""
+    """Change records between two snapshots: operation, changed fields, old and new values as JSON, priority, hash."""
+    value = lambda x: f"CASE WHEN {x}.k IS NOT NULL THEN " + d(f"to_json(named_struct('status', {x}.status, 'cust', {x}.cust))", f"CAST(to_json({{'status': {x}.status, 'cust': {x}.cust}}) AS VARCHAR)") + " END"
     fields = d.compact("CASE WHEN old.status IS DISTINCT FROM new.status THEN 'status' END", "CASE WHEN old.cust IS DISTINCT FROM new.cust THEN 'cust' END")
     return f"""WITH {_snapshots(d)},
 c AS (SELECT coalesce(new.k, old.k) AS k, CASE WHEN old.k IS NULL THEN 'insert' WHEN new.k IS NULL THEN 'delete' ELSE 'update' END AS op, {fields} AS f,
-  md5(coalesce(old.status, '') || '>' || coalesce(new.status, '')) AS change_hash FROM old FULL OUTER JOIN new ON old.k = new.k)
-SELECT k, op, CASE WHEN op = 'update' THEN {d.join('f', ',')} ELSE '' END AS changed_fields, {d.long("CASE WHEN op = 'delete' THEN 3 WHEN op = 'insert' THEN 2 ELSE 1 END")} AS priority, change_hash
+  {value('old')} AS old_values, {value('new')} AS new_values, md5(coalesce(old.status, '') || '>' || coalesce(new.status, '')) AS change_hash FROM old FULL OUTER JOIN new ON old.k = new.k)
+SELECT k, op, CASE WHEN op = 'update' THEN {d.join('f', ',')} ELSE '' END AS changed_fields, old_values, new_values, {d.long("CASE WHEN op = 'delete' THEN 3 WHEN op = 'insert' THEN 2 ELSE 1 END")} AS priority, change_hash
 FROM c WHERE op <> 'update' OR {d.size('f')} > 0"""
 
 
@@ -179,8 +182,8 @@ def change_report(d: Dialect) -> str:
 
 def pending_changes(d: Dialect) -> str:
     """The 500 most urgent changes since a point in time: priority down, time up."""
-    return f"""SELECT event_id, {d.stamp('ts')} AS at, {d.long("CASE event_type WHEN 'error' THEN 3 WHEN 'purchase' THEN 2 ELSE 1 END")} AS priority FROM {d.t('events')} WHERE value >= 0
-ORDER BY priority DESC, ts, event_id LIMIT 500"""
+    return f"""WITH m AS (SELECT max(ts) AS as_of FROM {d.t('events')}) SELECT event_id, {d.stamp('ts')} AS at, {d.long("CASE event_type WHEN 'error' THEN 3 WHEN 'purchase' THEN 2 ELSE 1 END")} AS priority FROM {d.t('events')} CROSS JOIN m
+WHERE value >= 0 AND ts >= as_of - INTERVAL '240' HOUR ORDER BY priority DESC, ts, event_id LIMIT 500"""
 
 
 def check_routing(d: Dialect) -> str:

@@ -76,6 +76,11 @@ def _implied(d: Dialect, body: str, tags: str = "tags") -> str:
     return "CASE " + " ".join(f"WHEN {body} = '{b}' THEN {d.has(tags, d.lit(t))} OR {_hits(d, KEYWORDS[t])} >= 2" for b, t in BODY_TAG.items()) + " ELSE false END"
 
 
+def _place_found(d: Dialect, place: str) -> str:
+    """Whether a text has a place, or any of its words of more than two characters."""
+    return f"(contains(low, {place}) OR {d.any(d.keep(f'split({place}, {chr(39)} {chr(39)})', 'w', 'length(w) > 2'), 'w', 'contains(low, w)')})"
+
+
 GARBAGE = "(len < 100 OR contains(low, 'cloudflare') OR contains(low, 'just a moment'))"
 
 
@@ -92,7 +97,7 @@ def _issues(d: Dialect) -> dict[str, str]:
         "tag-body": f"CASE WHEN bodies <> '' AND {d.size('tags')} = 1 AND NOT ({expected}) THEN 'low' END",
         "committee-tag": f"CASE WHEN committee <> '' AND policy <> '' THEN {committee} END",
         "location-vs-body": f"CASE WHEN places <> '' AND bodies <> '' AND ({place}) THEN 'low' END",
-        "location-hallucination": f"CASE WHEN {d.any('place_list', 'p', 'NOT contains(low, p)')} THEN 'medium' END",
+        "location-hallucination": f"CASE WHEN {d.any('place_list', 'p', f'NOT {_place_found(d, chr(112))}')} THEN 'medium' END",
         "government-body-hallucination": f"CASE WHEN bodies = '' OR {GARBAGE} THEN NULL WHEN {named} = 0 THEN 'high' WHEN {named} < {d.size('body_list')} THEN 'low' END",
         "body-default": f"CASE WHEN {GARBAGE} OR bodies NOT IN ({', '.join(map(repr, COMBOS))}) THEN NULL WHEN {named} = 0 THEN 'high' WHEN {named} < {d.size('body_list')} THEN 'low' END",
         "policy-default": f"CASE WHEN {GARBAGE} OR {d.size('tags')} <> 1 OR {d.at('tags', 1)} NOT IN ({', '.join(map(repr, SUSPICIOUS))}) THEN NULL WHEN {words} = 0 THEN 'high' END",
@@ -224,7 +229,9 @@ SELECT doc_id, b AS body, {_named(d, 'b')} AS named, {_implied(d, 'b')} AS impli
 
 def title_bodies(d: Dialect) -> str:
     """The body a title speaks of, for records left without one."""
-    return f"WITH {records(d)} SELECT doc_id, {_title_body(d).replace('title', 'low')} AS inferred FROM a WHERE bodies = '' AND {_title_body(d).replace('title', 'low')} <> ''"
+    headed = _pick(9, "report of the police: ", "", "ministry of health, ", "the treasury and the army on ")
+    return f"""WITH {records(d)}, h AS (SELECT doc_id, lower({headed} || title) AS title FROM a WHERE bodies = ''), t AS (SELECT doc_id, {_title_body(d)} AS inferred FROM h)
+SELECT doc_id, inferred FROM t WHERE inferred <> ''"""
 
 
 def committee_names(d: Dialect) -> str:
@@ -234,18 +241,24 @@ def committee_names(d: Dialect) -> str:
 
 
 def committee_variants(d: Dialect) -> str:
-    """All names and variants of committees, each once."""
-    rows = d.array(*[d.lit(x) for pair in COMMITTEES for x in pair])
-    return f"SELECT DISTINCT {d.each(rows)} AS name FROM {d.t('region')} WHERE r_regionkey = 0"
+    """The spellings of each committee that the records have, and how many records each canonical name has."""
+    clean = f"trim({d.swap('committee', ' +', ' ')})"
+    return f"""WITH {records(d)}, c AS (SELECT {clean} AS variant FROM a WHERE committee <> ''), m AS (SELECT variant, {_canonical(d, 'variant')} AS name FROM c)
+SELECT name, {d.join(d.gather_set('variant'), '; ')} AS variants, count(DISTINCT variant) AS n_variants, count(*) AS n FROM m GROUP BY name"""
 
 
 def tag_whitelist_steps(d: Dialect) -> str:
-    """Tags held against the list: exact, by word similarity of 0.5 or more, else left to a tagger."""
-    v = " UNION ALL ".join(f"SELECT {i} AS pos, '{t}' AS entry" for i, t in enumerate(("public health law", "state budget", "culture and sport", "other")))
-    t = " UNION ALL ".join(f"SELECT '{t}' AS tag" for t in ("public health", "state budget", "budget", "sport and culture today", "other", "unknown thing here"))
-    return f"""WITH v AS ({v}), t AS ({t}), w AS (SELECT tag, {d.words('tag')} AS w FROM t), m AS (SELECT tag, entry, pos, {d.jaccard('w', d.words('entry'))} AS j FROM w CROSS JOIN v WHERE {d.size('w')} >= 2),
-b AS (SELECT tag, entry FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY j DESC, pos) AS rn FROM m WHERE j >= 0.5) x WHERE rn = 1)
-SELECT t.tag, coalesce(v.entry, b.entry, '') AS mapped, CASE WHEN v.entry IS NOT NULL THEN 'exact' WHEN b.entry IS NOT NULL THEN 'similar' ELSE 'tagger' END AS step FROM t LEFT JOIN v ON t.tag = v.entry LEFT JOIN b ON t.tag = b.tag"""
+    """Tags held against the list: exact, by word similarity of 0.5 or more (the best, ties the first), else left to a tagger. The list is what at least a hundredth of all parts have; tags are types as written, some cut, turned round or with words added."""
+    said = "CASE p_partkey % 5 WHEN 0 THEN w1 || ' ' || w2 WHEN 1 THEN w2 || ' ' || w1 WHEN 2 THEN w1 || ' ' || w2 || ' made to order' WHEN 3 THEN w2 ELSE w1 || ' ' || lower(p_brand) || ' ' || w2 END"
+    word = lambda k: d(f"element_at(split(lower(p_type), ' '), {k})", f"split(lower(p_type), ' ')[{k}]")
+    return f"""WITH p AS (SELECT p_partkey, {word(1)} AS w1, {word(2)} AS w2, p_brand FROM {d.t('part')} WHERE p_type LIKE '% %'),
+n AS (SELECT w1 || ' ' || w2 AS entry, count(*) AS n FROM p GROUP BY 1), v AS (SELECT entry FROM n WHERE n * 100 >= (SELECT count(*) FROM p)),
+t AS (SELECT {said} AS tag, count(*) AS n FROM p GROUP BY 1), w AS (SELECT tag, n, {d.words('tag')} AS w FROM t), x AS (SELECT entry, {d.words('entry')} AS e FROM v),
+a AS (SELECT tag, w, {d.each('w')} AS word FROM w WHERE {d.size('w')} >= 2), b AS (SELECT entry, e, {d.each('e')} AS word FROM x),
+m AS (SELECT DISTINCT tag, entry, {d.jaccard('w', 'e')} AS j FROM a JOIN b ON a.word = b.word),
+k AS (SELECT tag, entry FROM (SELECT tag, entry, row_number() OVER (PARTITION BY tag ORDER BY j DESC, entry) AS rn FROM m WHERE j >= 0.5) y WHERE rn = 1)
+SELECT w.tag, w.n, coalesce(v.entry, k.entry, '') AS mapped, CASE WHEN v.entry IS NOT NULL THEN 'exact' WHEN k.entry IS NOT NULL THEN 'similar' ELSE 'tagger' END AS step
+FROM w LEFT JOIN v ON w.tag = v.entry LEFT JOIN k ON w.tag = k.tag"""
 
 
 def multi_tag_mapping(d: Dialect) -> str:
@@ -371,9 +384,33 @@ def model_record(d: Dialect) -> str:
 
 
 def rule_lookup(d: Dialect) -> str:
-    """The rules of a tag, of a partner body, and those of high confidence."""
-    rules = " UNION ALL ".join(f"SELECT '{t}' AS tag, '{b}' AS partner, CAST({60 + 10 * i} AS BIGINT) AS confidence" for i, (b, t) in enumerate(BODY_TAG.items()))
-    return f"""WITH r AS ({rules}) SELECT 'tag' AS kind, tag, partner, confidence FROM r WHERE tag = 'law' UNION ALL SELECT 'partner', tag, partner, confidence FROM r WHERE partner = 'treasury' UNION ALL SELECT 'confident', tag, partner, confidence FROM r WHERE confidence >= 80"""
+    """Rules that the records give (a tag and a partner body that stand together, the confidence is the share of the tag's records that have the body): those of a tag, of a partner, and of high confidence."""
+    return f"""WITH {records(d)}, t AS (SELECT doc_id, {d.each('tags')} AS tag FROM a), b AS (SELECT doc_id, {d.each('body_list')} AS partner FROM a), n AS (SELECT tag, count(DISTINCT doc_id) AS n FROM t GROUP BY tag),
+p AS (SELECT tag, partner, count(DISTINCT t.doc_id) AS n_both FROM t JOIN b ON t.doc_id = b.doc_id GROUP BY tag, partner),
+q AS (SELECT p.tag, partner, n_both, {d.double('n_both')} / n AS confidence FROM p JOIN n ON p.tag = n.tag)
+SELECT 'tag' AS kind, tag, partner, n_both, confidence FROM q WHERE tag = 'law' UNION ALL SELECT 'partner', tag, partner, n_both, confidence FROM q WHERE partner = 'treasury'
+UNION ALL SELECT 'confident', tag, partner, n_both, confidence FROM q WHERE confidence >= 0.2"""
+
+
+#: thresholds of the validators, and the class balance aimed at
+THRESHOLDS = {"summary": 0.6, "operativity": 0.7, "tags": 0.5, "overall": 0.5}
+BALANCE = {"operative": 0.65, "declarative": 0.35}
+
+
+def class_balance(d: Dialect) -> str:
+    """Each class's share of the records that have one, the share aimed at, and how far off it is."""
+    aim = "CASE class " + " ".join(f"WHEN '{c}' THEN CAST({v} AS DOUBLE)" for c, v in BALANCE.items()) + " END"
+    return f"""WITH {records(d)}, c AS (SELECT trim(operativity) AS class FROM a), k AS (SELECT class, count(*) AS n FROM c WHERE class IN ('operative', 'declarative') GROUP BY class), t AS (SELECT sum(n) AS total FROM k)
+SELECT class, n, {d.double('n')} / total AS share, {aim} AS target, abs({d.double('n')} / total - {aim}) > 0.1 AS off_balance FROM k CROSS JOIN t"""
+
+
+def threshold_report(d: Dialect) -> str:
+    """The validators' thresholds with how many records lie below each; a record's measures are the shares of its summary, class, tags and text that have evidence."""
+    ratio = f"CASE WHEN op_hits + decl_hits = 0 THEN CAST(0.5 AS DOUBLE) WHEN trim(operativity) = 'operative' THEN {d.double('op_hits')} / (op_hits + decl_hits) ELSE {d.double('decl_hits')} / (op_hits + decl_hits) END"
+    listed = f"CASE WHEN {d.size('tags')} = 0 THEN CAST(0 AS DOUBLE) ELSE {d.double(d.size(d.keep('tags', 'x', d.has(_array(d, TAG_LIST), 'x'))))} / {d.size('tags')} END"
+    rows = d.array(*[d.struct(name=d.lit(n), measure=m, threshold=d.double(THRESHOLDS[n])) for n, m in (("summary", "s"), ("operativity", "o"), ("tags", "t"), ("overall", "s * 0.3 + o * 0.2 + t * 0.5"))])
+    return f"""WITH {records(d)}, m AS (SELECT doc_id, {d.double('least(length(trim(summary)), 100)')} / 100 AS s, {ratio} AS o, {listed} AS t FROM a), x AS (SELECT {d.each(rows)} AS x FROM m)
+SELECT x.name AS name, x.threshold AS threshold, count(*) AS n, {d.flag('x.measure < x.threshold')} AS n_below, round(avg(x.measure), 9) AS mean FROM x GROUP BY x.name, x.threshold"""
 
 
 def dated_names(d: Dialect) -> str:
@@ -388,4 +425,4 @@ FROM x LEFT JOIN v ON x.body = v.body LEFT JOIN n ON x.body = n.body"""
 QUERIES, ORACLES = registry(
     tagged_checks, cross_field_checks, suspicious_bodies, inline_fixes, post_process, body_whitelist, body_context, title_bodies, committee_names, committee_variants, tag_whitelist_steps,
     multi_tag_mapping, operativity_lists, operativity_ratio, special_categories, tag_rules, tag_verdict, overall_confidence, field_validation, misalignment, corrected_tags, model_alignment,
-    summary_tag_overlap, model_record, rule_lookup, dated_names)
+    summary_tag_overlap, model_record, rule_lookup, class_balance, threshold_report, dated_names)

@@ -5,115 +5,92 @@ Pages stand in for catalogue entries; their slugs are made from the page's numbe
 
 from __future__ import annotations
 
+from docloom.functions.slugs import RULES, SlugRule
 from docloom.plans.dialect import Dialect, registry
 
-#: fixed values: slug families in the order they are tried -> (pattern, group of the year, of the number, of the suffix, of what stands before the number)
-FAMILIES: dict[str, tuple[str, int, int, int, int]] = {
-    "year_des": (r"^([0-9]{4})_des([0-9]+)(.*)$", 1, 2, 3, 0),
-    "year_dec": (r"^([0-9]{4})_dec([0-9]+)(.*)$", 1, 2, 3, 0),
-    "year_desr": (r"^([0-9]{4})_desr([0-9]+)(.*)$", 1, 2, 3, 0),
-    "dec_num_hyp_year": (r"^dec([0-9]+)-([0-9]{4})(.*)$", 2, 1, 3, 0),
-    "dec_hyp_num_hyp_year": (r"^dec-([0-9]+)-([0-9]{4})(.*)$", 2, 1, 3, 0),
-    "dec_num_usc_year": (r"^dec([0-9]+)_([0-9]{4})(.*)$", 2, 1, 3, 0),
-    "des_num_usc_year": (r"^des([0-9]+)_([0-9]{4})(.*)$", 2, 1, 0, 0),
-    "dec_num_nohyp_year": (r"^dec([0-9]+?)(20[0-9]{2})$", 2, 1, 0, 0),
-    "dec_num_extra_year": (r"^dec([0-9]+)-[0-9]+-([0-9]{4})(.*)$", 2, 1, 3, 0),
-    "date_num": (r"^([0-9]{2}\w{3}[0-9]{4})([0-9]+)(.*)$", 0, 2, 3, 1),
-    "year_mmm_num": (r"^([0-9]{4})-(\w{3})([0-9]+)(.*)$", 1, 3, 4, 2),
-}
-#: fixed values: family -> slugs that keep its form with the right number (Y year, N number, P what stands before it)
-IN_PLACE: dict[str, tuple[str, ...]] = {
-    "year_des": ("Y_desN",), "year_dec": ("Y_decN",), "year_desr": ("Y_desrN",), "dec_num_hyp_year": ("decN-Y",), "dec_hyp_num_hyp_year": ("dec-N-Y", "decN-Y"), "dec_num_usc_year": ("decN_Y",),
-    "des_num_usc_year": ("Y_desN", "desN_Y"), "dec_num_nohyp_year": ("decN-Y",), "dec_num_extra_year": ("decN-Y",), "date_num": ("PN",), "year_mmm_num": ("Y-PN",)}
-#: fixed values: government -> its usual slugs, and those that are tried for any
-DOMINANT: dict[tuple[int, ...], tuple[str, ...]] = {
-    (30, 31, 32): ("Y_desN",), (33,): ("Y_decN", "Y_desN"), (34,): ("decN_Y", "Y_decN", "Y_desN"), (35, 36): ("decN_Y",), (37,): ("decN-Y", "dec-N-Y")}
-UNIVERSAL = ("decN-Y", "decN_Y")
-
-
-def _pages(d: Dialect) -> str:
-    """e: one row a page as a catalogue entry."""
-    n, m = "CAST(page_id AS VARCHAR(20))", "CAST(page_id + CASE WHEN page_id % 4 = 0 THEN 1 WHEN page_id % 9 = 1 THEN 2000000 ELSE 0 END AS VARCHAR(20))"
-    forms = ["'2019_des' || m", "'2018_dec' || m || 'a'", "'2017_desr' || m", "'dec' || m || '-2023'", "'dec-' || m || '-2022'", "'dec' || m || '_2021'", "'des' || m || '_2009'", "'dec' || m || '2024'",
-             "'dec' || m || '-7-2025'", "'12jan2005' || m", "'2009-feb' || m", "'x' || m", "''"]
-    slug = "CASE page_id % 13 " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(forms)) + " END"
-    return f"""n AS (SELECT page_id, html, {n} AS n, {m} AS m, CAST(25 + page_id % 13 AS BIGINT) AS gov, 2005 + page_id % 20 AS yr FROM {d.t('pages')} WHERE page_id IS NOT NULL),
-e AS (SELECT page_id, html, n, gov, CAST(yr AS VARCHAR(4)) AS yr, {slug} AS slug, CASE WHEN page_id % 10 = 3 THEN '' ELSE CAST(gov AS VARCHAR(4)) || '_' || n END AS record_key, 'decision number ' || n || ' of ' || CAST(yr AS VARCHAR(4)) AS described FROM n),
-u AS (SELECT *, 'https://www.example.org/he/pages/' || slug || CASE WHEN page_id % 3 = 0 THEN '?ref=1' ELSE '' END AS address FROM e)"""
-
-
-def _parts(d: Dialect, slug: str = "slug") -> str:
-    """family, year, number, suffix and what stands before the number, of a slug."""
-    case = lambda k: "CASE " + " ".join(f"WHEN {d.like(slug, p[0])} THEN " + (f"coalesce({d.grab(slug, p[0], p[k])}, '')" if p[k] else "''") for p in FAMILIES.values()) + " ELSE '' END"
-    family = "CASE " + " ".join(f"WHEN {d.like(slug, p[0])} THEN '{f}'" for f, p in FAMILIES.items()) + " ELSE 'unknown' END"
+
+def _pages(d: Dialect, rules: tuple[SlugRule, ...] = RULES) -> str:
+    """e: one row a page as a catalogue entry. Every fourth has the number of the page after it in its slug, and every fourth that of the second one before it."""
+    shown = "CASE WHEN page_id % 4 = 0 THEN page_id + 1 WHEN page_id % 4 = 2 THEN page_id - 2 WHEN page_id % 36 = 1 THEN page_id + 2000000 ELSE page_id END"
+    fill = {"number": "m", "year": "yr", "serial": "'7'", "day": "'12jan2005'", "code": "'xy'"}
+    forms = [r.filled(**fill) + (" || CASE WHEN page_id % 5 = 0 THEN 'b' ELSE '' END" if "tail" in r.fields() else "") for r in rules] + ["'item' || m", "''"]
+    slug = f"CASE page_id % {len(forms)} " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(forms)) + " END"
+    return f"""n AS (SELECT page_id, html, CAST(page_id AS VARCHAR(20)) AS n, CAST({shown} AS VARCHAR(20)) AS m, CAST(25 + page_id % 13 AS BIGINT) AS gov, CAST(2005 + page_id % 20 AS VARCHAR(4)) AS yr FROM {d.t('pages')} WHERE page_id IS NOT NULL),
+e AS (SELECT page_id, html, n, gov, yr, {slug} AS slug, CASE WHEN page_id % 10 = 3 THEN '' ELSE CAST(gov AS VARCHAR(4)) || '_' || n END AS record_key, 'decision number ' || n || ' of ' || yr AS described FROM n),
+u AS (SELECT *, 'https://www.example.org/en/pages/' || slug || CASE WHEN page_id % 3 = 0 THEN '?ref=1' ELSE '' END AS address FROM e)"""
+
+
+PARTS = ("family", "slug_year", "slug_num", "suffix", "lead")
+
+
+def _parts(d: Dialect, slug: str = "slug", rules: tuple[SlugRule, ...] = RULES) -> str:
+    """family, year, number, suffix and the rest (day, code or serial) of a slug by the first rule that fits."""
+    def part(*fields: str) -> str:
+        found = [(r, next((f for f in fields if r.group(f)), None)) for r in rules]
+        return "CASE " + " ".join(f"WHEN {d.like(slug, r.pattern())} THEN " + (f"coalesce({d.grab(slug, r.pattern(), r.group(f))}, '')" if f else "''") for r, f in found) + " ELSE '' END"
+
+    family = "CASE " + " ".join(f"WHEN {d.like(slug, r.pattern())} THEN '{r.name}'" for r in rules) + " ELSE 'unknown' END"
     # made once a row: a generator keeps the optimiser from writing the cases into all that uses them
-    return d.each(d.array(d.struct(family=family, slug_year=case(1), slug_num=case(2), suffix=case(3), lead=case(4)))) + " AS x"
+    return d.each(d.array(d.struct(family=family, slug_year=part("year"), slug_num=part("number"), suffix=part("tail"), lead=part("day", "code", "serial")))) + " AS x"
 
 
-FIELDS = ", ".join(f"x.{f} AS {f}" for f in ("family", "slug_year", "slug_num", "suffix", "lead"))
+FIELDS = ", ".join(f"x.{f} AS {f}" for f in PARTS)
 
 
 def slug_classes(d: Dialect) -> str:
-    """Slugs (what follows /pages/ up to a question mark) by the first of eleven families, with their parts."""
+    """Slugs (what follows /pages/ up to a question mark) by the first rule whose template fits, with their parts."""
     return f"WITH {_pages(d)}, s AS (SELECT page_id, coalesce({d.grab('address', '/pages/([^?]*)')}, '') AS slug FROM u), p AS (SELECT page_id, slug, {_parts(d)} FROM s) SELECT page_id, slug, {FIELDS} FROM p"
 
 
-def _filled(form: str) -> str:
-    """SQL of a slug form."""
-    out = {"Y": "y", "N": "n", "P": "lead"}
-    parts, text = [], ""
-    for c in form:
-        if c in out:
-            parts += [f"'{text}'"] if text else []
-            parts.append(out[c])
-            text = ""
-        else:
-            text += c
-    return " || ".join(parts + ([f"'{text}'"] if text else []))
-
-
-def _candidates(d: Dialect) -> str:
-    """k: candidate slugs of each entry with their place, in order, each once."""
-    none = d.none()
-    own = f"CASE family " + " ".join(f"WHEN '{f}' THEN {d.array(*[_filled(x).replace('y', 'slug_year') for x in forms])}" for f, forms in IN_PLACE.items()) + f" ELSE {none} END"
-    usual = f"CASE WHEN yr = '' THEN {none} " + " ".join(f"WHEN gov IN ({', '.join(map(str, g))}) THEN {d.array(*[_filled(x).replace('y', 'yr') for x in forms])}" for g, forms in DOMINANT.items()) + f" ELSE {none} END"
-    rest = f"CASE WHEN yr = '' THEN {none} ELSE {d.array(*[_filled(x).replace('y', 'yr') for x in UNIVERSAL])} END"
+def _candidates(d: Dialect, rules: tuple[SlugRule, ...] = RULES) -> str:
+    """k: candidate slugs of each entry with their place, in order, each once.
+
+    First the slug's own form with the right number; then the forms in use in the
+    entry's year, the newest first; then those worth a try in any year; last the
+    number alone. A form is filled from what is known of the entry.
+    """
+    own = "CASE family " + " ".join(f"WHEN '{r.name}' THEN {d.array(r.filled(number='n', year='slug_year', day='lead', code='lead', serial='lead'))}" for r in rules) + f" ELSE {d.none()} END"
+    plain = [r for r in sorted(rules, key=lambda r: -r.since) if set(r.fields()) <= {"number", "year", "tail"}]
+    filled = {r: r.filled(number="n", year="yr") for r in plain}
+    dated = [f"CASE WHEN yr BETWEEN '{r.since}' AND '{r.until}' THEN {d.array(filled[r])} ELSE {d.none()} END" for r in plain]
+    any_year = d.array(*[filled[r] for r in plain if r.always], "'item' || n")
     place = d("posexplode(all_c) AS (pos, candidate)", "unnest(range(len(all_c))) AS pos, unnest(all_c) AS candidate")
-    return f"""{_pages(d)}, p0 AS (SELECT *, {_parts(d)} FROM u), p AS (SELECT page_id, slug, n, yr, gov, {FIELDS} FROM p0), c AS (SELECT *, {d.concat(own, usual, rest, d.array("'dec' || n"))} AS every FROM p),
+    return f"""{_pages(d, rules)}, p0 AS (SELECT *, {_parts(d, rules=rules)} FROM u), p AS (SELECT page_id, slug, n, yr, gov, {FIELDS} FROM p0), c AS (SELECT *, {d.concat(own, *dated, any_year)} AS every FROM p),
 w AS (SELECT page_id, slug, n, slug_num, {d.uniq('every')} AS all_c FROM c), k0 AS (SELECT page_id, slug, n, slug_num, {place} FROM w), k AS (SELECT page_id, slug, n, slug_num, CAST(pos AS BIGINT) AS pos, candidate FROM k0)"""
 
 
 def slug_candidates(d: Dialect) -> str:
-    """Corrected slugs of entries whose number differs from their slug's: in place, usual for the government, universal."""
+    """Corrected slugs of entries whose number differs from their slug's, in the order they are tried."""
     return f"WITH {_candidates(d)} SELECT page_id, slug, pos, candidate FROM k WHERE slug_num <> '' AND slug_num <> n"
 
 
 def mismatch_diagnosis(d: Dialect) -> str:
-    """The first candidate that resolves for each mismatch; the addresses that do are those of entries whose own number agrees."""
-    return f"""WITH {_candidates(d)}, known AS (SELECT DISTINCT 'dec' || n || '-2023' AS s FROM e WHERE page_id % 2 = 0), h AS (SELECT k.*, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM k JOIN known ON candidate = s WHERE slug_num <> '' AND slug_num <> n),
-m AS (SELECT page_id, slug FROM u WHERE {d.grab('slug', '([0-9]+)')} IS NOT NULL)
-SELECT m.page_id, m.slug, h.candidate AS corrected, h.candidate IS NOT NULL AS resolves FROM m LEFT JOIN (SELECT * FROM h WHERE rn = 1) h ON m.page_id = h.page_id"""
+    """The first candidate of each mismatch that resolves: that is a slug some entry of the catalogue has."""
+    return f"""WITH {_candidates(d)}, known AS (SELECT DISTINCT slug AS s FROM u WHERE slug <> ''), t AS (SELECT k.* FROM k JOIN known ON candidate = s WHERE slug_num <> '' AND slug_num <> n),
+h AS (SELECT page_id, {d("min_by(candidate, pos)", "arg_min(candidate, pos)")} AS candidate, count(*) AS n_resolving FROM t GROUP BY page_id),
+m AS (SELECT DISTINCT page_id, slug FROM k WHERE slug_num <> '' AND slug_num <> n)
+SELECT m.page_id, m.slug, h.candidate AS corrected, h.candidate IS NOT NULL AS resolves, coalesce(n_resolving, 0) AS n_resolving FROM m LEFT JOIN h ON m.page_id = h.page_id"""
 
 
 def url_numbers(d: Dialect) -> str:
     """Numbers of an entry: from its address by four patterns in order, by the loose one, from its description; cleaned; and the address its key stands for."""
-    ordered = ", ".join(d.grab("address", p) for p in (r"/pages/[0-9]+_des([0-9]+)", r"/pages/dec([0-9]+)", r"/pages/[0-9]+_dec([0-9]+)", r"/pages/des([0-9]+)"))
+    ordered = ", ".join(d.grab("address", p) for p in (r"/pages/act-([0-9]+)", r"/pages/[0-9]{4}-[a-z]+-?([0-9]+)", r"/pages/a([0-9]+)[.]", r"(?:item|[.]p)([0-9]+)"))
     messy = "CASE page_id % 4 WHEN 0 THEN ' ' || n || '.. ' WHEN 1 THEN n || '(2)' WHEN 2 THEN n || ' (a) ' ELSE '' END"
     clean = lambda x: d.swap(d.swap(f"trim({x})", r"\.+$", ""), r"\(.*\)$", "")
     return f"""WITH {_pages(d)}, x AS (SELECT *, {messy} AS messy FROM u)
-SELECT page_id, coalesce({ordered}) AS url_number, {d.grab('address', 'dec([0-9]+)')} AS loose_number, {d.grab('described', 'number ([0-9]+)')} AS described_number, nullif(trim({clean('messy')}), '') AS cleaned,
-  CASE WHEN record_key <> '' THEN 'https://www.example.org/he/pages/' || replace(record_key, '_', '/') END AS rebuilt FROM x"""
+SELECT page_id, coalesce({ordered}) AS url_number, {d.grab('address', '[a-z]-?([0-9]+)')} AS loose_number, {d.grab('described', 'number ([0-9]+)')} AS described_number, nullif(trim({clean('messy')}), '') AS cleaned,
+  CASE WHEN record_key <> '' THEN 'https://www.example.org/en/pages/' || replace(record_key, '_', '/') END AS rebuilt FROM x"""
 
 
 def url_key_validation(d: Dialect) -> str:
     """An address against its key: numbers, difference, pattern, verdict and issues."""
-    num = f"coalesce({', '.join(d.grab('address', p) for p in (r'/pages/dec([0-9]+)', r'_des([0-9]+)', r'/([0-9]+)_des', r'dec([0-9]+)'))})"
+    num = f"coalesce({', '.join(d.grab('address', p) for p in (r'/pages/act-([0-9]+)', r'-(?:act-|[a-z][a-z])([0-9]+)', r'/a([0-9]+)[.]', r'(?:item|[.]p)([0-9]+)'))})"
     want = d.grab("record_key", "_(.*)$")
     diff = "try_cast(got AS BIGINT) - try_cast(want AS BIGINT)"
     issues = d.compact("CASE WHEN want IS NULL THEN 'key format' WHEN got IS NULL THEN 'no number in address' WHEN got <> want AND difference IS NULL THEN 'number differs' WHEN difference <> 0 THEN 'off by ' || CAST(difference AS VARCHAR(20)) END",
                        "CASE WHEN abs(difference) > 1000000 THEN 'systematic offset' END")
     return f"""WITH {_pages(d)}, v AS (SELECT page_id, address, {want} AS want, {num} AS got FROM u), w AS (SELECT *, {diff} AS difference FROM v)
-SELECT page_id, want, got, coalesce(difference, 0) AS difference, CASE WHEN contains(address, '_des') THEN 'gov_des' WHEN contains(address, '/dec') AND contains(address, '-') THEN 'dec_year' WHEN contains(address, '/dec') THEN 'dec_simple' ELSE 'unknown' END AS pattern,
+SELECT page_id, want, got, coalesce(difference, 0) AS difference, CASE WHEN contains(address, '/act-') THEN 'number first' WHEN {d.like('address', '/pages/[0-9]{4}-')} THEN 'year first' WHEN contains(address, '/item') THEN 'number only' ELSE 'other' END AS pattern,
   want IS NOT NULL AND got IS NOT NULL AND (got = want OR coalesce(difference = 0, false)) AS is_valid, {d.join(issues, '; ')} AS issues FROM w"""
 
 
@@ -193,13 +170,7 @@ def placeholder_tags(d: Dialect) -> str:
 def catalog_lookup(d: Dialect) -> str:
     """Addresses among the newest 100 entries that have the number looked for."""
     return f"""WITH {_pages(d)}, newest AS (SELECT page_id, address FROM u ORDER BY page_id DESC LIMIT 100), w AS (SELECT CAST(max(page_id) - 7 AS VARCHAR(20)) AS num FROM newest)
-SELECT page_id, address FROM newest CROSS JOIN w WHERE {d.grab('address', '(?:des|dec|desr)-?([0-9]+)')} = num OR contains(address, num)"""
-
-
-def constants(d: Dialect) -> str:
-    """Thresholds of the validators and the class balance aimed at."""
-    rows = {"summary_confidence": 0.6, "operativity_confidence": 0.7, "tags_confidence": 0.5, "overall_confidence": 0.5, "operative_share": 0.65, "declarative_share": 0.35}
-    return f"SELECT x.name AS name, x.value AS value FROM (SELECT {d.each(d.array(*[d.struct(name=d.lit(k), value=d.double(v)) for k, v in rows.items()]))} AS x FROM {d.t('region')} WHERE r_regionkey = 0) y"
+SELECT page_id, address FROM newest CROSS JOIN w WHERE {d.grab('address', '(?:act-|item|[.]p)([0-9]+)')} = num OR contains(address, num)"""
 
 
 def alert_routing(d: Dialect) -> str:
@@ -220,4 +191,4 @@ def changed_field_checks(d: Dialect) -> str:
 
 QUERIES, ORACLES = registry(
     slug_classes, slug_candidates, mismatch_diagnosis, url_numbers, url_key_validation, manifest_entries, round_robin, split_rows, report_keys, json_payload, metadata_flatten, label_lines,
-    plain_dates, placeholder_tags, catalog_lookup, constants, alert_routing, changed_field_checks)
+    plain_dates, placeholder_tags, catalog_lookup, alert_routing, changed_field_checks)
