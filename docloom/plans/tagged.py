@@ -248,10 +248,10 @@ SELECT name, {d.join(d.gather_set('variant'), '; ')} AS variants, count(DISTINCT
 
 
 def tag_whitelist_steps(d: Dialect) -> str:
-    """Tags held against the list: exact, by word similarity of 0.5 or more (the best, ties the first), else left to a tagger. The list is what at least a hundredth of all parts have; tags are types as written, some cut, turned round or with words added."""
+    """Tags held against the list: exact, by word similarity of 0.5 or more (the best, ties the first), else left to a tagger. The list is what at least a hundredth of all parts are called; tags are names as written, some cut, turned round or with words added."""
     said = "CASE p_partkey % 5 WHEN 0 THEN w1 || ' ' || w2 WHEN 1 THEN w2 || ' ' || w1 WHEN 2 THEN w1 || ' ' || w2 || ' made to order' WHEN 3 THEN w2 ELSE w1 || ' ' || lower(p_brand) || ' ' || w2 END"
-    word = lambda k: d(f"element_at(split(lower(p_type), ' '), {k})", f"split(lower(p_type), ' ')[{k}]")
-    return f"""WITH p AS (SELECT p_partkey, {word(1)} AS w1, {word(2)} AS w2, p_brand FROM {d.t('part')} WHERE p_type LIKE '% %'),
+    word = lambda k: d(f"element_at(split(lower(p_name), ' '), {k})", f"split(lower(p_name), ' ')[{k}]")
+    return f"""WITH p AS (SELECT p_partkey, {word(1)} AS w1, {word(2)} AS w2, p_brand FROM {d.t('part')} WHERE p_name LIKE '% %'),
 n AS (SELECT w1 || ' ' || w2 AS entry, count(*) AS n FROM p GROUP BY 1), v AS (SELECT entry FROM n WHERE n * 100 >= (SELECT count(*) FROM p)),
 t AS (SELECT {said} AS tag, count(*) AS n FROM p GROUP BY 1), w AS (SELECT tag, n, {d.words('tag')} AS w FROM t), x AS (SELECT entry, {d.words('entry')} AS e FROM v),
 a AS (SELECT tag, w, {d.each('w')} AS word FROM w WHERE {d.size('w')} >= 2), b AS (SELECT entry, e, {d.each('e')} AS word FROM x),
