@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 
 def json_list(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -54,6 +54,12 @@ class _Page(InputPartition):
         self.skip = skip
 
 
+class _Span(InputPartition):
+    def __init__(self, skip: int, limit: int):
+        super().__init__((skip, limit))
+        self.skip, self.limit = skip, limit
+
+
 class PagedReader(DataSourceReader):
     """A partition a page: pages are fetched in parallel, each again if its executor is lost.
 
@@ -82,6 +88,46 @@ class PagedReader(DataSourceReader):
             yield entry["id"], entry.get("title"), entry.get("url")
 
 
+class PagedStream(DataSourceStreamReader):
+    """The catalogue as it grows: an offset is how many entries were taken, so a discovery that stops goes on behind them.
+
+    A micro-batch takes what is new, a partition a page, read by executors; the
+    driver finds the end by doubling and halving, from the last end it knows.
+    """
+
+    def __init__(self, source: PagedCatalog):
+        self.source, self.size = source, int(source.options.get("pagesize", 1000))
+        self.known = 0  # pages that were full when last seen
+
+    def initialOffset(self) -> dict:  # noqa: N802 - names of the interface
+        return {"skip": int(self.source.options.get("skip", 0))}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        step, low = 1, self.known
+        while self._length(low + step - 1) == self.size:
+            low, step = low + step, step * 2
+        high = low + step - 1  # page high is not full; those before low are
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (middle + 1, high) if self._length(middle) == self.size else (low, middle)
+        self.known = low
+        return {"skip": max(low * self.size + self._length(low), self.initialOffset()["skip"])}
+
+    def _length(self, page: int) -> int:
+        return len(self.source.page(page * self.size, self.size))
+
+    def partitions(self, start: dict, end: dict) -> list[_Span]:
+        edges = range(start["skip"], end["skip"], self.size)
+        return [_Span(a, min(self.size, end["skip"] - a)) for a in edges]
+
+    def read(self, partition: _Span):
+        for entry in self.source.page(partition.skip, partition.limit):
+            yield entry["id"], entry.get("title"), entry.get("url")
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class PagedCatalog(DataSource):
     """A catalogue that gives entries (dictionaries of id, title, url) by skip and limit; subclass it with ``fetch``."""
 
@@ -110,3 +156,6 @@ class PagedCatalog(DataSource):
 
     def reader(self, schema: T.StructType) -> PagedReader:
         return PagedReader(self)
+
+    def streamReader(self, schema: T.StructType) -> PagedStream:  # noqa: N802
+        return PagedStream(self)
