@@ -98,9 +98,8 @@ a AS (SELECT event_type, ts, CASE WHEN near IS NULL OR far > near THEN far ELSE
 
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title, main text and all visible text's length of every page."""
-    pages = table(spark, sf_dir, "pages")
-    return pages.select(
-        "page_id", html.title(F.col("html")).alias("title"), html.main_text("html").alias("main_text"), F.length(html.html_text("html")).cast("long").alias("visible_chars"))
+    pages = html.with_page_parts(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return pages.select("page_id", "page.title", F.col("page.main").alias("main_text"), F.length("page.text").cast("long").alias("visible_chars"))
 
 
 QUERIES, ORACLES = registry(fix_locations, fix_bodies, fix_typos, key_format_gate, key_rewrite, text_consistency, stream_late)

@@ -61,8 +61,8 @@ def test_sources(spark, tmp_path):
         got = [r.id for r in spark.read.format("paged_catalog").option("total", total).option("pagesize", 10).load().collect()]
         assert sorted(got) == list(range(total))
     h = spark.createDataFrame([("<title>T</title><h1>A <b>B</b></h1><script>x</script><p>c</p>",)], "h string")
-    r = h.select(html.title(F.col("h")).alias("t"), html.html_text("h").alias("x")).first()
-    assert r.t == "A B" and r.x == "T A B c"
+    r = html.with_page_parts(h, "h").select("page.title", "page.text").first()
+    assert r.title == "A B" and r.text == "T A B c"
 
 
 def test_main_content_takes_container_then_block_then_text():
@@ -74,6 +74,51 @@ def test_main_content_takes_container_then_block_then_text():
     assert html.main_content(short) == html.main_content(None) == html.main_content("") == ""
 
 
+def _random_page(rng, depth=0):
+    """HTML of a random tree, and its visible text by walking the tree."""
+    words = [rng.choice(["alpha", "be&amp;ta", "gam&#109;a", "d&eacute;lta", "a < b", "1 &gt; 0"]) for _ in range(rng.randint(1, 4))]
+    plain = {"be&amp;ta": "be&ta", "gam&#109;a": "gamma", "d&eacute;lta": "délta", "a < b": "a < b", "1 &gt; 0": "1 > 0"}
+    html, text = " ".join(words), " ".join(plain.get(w, w) for w in words)
+    for _ in range(rng.randint(0, 3) if depth < 4 else 0):
+        tag = rng.choice(["div", "p", "b", "i", "span", "li", "script", "style", "section", "br", "img", "!--"])
+        inner, seen = _random_page(rng, depth + 1)
+        if tag == "!--":
+            html += "<!-- <p>hidden</p> -->"
+        elif tag in ("br", "img"):
+            html, text = html + f"<{tag} alt='>'>" + inner, text + ("\n" if tag == "br" else "") + seen
+        elif tag in ("script", "style"):
+            html += f"<{tag}>if (a) {{ x = 1 }}</{tag}>"
+        else:
+            attrs = rng.choice(["", " class=\"x > y\"", " data-a='<b>'", " hidden"])
+            part = "" if tag in ("b", "i", "span") else "\n"
+            html, text = html + f"<{tag.upper() if rng.random() < 0.3 else tag}{attrs}>{inner}</{tag}>", text + part + seen + part
+    return html, text
+
+
+def test_page_text_equals_a_walk_over_the_tree():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(300):
+        page, text = _random_page(rng)
+        got = html.page_text(f"<html><body>{page}</body></html>")
+        assert got.text == " ".join(text.split()), page
+        assert got.title == got.text[:60].strip()
+        assert html.page_text(f"<head><title>The title</title></head>{page}").title == "The title"
+        assert html.page_text(f"<head><title>The title</title></head>{page}<h1> </h1><h1>A <b>head</b>ing</h1>").title == "A heading"
+
+
+def test_odd_pages():
+    long = "word " * 60
+    assert html.page_text(None) == html.page_text("") == (None, "", "")
+    assert html.page_text("<p>open <b>never closed <div>x").text == "open never closed x"
+    assert html.page_text("<ul><li>one<li>two</ul></div></p>three").text == "one two three"
+    assert html.page_text("a<script>if (x < 3) '</p>'</script>b<style>p {}</style>c").text == "abc"
+    assert html.page_text(f"<table><tr><td>a</td><td>b</td></tr></table><div class='content'>{long}<br/>end</div>").main == long + "end"
+    assert html.page_text("x" * 101).main == "x" * 101 and html.page_text("1" * 300 + "<main>" + "2" * 300 + "</main>").main == "1" * 300 + " " + "2" * 300
+    assert html.page_text("&lt;b&gt; &nbsp;&unknown; &#x41;").text == "<b> &unknown; A"
+
+
 def test_streams_equal_batch(spark, tmp_path):
     src = spark.range(300).select(
         F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 600 + 86400).alias("ts"), (F.col("id") % 3).alias("user_id"),
