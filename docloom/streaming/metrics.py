@@ -17,11 +17,28 @@ def events(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFr
     return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def tumbling(stream: DataFrame, size: str = "1 hour", late: str = "2 hours", slide: str | None = None) -> DataFrame:
-    """Count and total by type and window; rows later than the watermark are dropped (the reference defines no late data)."""
-    w = F.window("ts", size, slide) if slide else F.window("ts", size)
-    return stream.withWatermark("ts", late).groupBy("event_type", w.alias("w")).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(
-        "event_type", F.col("w.start").alias("window_start"), "n", "total")
+#: period -> window length and where windows start, counted from 1970-01-01, a Thursday: weeks start on Sunday
+PERIODS = {"hour": ("1 hour", "0 seconds"), "day": ("1 day", "0 seconds"), "week": ("7 days", "3 days")}
+ACCURACY = 10_000  # a median's rank is off by at most a ten-thousandth of the window's rows
+
+
+def tumbling(stream: DataFrame, size: str = "1 hour", late: str = "2 hours", slide: str | None = None, start: str = "0 seconds", accuracy: int = ACCURACY) -> DataFrame:
+    """Count, total, range and median by type and window; rows later than the watermark are dropped (the reference defines no late data).
+
+    The median's state is a mergeable quantile sketch a window: the value returned
+    is one of the window's, and its rank is within rows / ``accuracy`` of the
+    middle. A window of fewer than ``accuracy`` rows gives an exact (lower) median.
+    """
+    w = F.window("ts", size, slide or size, start)
+    return stream.withWatermark("ts", late).groupBy("event_type", w.alias("w")).agg(
+        F.count("*").alias("n"), F.sum("value").alias("total"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.percentile_approx("value", 0.5, accuracy).alias("median"),
+    ).select("event_type", F.col("w.start").alias("window_start"), "n", "total", "lo", "hi", "median")
+
+
+def periods(stream: DataFrame, period: str, late: str = "2 hours", accuracy: int = ACCURACY) -> DataFrame:
+    """``tumbling`` by hour, day or week (from Sunday on)."""
+    size, start = PERIODS[period]
+    return tumbling(stream, size, late, None, start, accuracy)
 
 
 def sessions(stream: DataFrame, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:

@@ -136,5 +136,17 @@ def test_streams_equal_batch(spark, tmp_path):
     want = {(r.event_type, r.w): r.n for r in src.groupBy("event_type", F.date_trunc("hour", "ts").alias("w")).agg(F.count("*").alias("n")).collect()}
     assert got == want
     assert run(streams.dedup(stream), "dedup", "append").count() == 300
+    for period, accuracy in (("hour", 10_000), ("day", 10_000), ("week", 10_000), ("week", 20)):
+        by = {}
+        for r in src.select("event_type", F.unix_seconds("ts").alias("s"), "value").collect():
+            at = {"hour": r.s // 3600 * 3600, "day": r.s // 86400 * 86400, "week": (r.s - 3 * 86400) // (7 * 86400) * 7 * 86400 + 3 * 86400}[period]
+            by.setdefault((r.event_type, at), []).append(r.value)
+        got = run(streams.periods(stream, period, accuracy=accuracy), f"p_{period}_{accuracy}", "complete").select("event_type", F.unix_seconds("window_start").alias("s"), "n", "median", "lo", "hi").collect()
+        assert {(r.event_type, r.s): r.n for r in got} == {k: len(v) for k, v in by.items()}
+        for r in got:
+            values = sorted(by[r.event_type, r.s])
+            low, high = sum(v < r.median for v in values), sum(v <= r.median for v in values)
+            assert r.median in values and low <= len(values) / 2 + len(values) / accuracy + 1 and high >= len(values) / 2 - len(values) / accuracy - 1
+            assert (r.lo, r.hi) == (values[0], values[-1])
     sent = run(streams.cooldown(stream), "cooldown", "append")
     assert 0 < sent.count() < src.where("value > 75").count()
