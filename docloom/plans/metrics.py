@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators import selection
+from docloom.operators import graph, selection
 from docloom.operators.records import cut
 from docloom.plans.dialect import DUCK, Dialect, registry
 from docloom.session import table
@@ -211,6 +211,28 @@ k AS (SELECT x.event_id, x.user_id, x.c, x.t, before + row_number() OVER (PARTIT
 SELECT event_id, user_id, position, IF(c, 0L, earlier) + IF(t, c_all, 0L) AS n_depends, IF(c, earlier, 0L) AS n_dropped FROM k""")
 
 
+def dependency_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of a record and day by level: 0 waits for nothing, -1 stands in or between cycles, -2 behind one.
+
+    Edges are a table: a change of the tags (here a click) comes before every later
+    change of its record, one of the class (a purchase) before every change of the
+    tags. Levels come from peeling, round after round.
+    """
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", F.concat_ws(" ", "user_id", F.to_date("ts")).alias("record")).where("user_id IS NOT NULL")
+    is_type = lambda t: F.col("event_type") == t
+    edges = graph.dependency_edges(e, "record", "event_id", "ts", is_type("click"), (is_type("purchase"), is_type("click")))
+    return graph.levels(e, edges, "event_id")
+
+
+QUERIES.update(dependency_levels=dependency_levels)
+ORACLES["dependency_levels"] = """
+WITH RECURSIVE x AS (SELECT event_id AS id, user_id, CAST(ts AS DATE) AS day, ts, event_type = 'click' AS t, event_type = 'purchase' AS c FROM events WHERE user_id IS NOT NULL),
+e AS (SELECT DISTINCT a.id AS o, b.id FROM x a JOIN x b ON a.user_id = b.user_id AND a.day = b.day AND a.id <> b.id AND ((a.t AND b.ts > a.ts) OR (a.c AND b.t))),
+r AS (SELECT o AS a, id AS b FROM e UNION SELECT r.a, e.id FROM r JOIN e ON r.b = e.o),
+cyc AS (SELECT a AS id FROM r WHERE a = b), behind AS (SELECT DISTINCT b AS id FROM r WHERE a IN (SELECT id FROM cyc)), ahead AS (SELECT DISTINCT a AS id FROM r WHERE b IN (SELECT id FROM cyc)),
+free AS (SELECT id FROM x WHERE id NOT IN (SELECT id FROM behind)),
+l AS (SELECT id, 0::BIGINT AS k FROM free UNION SELECT e.id, k + 1 FROM l JOIN e ON l.id = e.o JOIN free f ON f.id = e.id)
+SELECT id AS event_id, max(k) AS level FROM l GROUP BY id UNION ALL SELECT id, CASE WHEN id IN (SELECT id FROM ahead) THEN -1 ELSE -2 END FROM behind"""
 QUERIES.update(alert_cooldown=alert_cooldown, ema=ema, dependency_order=dependency_order, metric_summary=metric_summary)
 ORACLES["metric_summary"] = _summary_sql()
 for _unit in ("hour", "day", "week"):
