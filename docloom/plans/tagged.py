@@ -81,6 +81,23 @@ def _place_found(d: Dialect, place: str) -> str:
     return f"(contains(low, {place}) OR {d.any(d.keep(f'split({place}, {chr(39)} {chr(39)})', 'w', 'length(w) > 2'), 'w', 'contains(low, w)')})"
 
 
+def _tag_told(d: Dialect, tag: str, text: str) -> str:
+    """Whether a text has a tag's name or one of its keywords."""
+    words = "CASE " + " ".join(f"WHEN {tag} = '{t}' THEN {_hits(d, ws, text)} > 0" for t, ws in KEYWORDS.items()) + " ELSE false END"
+    return f"(contains({text}, {tag}) OR {words})"
+
+
+def _decided(d: Dialect) -> str:
+    """The day of a record: in June of its year."""
+    return d("make_date(CAST(yr AS INT), 6, 15)", "make_date(CAST(yr AS INTEGER), 6, 15)")
+
+
+def _era(d: Dialect, days: int) -> str:
+    """So many days after a government's first: 200 days lie between two of them, and one lasts 400."""
+    n = f"(doc_id % 13) * 200 + {days}"
+    return d(f"date_add(CAST('2018-01-01' AS DATE), CAST({n} AS INT))", f"CAST('2018-01-01' AS DATE) + CAST({n} AS INTEGER)")
+
+
 GARBAGE = "(len < 100 OR contains(low, 'cloudflare') OR contains(low, 'just a moment'))"
 
 
@@ -92,6 +109,7 @@ def _issues(d: Dialect) -> dict[str, str]:
     named = d.size(d.keep("body_list", "b", _named(d, "b")))
     words = "CASE " + " ".join(f"WHEN {d.at('tags', 1)} = '{t}' THEN {_hits(d, KEYWORDS[t])}" for t in SUSPICIOUS) + " END"
     expected = "CASE " + " ".join(f"WHEN {d.at('tags', 1)} = '{t}' THEN {' OR '.join(d.has('body_list', d.lit(b)) for b, x in BODY_TAG.items() if x == t)}" for t in ("health", "law", "budget", "culture")) + " ELSE true END"
+    title = d.words("CASE WHEN doc_id % 19 = 0 THEN 'quarterly figures about something unrelated' ELSE title END")  # some records have another one's title
     return {
         "operativity-vs-content": "CASE WHEN operativity = 'operative' AND decl_hits > 0 AND op_hits = 0 THEN 'high' WHEN operativity = 'declarative' AND op_hits > 0 AND decl_hits = 0 THEN 'medium' END",
         "tag-body": f"CASE WHEN bodies <> '' AND {d.size('tags')} = 1 AND NOT ({expected}) THEN 'low' END",
@@ -103,12 +121,16 @@ def _issues(d: Dialect) -> dict[str, str]:
         "policy-default": f"CASE WHEN {GARBAGE} OR {d.size('tags')} <> 1 OR {d.at('tags', 1)} NOT IN ({', '.join(map(repr, SUSPICIOUS))}) THEN NULL WHEN {words} = 0 THEN 'high' END",
         "operativity-validity": "CASE WHEN trim(operativity) NOT IN ('operative', 'declarative', '') THEN 'high' END",
         "policy-fallback": f"CASE WHEN {d.size('tags')} = 1 AND {d.at('tags', 1)} = '{FALLBACK}' THEN 'medium' END",
+        "summary-vs-tags": f"CASE WHEN length(summary) >= 60 AND {d.size('tags')} > 0 AND NOT {d.any('tags', 't', _tag_told(d, 't', 'lower(summary)'))} THEN 'low' END",
+        "date-vs-government": f"CASE WHEN {_decided(d)} < {_era(d, -30)} OR {_decided(d)} > {_era(d, 430)} THEN 'high' END",
+        "title-vs-content": f"CASE WHEN {d.size(title)} >= 3 AND 5 * {d.size(d.keep(title, 'w', 'contains(lower(content), w)'))} < {d.size(title)} THEN 'medium' END",
         "tag-consistency": f"CASE WHEN {d.any('tags', 't', f'NOT {d.has(_array(d, TAG_LIST), chr(116))}')} THEN 'medium' END",
     }
 
 
 #: checks that hold one field against another, scanned together
-CROSS_FIELD = ("operativity-vs-content", "tag-body", "committee-tag", "location-vs-body", "location-hallucination", "government-body-hallucination")
+CROSS_FIELD = (
+    "operativity-vs-content", "tag-body", "committee-tag", "summary-vs-tags", "location-vs-body", "date-vs-government", "title-vs-content", "body-default", "policy-default")
 
 
 def _scan(d: Dialect, names) -> str:
@@ -130,6 +152,12 @@ def cross_field_checks(d: Dialect) -> str:
     return f"WITH {_scan(d, CROSS_FIELD)} SELECT check_key, severity, count(*) AS n, min(doc_id) AS first_id FROM i GROUP BY check_key, severity"
 
 
+def named_checks(d: Dialect) -> str:
+    """A list of checks by name, as a user gives it: those that are known are run, in one pass; unknown names are skipped."""
+    asked = ("policy-fallback", "no-such-check", "title-vs-content", "tag-consistency", "")
+    return f"WITH {_scan(d, tuple(n for n in asked if n in _issues(d)))} SELECT check_key, severity, count(*) AS n, min(doc_id) AS first_id FROM i GROUP BY check_key, severity"
+
+
 def suspicious_bodies(d: Dialect) -> str:
     """Default-looking body combinations: rows, without evidence, with some of it."""
     named = d.size(d.keep("body_list", "b", _named(d, "b")))
@@ -423,6 +451,6 @@ FROM x LEFT JOIN v ON x.body = v.body LEFT JOIN n ON x.body = n.body"""
 
 
 QUERIES, ORACLES = registry(
-    tagged_checks, cross_field_checks, suspicious_bodies, inline_fixes, post_process, body_whitelist, body_context, title_bodies, committee_names, committee_variants, tag_whitelist_steps,
+    tagged_checks, cross_field_checks, named_checks, suspicious_bodies, inline_fixes, post_process, body_whitelist, body_context, title_bodies, committee_names, committee_variants, tag_whitelist_steps,
     multi_tag_mapping, operativity_lists, operativity_ratio, special_categories, tag_rules, tag_verdict, overall_confidence, field_validation, misalignment, corrected_tags, model_alignment,
     summary_tag_overlap, model_record, rule_lookup, class_balance, threshold_report, dated_names)
