@@ -11,7 +11,7 @@ the bytes before it back to where the first starts go with it.
 Runs: a task sorts the suffixes of a block of anchors. Equal contexts of a
 block are one from then on (all their strings repeat, whatever other blocks
 hold). The suffixes are dealt to ranges by the hash of their first 32 bytes,
-since only suffixes with equal grams can share a string, and leave front-coded:
+since only suffixes with equal grams can share a string, a range a task, and leave front-coded:
 the length of the prefix shared with the suffix before, then the rest.
 
 Merge: a range combines its runs by a loser tree over those lengths. Of two
@@ -446,22 +446,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, range_bytes
                     yield _rows([row])
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
+        held: dict[int, list] = {}  # a partition is a range
         for batch in batches:
-            for i in np.flatnonzero(np.asarray(batch["kind"]) != 1).tolist():
+            run = np.asarray(batch["kind"]) == 1
+            for i in np.flatnonzero(~run).tolist():
                 yield batch.slice(i, 1)
-            for i in np.flatnonzero(np.asarray(batch["kind"]) == 1).tolist():
-                r = batch["range"][i].as_py()
-                if r != now and held:
-                    for row in merged(held, now, length, gram):
-                        yield _rows([row])
-                    held = []
-                now = r
-                held.append(batch["runs"][i].as_py())
-        for row in merged(held, now, length, gram) if held else ():
-            yield _rows([row])
-
-    dealt = keyed.mapInArrow(runs, ROWS).repartition(ranges, "range").sortWithinPartitions("range")
+            for i in np.flatnonzero(run).tolist():
+                held.setdefault(batch["range"][i].as_py(), []).append(batch["runs"][i].as_py())
+        for r in list(held):
+            for row in merged(held.pop(r), r, length, gram):
+                yield _rows([row])
+
+    dealt = keyed.mapInArrow(runs, ROWS).repartitionById(ranges, "range")
     found, _ = written(dealt.mapInArrow(combine, ROWS).drop("range", "runs"), "repeats")
     sure = found.where("kind = 0").select(F.explode(F.arrays_zip("k1", "k2", "starts", "ends")).alias("x")).select("x.*")
     hot = found.where("kind = 2").select(F.explode(F.arrays_zip("h1", "h2", "k1", "k2", "starts", "ends")).alias("x")).select("x.*")
