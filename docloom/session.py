@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +28,10 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a scale-factor directory; any path Spark can read."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, where it isn't installed: functions that run there import it."""
+    root = Path(__file__).resolve().parent
+    archive = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="docloom-")) / root.name), "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(archive)

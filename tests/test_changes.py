@@ -102,7 +102,7 @@ def test_a_stream_of_changes_retries_and_survives_a_restart(spark, tmp_path):
             time.sleep(0.3)
 
     q = start()
-    wait(q, lambda: 5 in rows(out))  # the first tries are made; the others wait
+    wait(q, lambda: 5 in rows(out) and (tmp_path / "cp" / "commits" / "0").exists())  # the first tries are made and kept; the others wait
     q.stop()
     frame([20]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     q = start()
