@@ -100,9 +100,9 @@ SELECT b.d, a.id, b.id, b.s, false, true, a.e = b.e FROM b ASOF JOIN a ON b.s >
 """
 # the second branch meets a B token that starts where an A token starts at that A token's predecessor, which ends there: WHERE drops it
 GROUPS = """
-SELECT d, a, b, opens_a, opens_b, both_end,
+SELECT x, d, a, b, opens_a, opens_b, both_end,
   coalesce(sum(both_end::INT) OVER (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS g
-FROM links ORDER BY x
+FROM links
 """
 PAIRS = "CREATE OR REPLACE TEMP TABLE pairs AS SELECT d, a, b, count(*)::INT AS n FROM links GROUP BY ALL"
 
@@ -128,14 +128,17 @@ def align(con, tokens: list[tuple[list[int], list[int]]], a_len: np.ndarray, b_l
     def intervals(side: int, lengths: np.ndarray) -> pa.Table:
         ids = np.fromiter((i for t in tokens for i in t[side]), np.int32)
         end = np.cumsum(lengths[ids])
+        end = end.astype(np.int32) if not len(end) or end[-1] < 2**31 else end  # half the width, a third less time
         doc = np.repeat(np.arange(len(tokens), dtype=np.int32), [len(t[side]) for t in tokens])
-        return pa.table({"d": doc, "id": ids, "s": end - lengths[ids], "e": end})
+        return pa.table({"d": doc, "id": ids, "s": end - lengths[ids].astype(end.dtype), "e": end})
 
     con.register("a", intervals(0, a_len))
     con.register("b", intervals(1, b_len))
     con.execute(LINKS)
     con.execute(PAIRS)
     links = con.execute(GROUPS).fetchnumpy()
+    order = np.argsort(links["x"], kind="stable")  # nearly sorted as it comes
+    links = {c: v[order] for c, v in links.items()}
     n_links = np.bincount(links["d"], minlength=len(tokens)).tolist()
     n_groups = np.bincount(links["d"], weights=links["both_end"], minlength=len(tokens)).astype(int).tolist()
     of_docs = con.sql("SELECT d, list(a) AS a, list(b) AS b, list(n) AS n FROM pairs GROUP BY d").to_arrow_table()
