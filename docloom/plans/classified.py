@@ -203,6 +203,38 @@ def class_by_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "given", turned.alias("class"), F.size("h").cast("long").alias("n_patterns"))
 
 
+FORBIDDEN_PREFIX = "Decision number"
+
+
+def _loads(d: Dialect) -> str:
+    """l: records as they come before a load: a date and a key as text, some of them missing or wrong."""
+    text = lambda x: f"CAST({x} AS VARCHAR(20))"
+    iso = d("date_format(day, 'yyyy-MM-dd')", "strftime(day, '%Y-%m-%d')")
+    return f"""{_z(d)}, l AS (SELECT doc_id, gov, number, content, summary, tags, body_list, policy, bodies, trim(operativity) AS operativity,
+  CASE doc_id % 14 WHEN 0 THEN '' WHEN 1 THEN '12.05.2020' WHEN 2 THEN '2021-02-30' WHEN 3 THEN '1890-01-01' WHEN 4 THEN '2044-01-01' ELSE coalesce({iso}, '') END AS day_text,
+  CASE doc_id % 9 WHEN 0 THEN '' WHEN 1 THEN {text('gov')} || '-' || number WHEN 2 THEN '99_' || number WHEN 3 THEN {text('gov')} || '_' || number || 'a' ELSE {text('gov')} || '_' || number END AS record_key FROM z)"""
+
+
+def preload_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record before the load: errors (incomplete, date, key against government and number, class), warnings (length, prefix of the summary, tags and bodies that no list has, no tags), whether it loads, and the key it loads under."""
+    r = runner(lambda d: f"WITH {_loads(d)} SELECT * FROM l")(spark, sf_dir)
+    day, key, want = F.col("day_text"), F.col("record_key"), F.concat_ws("_", F.col("gov").cast("string"), "number")
+    form = day.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+    parsed = F.try_to_date(F.when(form, day), "yyyy-MM-dd")
+    n = F.length("content")
+    when = lambda c, text: F.when(c, F.lit(text))
+    errors = F.array_compact(F.array(
+        when((day == "") | (n == 0), "incomplete"), when((day != "") & ~form, "date form"), when(form & parsed.isNull(), "no such day"), when(parsed.isNotNull() & ~F.year(parsed).between(1948, 2027), "year out of range"),
+        when((key != "") & ~key.rlike("^[0-9]+_[0-9]+[a-z]?$"), "key form"), when(key.rlike("^[0-9]+_[0-9]+[a-z]?$") & (key != want), "key is not government and number"), when(~F.col("operativity").isin("operative", "declarative"), "class")))
+    unknown = lambda c, known: F.filter(c, lambda x: ~x.isin(*known))
+    warnings = F.array_compact(F.array(
+        when((n > 0) & (n < 100), "short content"), when(n > 5000, "long content"), when(F.startswith("summary", F.lit(FORBIDDEN_PREFIX)), "forbidden prefix"),
+        F.when(F.size(unknown("tags", tagged.TAG_LIST)) > 0, F.concat(F.lit("unknown tags: "), F.array_join(unknown("tags", tagged.TAG_LIST), ", "))),
+        F.when(F.size(unknown("body_list", tuple(tagged.BODY_WORDS))) > 0, F.concat(F.lit("unknown bodies: "), F.array_join(unknown("body_list", tuple(tagged.BODY_WORDS)), ", "))), when(F.size("tags") == 0, "no tags")))
+    return r.select("doc_id", F.when(key == "", want).otherwise(key).alias("load_key"), (key == "").alias("key_made"), errors.alias("e"), warnings.alias("w")).select(
+        "doc_id", "load_key", "key_made", F.array_join("e", "; ").alias("errors"), F.array_join("w", "; ").alias("warnings"), (F.size("e") == 0).alias("loads"))
+
+
 def _oracles() -> dict[str, str]:
     z, d = f"WITH {_z(DUCK)}", DUCK
     days = f"day < DATE '{OLDEST}' OR day > DATE '{LAST_DAY}' + 30"
@@ -221,7 +253,18 @@ def _oracles() -> dict[str, str]:
     pats = " UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS c, '{p}' AS p" for i, (c, p) in enumerate(CLASS_PATTERNS))
     num = "regexp_extract(url, '/act-([0-9]+)([a-z]?)-([0-9]{4})([a-z]?)', ['n', 's', 'y', 'e'])"
     fields = {"content_issue": "content", "summary_issue": "summary", "url_issue": "url", "class_issue": "operativity"}
+    listed = lambda xs: "[" + ", ".join(map(repr, xs)) + "]"
+    off = lambda c, xs: f"list_filter({c}, lambda x: NOT list_contains({listed(xs)}, x))"
     return {
+        "preload_validation": f"""WITH {_loads(DUCK)}, p AS (SELECT *, regexp_full_match(day_text, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS form, try_cast(day_text AS DATE) AS d, regexp_full_match(record_key, '[0-9]+_[0-9]+[a-z]?') AS keyed, gov::VARCHAR || '_' || number AS want FROM l),
+m AS (SELECT doc_id, 1 AS g, 'e' AS k, 'incomplete' AS t FROM p WHERE day_text = '' OR content = '' UNION ALL SELECT doc_id, 2, 'e', 'date form' FROM p WHERE day_text <> '' AND NOT form UNION ALL SELECT doc_id, 3, 'e', 'no such day' FROM p WHERE form AND d IS NULL
+  UNION ALL SELECT doc_id, 4, 'e', 'year out of range' FROM p WHERE form AND (year(d) < 1948 OR year(d) > 2027) UNION ALL SELECT doc_id, 5, 'e', 'key form' FROM p WHERE record_key <> '' AND NOT keyed
+  UNION ALL SELECT doc_id, 6, 'e', 'key is not government and number' FROM p WHERE keyed AND record_key <> want UNION ALL SELECT doc_id, 7, 'e', 'class' FROM p WHERE operativity NOT IN ('operative', 'declarative')
+  UNION ALL SELECT doc_id, 1, 'w', 'short content' FROM p WHERE length(content) BETWEEN 1 AND 99 UNION ALL SELECT doc_id, 2, 'w', 'long content' FROM p WHERE length(content) > 5000 UNION ALL SELECT doc_id, 3, 'w', 'forbidden prefix' FROM p WHERE starts_with(summary, '{FORBIDDEN_PREFIX}')
+  UNION ALL SELECT doc_id, 4, 'w', 'unknown tags: ' || array_to_string({off('tags', tagged.TAG_LIST)}, ', ') FROM p WHERE len({off('tags', tagged.TAG_LIST)}) > 0
+  UNION ALL SELECT doc_id, 5, 'w', 'unknown bodies: ' || array_to_string({off('body_list', tuple(tagged.BODY_WORDS))}, ', ') FROM p WHERE len({off('body_list', tuple(tagged.BODY_WORDS))}) > 0 UNION ALL SELECT doc_id, 6, 'w', 'no tags' FROM p WHERE len(tags) = 0)
+SELECT p.doc_id, any_value(CASE WHEN record_key = '' THEN want ELSE record_key END) AS load_key, any_value(record_key = '') AS key_made, coalesce(string_agg(t, '; ' ORDER BY g) FILTER (k = 'e'), '') AS errors, coalesce(string_agg(t, '; ' ORDER BY g) FILTER (k = 'w'), '') AS warnings,
+  count(*) FILTER (k = 'e') = 0 AS loads FROM p LEFT JOIN m ON p.doc_id = m.doc_id GROUP BY p.doc_id""",
         "issue_columns": f"{z} SELECT doc_id, {issues} FROM z",
         "suspicion_scores": f"""{z}, s AS (SELECT *, list_filter({arr}, lambda x: x IS NOT NULL) AS f FROM z), k AS (SELECT *, {weight}::BIGINT AS score FROM s WHERE len(f) > 0)
 SELECT doc_id, score, array_to_string(f, ',') AS flags, len(f)::BIGINT AS n_flags, CASE WHEN score >= 70 THEN 'CRITICAL' WHEN score >= 50 THEN 'HIGH' WHEN score >= 30 THEN 'MEDIUM' WHEN score >= 15 THEN 'LOW' ELSE 'CLEAN' END AS risk,
@@ -270,5 +313,5 @@ SELECT z.doc_id, trim(operativity) AS given, CASE WHEN trim(operativity) = 'oper
 
 
 QUERIES = {f.__name__: f for f in (
-    issue_columns, suspicion_scores, entity_profile, inline_validation, number_duplicates, scan_samples, change_summary, address_order, text_dates, tag_suggestions, class_by_patterns)}
+    issue_columns, suspicion_scores, entity_profile, inline_validation, number_duplicates, scan_samples, change_summary, address_order, text_dates, tag_suggestions, class_by_patterns, preload_validation)}
 ORACLES = _oracles()
