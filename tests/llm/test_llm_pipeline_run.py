@@ -26,6 +26,9 @@ def corpus():
     for k in (20, 21, 22):
         rows[k][1] += " secret=sharedvalue99"
     rows += [[None, "123 456", "en", "s0", 7], [5, None, None, None, 0], [6, "", "en", "s2", 0], [None, rows[30][1] + " only here without an id", None, "s2", 0]]
+    # documents that share an id or have none, and texts with control characters inside words
+    rows += [[77, "\x01".join(str(w) for w in rng.choice(words["en"], 40)) + " " + " ".join(rng.choice(words["en"], 30)), "en", "s1", 0]]
+    rows += [[i, " ".join(rng.choice(words["de"], 35)) + f" {mark}\x01{mark} tail", "de", "s2", 0] for i, mark in ((77, "wald"), (None, "wiese"), (None, "berg"), (None, "tal"), (77, "bach"))]
     return [tuple(r) for r in rows]
 
 
@@ -59,8 +62,12 @@ def test_run_equals_brute_force(spark, tmp_path):
     rate = {s: len(clean) / len(n) / c for s, c in n.items()}
     drawn = spark.createDataFrame([(i, t, s, rate[s]) for i, t, s in clean], "doc_id long, text string, source string, rate double").withColumn(
         "n", mixing.count_of(F.col("rate"), mixing.SEED, mixing.identity("doc_id", "source", "text")))
-    copies = {r.doc_id: r.n for r in drawn.collect()}
-    want = Counter({(i, len(t.split())): copies[i] for i, t, _ in clean if copies[i]})
+    copies = {(r.doc_id, r.text): r.n for r in drawn.collect()}
+    assert len(copies) == len(clean)
+    want = Counter()
+    for i, t, _ in clean:
+        want[i, len(re.findall("[^\x20\x09-\x0d]+", t))] += copies[i, t]
+    want = Counter({k: n for k, n in want.items() if n})
     assert Counter((r.doc_id, r.n_words) for r in got) == want
     size = Counter()
     for r in got:
