@@ -24,8 +24,9 @@ may take two unlike strings for equal once in 10**19 comparisons).
 
 Hot grams: how many unlike contexts each gram has is estimated from a sample of
 documents, which only balances work. Grams with over ``MOST`` of them, at most
-``HOT_GRAMS`` (the commonest), go to no range: their strings are counted one by
-one as 128-bit hashes by Spark, with partial sums. So a passage in a third of
+``HOT_GRAMS`` (the commonest), are dealt otherwise: their strings one by one as
+128-bit hashes, each to the range that its own hash names, where equal ones are
+counted; a block sends a string once. So a passage in a third of
 all documents meets in no task, and a range holds no gram with more than ``MOST``
 contexts, or a millionth of all. Intervals are merged a document and block before
 they are shuffled, and texts are shuffled once, to their intervals.
@@ -39,7 +40,7 @@ is taken it ends in an underscore; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,7 @@ SLICE = (1 << 20) - 1024  # string starts that are hashed at a time
 RANGE_BYTES = 24_000_000  # suffixes and what stands before them, a range
 MOST = 20_000  # contexts of a gram that a range takes
 HOT_GRAMS = 1_000_000  # 8 MB
+BATCH = 2_000_000  # bytes of rows that leave Python together
 SAMPLE = 1 / 16  # of the documents, for the numbers of contexts
 NEEDS = (1, 2)  # kinds of a suffix: one document waits for the verdict; several have it already
 
@@ -208,8 +210,9 @@ def spans_of(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return doc[first], start[first], reach[last] - shift[last]
 
 
-# rows of a run: kind 0 intervals (a document's starts and ends), 1 a run of suffixes for a range, 2 strings of hot grams
+# rows of a run: kind 0 intervals (a document's starts and ends), 1 a run of suffixes for a range, 2 strings of hot grams for a range
 ROWS = "kind int, range int, k1 array<long>, k2 array<long>, starts array<int>, ends array<int>, h1 array<long>, h2 array<long>, runs array<binary>"
+HOT = ["h1", "h2", "k1", "k2", "starts", "ends"]
 _NAMES = ["kind", "range", "k1", "k2", "starts", "ends", "h1", "h2", "runs"]
 _TYPES = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
 
@@ -218,13 +221,26 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in zip(_NAMES, _TYPES)], _NAMES)
 
 
+def _batches(rows: Iterable[dict]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about ``BATCH`` bytes: a block has a row for each range, so most are small."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(x.nbytes for x in row.values() if isinstance(x, np.ndarray)) + sum(map(len, row.get("runs", ())))
+        if size >= BATCH:
+            yield _rows(held)
+            held, size = [], 0
+    if held:
+        yield _rows(held)
+
+
 def _interval_row(keys: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray, range_: int) -> dict:
     doc, start, end = spans_of(doc, start, end)
     return {"kind": 0, "range": range_, "k1": keys[doc, 0], "k2": keys[doc, 1], "starts": start, "ends": end}
 
 
-def _hot_rows(keys: np.ndarray, s: "Suffixes", range_: int, length: int) -> Iterator[dict]:
-    """Hash, document and start of every string of the suffixes; an end of 0 where the verdict is known, as it is for equal strings here."""
+def _hot_rows(keys: np.ndarray, s: "Suffixes", range_: int, ranges: int, length: int) -> Iterator[dict]:
+    """Hash, document and start of every string of the suffixes, by ranges that the hashes name; an end of 0 where the verdict is known, as it is for equal strings here."""
     for low in range(0, len(s.left), 2000):
         part = slice(low, low + 2000)
         sizes = [len(a) + len(b) for a, b in zip(s.left[part], s.right[part])]
@@ -244,9 +260,25 @@ def _hot_rows(keys: np.ndarray, s: "Suffixes", range_: int, length: int) -> Iter
             yield _interval_row(keys, s.doc[part][row[sure]], start[sure], start[sure] + length, range_)
         once = np.unique(at.ravel()[times > 1], return_index=True)[1]
         known = np.flatnonzero(times > 1)[once]
-        yield {"kind": 2, "range": range_, "h1": np.r_[h[wait, 0], h[known, 0]], "h2": np.r_[h[wait, 1], h[known, 1]],
-               "k1": np.r_[keys[s.doc[part][row[wait]], 0], np.zeros(len(known), np.int64)], "k2": np.r_[keys[s.doc[part][row[wait]], 1], np.zeros(len(known), np.int64)],
-               "starts": np.r_[start[wait], np.zeros(len(known), np.int64)], "ends": np.r_[start[wait] + length, np.zeros(len(known), np.int64)]}
+        none = np.zeros(len(known), np.int64)
+        columns = {"h1": np.r_[h[wait, 0], h[known, 0]], "h2": np.r_[h[wait, 1], h[known, 1]], "k1": np.r_[keys[s.doc[part][row[wait]], 0], none],
+                   "k2": np.r_[keys[s.doc[part][row[wait]], 1], none], "starts": np.r_[start[wait], none], "ends": np.r_[start[wait] + length, none]}
+        to = (columns["h1"].view(np.uint64) % np.uint64(ranges)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+            yield {"kind": 2, "range": int(to[at[0]]), **{name: x[at] for name, x in columns.items()}}
+
+
+def counted(h1: np.ndarray, h2: np.ndarray, k1: np.ndarray, k2: np.ndarray, starts: np.ndarray, ends: np.ndarray, range_: int) -> Iterator[dict]:
+    """Intervals of a range's strings of hot grams: those that two blocks have, or one has more often (end 0)."""
+    order = np.lexsort((h2, h1))
+    a, b = h1[order], h2[order]
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) - 1
+    hit = (np.bincount(at, weights=1 + (ends == 0))[at] > 1) & (ends > 0)
+    if hit.any():
+        keys, doc = np.unique(np.stack([k1[hit], k2[hit]], 1), axis=0, return_inverse=True)
+        yield _interval_row(keys, doc.ravel(), starts[hit].astype(np.int64), ends[hit].astype(np.int64), range_)
 
 
 class Suffixes:
@@ -261,14 +293,16 @@ class Suffixes:
 
     def lengths(self) -> np.ndarray:
         """What each suffix shares with the one before it."""
-        size = np.array(list(map(len, self.right)), np.int64)
-        if len(size) < 2:
-            return np.zeros(len(size), np.int64)
-        width = int(size.max())
-        m = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in self.right), np.uint8).reshape(-1, width)
-        unlike = m[1:] != m[:-1]
-        n = np.where(unlike.any(1), unlike.argmax(1), width)
-        return np.r_[0, np.minimum(n, np.minimum(size[1:], size[:-1]))]
+        found = [np.zeros(min(1, len(self.right)), np.int64)]
+        for low in range(0, len(self.right) - 1, 5000):
+            part = self.right[low : low + 5001]
+            size = np.array(list(map(len, part)), np.int64)
+            width = int(size.max())
+            m = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in part), np.uint8).reshape(-1, width)
+            unlike = m[1:] != m[:-1]
+            n = np.where(unlike.any(1), unlike.argmax(1), width)
+            found.append(np.minimum(n, np.minimum(size[1:], size[:-1])))
+        return np.concatenate(found)
 
     def packed(self, prefixes: np.ndarray, keys: np.ndarray) -> list[bytes]:
         """Front-coded: shared lengths, the rest of each suffix, what stands before it, and where it is."""
@@ -340,7 +374,7 @@ def sorted_runs(data: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndar
         prefixes = s.lengths()
         hot = np.isin(h[b][one], hot_grams)
         if hot.any():
-            yield from _hot_rows(keys, s.take(np.flatnonzero(hot)), int(r[0]), length)
+            yield from _hot_rows(keys, s.take(np.flatnonzero(hot)), int(range_of[b][0]), ranges, length)
             s, r = s.take(np.flatnonzero(~hot)), r[~hot]
             prefixes = s.lengths()
         cuts = np.flatnonzero(np.r_[True, r[1:] != r[:-1], True]) if len(r) else np.zeros(1, np.int64)
@@ -442,28 +476,28 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, range_bytes
         for batch in batches:
             keys = np.stack([batch["k1"].to_numpy(), batch["k2"].to_numpy()], 1)
             for data, starts, ends, part in texts_of(batch):
-                for row in sorted_runs(data, starts, ends, keys[part], ranges, hot_list.value, length, gram):
-                    yield _rows([row])
+                yield from _batches(sorted_runs(data, starts, ends, keys[part], ranges, hot_list.value, length, gram))
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}  # a partition is a range
+        strings: dict[int, list] = {}
         for batch in batches:
-            run = np.asarray(batch["kind"]) == 1
-            for i in np.flatnonzero(~run).tolist():
-                yield batch.slice(i, 1)
-            for i in np.flatnonzero(run).tolist():
-                held.setdefault(batch["range"][i].as_py(), []).append(batch["runs"][i].as_py())
+            kind = np.asarray(batch["kind"])
+            for i, r in enumerate(batch["range"].to_pylist()):
+                if kind[i] == 0:
+                    yield batch.slice(i, 1)
+                elif kind[i] == 1:
+                    held.setdefault(r, []).append(batch["runs"][i].as_py())
+                else:
+                    strings.setdefault(r, []).append([batch[c][i].values.to_numpy().copy() for c in HOT])
+        for r in list(strings):
+            yield from _batches(counted(*map(np.concatenate, zip(*strings.pop(r))), r))
         for r in list(held):
-            for row in merged(held.pop(r), r, length, gram):
-                yield _rows([row])
+            yield from _batches(merged(held.pop(r), r, length, gram))
 
     dealt = keyed.mapInArrow(runs, ROWS).repartitionById(ranges, "range")
-    found, _ = written(dealt.mapInArrow(combine, ROWS).drop("range", "runs"), "repeats")
-    sure = found.where("kind = 0").select(F.explode(F.arrays_zip("k1", "k2", "starts", "ends")).alias("x")).select("x.*")
-    hot = found.where("kind = 2").select(F.explode(F.arrays_zip("h1", "h2", "k1", "k2", "starts", "ends")).alias("x")).select("x.*")
-    # a string is repeated if two tasks have it once, or one task has it more often (end 0)
-    twice = hot.groupBy("h1", "h2").agg(F.sum(F.when(F.col("ends") == 0, 2).otherwise(1)).alias("n")).where("n > 1").select("h1", "h2")
-    sure = sure.unionByName(hot.where("ends > 0").join(twice, ["h1", "h2"]).select("k1", "k2", "starts", "ends"))
+    found, _ = written(dealt.mapInArrow(combine, ROWS).select("k1", "k2", "starts", "ends"), "repeats")
+    sure = found.select(F.explode(F.arrays_zip("k1", "k2", "starts", "ends")).alias("x")).select("x.*")
     each = sure.distinct().groupBy("k1", "k2").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
 
     def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

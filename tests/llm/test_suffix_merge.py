@@ -130,3 +130,19 @@ def test_repeated_rows_null_ids_long_texts_and_no_rows(spark):
     want = [(1, 300_000, 700, 2), (2, 300, 300, 1), (3, 151, 0, 0), (None, 500, 500, 1), (None, 500, 500, 1), (7, 400, 400, 1), (8, 201, 201, 1), (8, 201, 201, 1)]
     assert [r[:4] for r in result(spark, rows)] == sorted(want, key=str)
     assert result(spark, []) == []
+
+
+def test_strings_of_hot_grams_meet_in_many_ranges():
+    """All of them went to the range that a block names first: one task, which grew with the table."""
+    rng = np.random.default_rng(13)
+    line = bytes(rng.integers(97, 123, 150).astype(np.uint8))
+    texts = [bytes(rng.integers(97, 123, 180).astype(np.uint8)) + line + bytes(rng.integers(97, 123, 180).astype(np.uint8)) for _ in range(400)]
+    data, end = b"".join(texts), np.cumsum(list(map(len, texts)))
+    start, keys = end - 510, np.stack([np.arange(400), np.zeros(400, np.int64)], 1)
+    h = sm.anchors(np.frombuffer(data, np.uint8), start, end, 200, 32)[1]
+    grams, n = np.unique(h, return_counts=True)
+    got = Counter()
+    for row in sm.sorted_runs(data, start, end, keys, 50, grams[n > 20]):
+        if row["kind"] == 2:
+            got[row["range"]] += len(row["h1"])
+    assert sum(got.values()) > 5000 and len(got) == 50 and max(got.values()) < 3 * sum(got.values()) / 50
